@@ -259,7 +259,7 @@ def parse_score(spark, sf):
 select event_id, case when event_id % 2 = 0 then concat('{"k": ', event_id, '}') else concat('x ', event_id) end bare from events""")
 def strip_fences(spark, sf):
     n = F.col("event_id").cast("string")
-    text = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(' ```json\n\n{"k": '), n, F.lit("}\n ``` \n"))).otherwise(F.concat(F.lit("\n\tx "), n, F.lit(" ")))
+    text = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('```json\n\n{"k": '), n, F.lit("}\n ``` \n"))).otherwise(F.concat(F.lit("\n\tx "), n, F.lit(" ")))
     return A.table(spark, sf, "events").select("event_id", X.strip_fences(text).alias("bare"))
 
 
@@ -276,7 +276,7 @@ def parse_draft(spark, sf):
 
 _LINT_SQL = r"""
 select id, concat_ws(',',
-  case when len(list_filter(regexp_split_to_array(body, '[.!?]+(\s|$)'), x -> trim(x) <> '')) > 4 then 'too_long' end,
+  case when len([s for s in regexp_split_to_array(body, '[.!?]+(\s|$)') if trim(s) <> '']) > 4 then 'too_long' end,
   case when regexp_matches(lower(body), '(^|[^\p{L}])(of the|i noticed that you)($|[^\p{L}])') then 'banned_phrase' end,
   case when regexp_matches(body, '[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]') then 'emoji' end,
   case when length(body) - length(replace(body, '?', '')) > 1 then 'many_asks' end,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadspark.catalog.collecting import _KEPT, _KEYS, _ORDER, _first_sql
-from leadspark.catalog.registry import AS_OF, holds, joined, query
+from leadspark.catalog.registry import AS_OF, holds, joined, ntz, query
 from leadspark.catalog.scoring import PROFILE, _SCORED
 from leadspark.catalog.state import _FOLD, LIVE_SQL
 from leadspark.operators import scoring, state
@@ -64,7 +64,7 @@ def hot_stream(spark, sf):
 @query("lookback_stream", "posts", "select external_id, posted_at from posts where posted_at >= {now} - interval '24' hour")
 def lookback_stream(spark, sf):
     out = shared_folder(spark)
-    src = streams.lookback_stream(A.posts(_Landed(spark, sf), sf), "posted_at", AS_OF).select("external_id", "posted_at")
+    src = streams.lookback_stream(A.posts(_Landed(spark, sf), sf), "posted_at", AS_OF).select("external_id", ntz("posted_at"))
     streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state"))
     return spark.read.parquet(f"{out}/rows")
 
@@ -84,7 +84,7 @@ def _streamed_funnel(spark, sf, **spans):
     leads = _streamed_leads(spark, landed, sf)
     counts = streams.funnel_stream(posts, leads, A.drafts(landed, sf), late="365 days", **spans)
     streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state"))
-    return streams.latest_rows(spark, f"{out}/rows", ["starts_at", "stage"])
+    return streams.latest_rows(spark, f"{out}/rows", ["starts_at", "stage"]).select(ntz("starts_at"), "stage", "n")
 
 
 def _streamed_leads(spark, landed, sf):
@@ -114,7 +114,8 @@ def liveness_stream(spark, sf):
     out = shared_folder(spark)
     src = streams.liveness_stream(A.heartbeats(_Landed(spark, sf), sf))
     streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state"))
-    return spark.read.parquet(f"{out}/rows")
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.select("instance_id", ntz("started_at"), ntz("last_beat_at"), "beats")
 
 
 @query("failure_stream", "attempts", "select * from (" + _FOLD + ")")

@@ -1,68 +1,80 @@
 """Whole-phrase matching on text columns.
 
 A phrase matches where it occurs in the text, ignoring case, with no letter right before or after it.
+
+Texts and phrases are fenced for this: every character that is no letter gets a mark on both sides.
+A letter run then stands between two marks exactly if no letter touches it, so a whole-phrase match
+is a plain search for the fenced phrase with a mark on either side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-_EDGE_BEFORE = r"(^|[^\p{L}])"
-_EDGE_AFTER = r"($|[^\p{L}])"
+MARK = "\u0001"
+_OTHER = r"([^\p{L}])"
 
 
-def _quoted(phrase: str) -> str:
-    return "\\Q" + phrase.lower().replace("\\E", "\\E\\\\E\\Q") + "\\E"
+def _fenced(phrase: str) -> str:
+    if not phrase:
+        raise ValueError("a phrase must not be empty")
+    return MARK + "".join(ch if ch.isalpha() else MARK + ch + MARK for ch in phrase.lower()) + MARK
 
 
-def has_phrase(lowered: Column, phrase: str) -> Column:
-    """Does already lower-cased text hold the phrase? The plain search spares most texts the regex."""
-    return lowered.contains(phrase.lower()) & lowered.rlike(_EDGE_BEFORE + _quoted(phrase) + _EDGE_AFTER)
+def fence_all(lowered: Column) -> Column:
+    """Fence a lower-cased text."""
+    return F.regexp_replace(lowered, _OTHER, f"{MARK}$1{MARK}")
 
 
-def has_any(lowered: Column, phrases: Sequence[str]) -> Column:
-    """Does already lower-cased text hold any of the phrases?"""
-    if not phrases:
-        return F.lit(False)
-    plain = reduce(lambda a, b: a | b, (lowered.contains(p.lower()) for p in phrases))
-    choice = "(?:" + "|".join(_quoted(p) for p in phrases) + ")"
-    return F.coalesce(plain & lowered.rlike(_EDGE_BEFORE + choice + _EDGE_AFTER), F.lit(False))
+def fence(lowered: Column, phrases: Iterable[str]) -> Column:
+    """Fence a lower-cased text that holds any of the phrases, whole or not; null for the others.
 
+    The plain search spares texts without a phrase the fencing.
+    """
+    plain = [lowered.contains(p.lower()) for p in dict.fromkeys(phrases)]
+    if not plain:
+        return F.lit(None).cast("string")
+    held = reduce(lambda a, b: a | b, plain)
+    return F.when(held, F.concat(F.lit(MARK), fence_all(lowered), F.lit(MARK)))
+
+
+def has_phrase(fenced: Column, phrase: str) -> Column:
+    """Does the fenced text hold the phrase?"""
+    return F.coalesce(fenced.contains(_fenced(phrase)), F.lit(False))
 
-def held_phrases(lowered: Column, phrases: Sequence[str]) -> Column:
-    """The phrases that already lower-cased text holds, in list order."""
-    if not phrases:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(has_phrase(lowered, p), F.lit(p)) for p in phrases]))
 
+def has_any(fenced: Column, phrases: Sequence[str]) -> Column:
+    """Does the fenced text hold any of the phrases?"""
+    return reduce(lambda a, b: a | b, (has_phrase(fenced, p) for p in phrases), F.lit(False))
 
-def tokens(lowered: Column) -> Column:
-    """Letter runs and single other characters, in order; joined again they give the text."""
-    return F.regexp_extract_all(lowered, F.lit(r"(?s)\p{L}+|[^\p{L}]"), F.lit(0))
 
+def text_has_any(lowered: Column, phrases: Sequence[str]) -> Column:
+    """Does the lower-cased text hold any of the phrases?"""
+    return has_any(fence(lowered, phrases), phrases)
 
-def _is_word(token: Column) -> Column:
-    return token.rlike(r"^\p{L}")
+
+def held_phrases(fenced: Column, phrases: Sequence[str]) -> Column:
+    """The phrases that the fenced text holds, in list order."""
+    if not phrases:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*[F.when(has_phrase(fenced, p), F.lit(p)) for p in phrases]))
 
 
-def token_grams(toks: Column, sizes: Column) -> Column:
-    """Distinct token sequences of the given sizes that stand free of neighbouring letters."""
-    n = F.size(toks)
+def pieces(lowered: Column) -> Column:
+    """Letter runs and other characters in turn, starting and ending with a (possibly empty) letter run."""
+    return F.split(fence_all(lowered), MARK)
+
+
+def piece_grams(parts: Column, sizes: Column) -> Column:
+    """Distinct fenced sequences of the given numbers of pieces, each starting with a letter run."""
 
     def grams_of(size: Column) -> Column:
-        def gram(i: Column) -> Column:
-            first, last = F.get(toks, i - 1), F.get(toks, i + size - 2)
-            before, after = F.get(toks, i - 2), F.get(toks, i + size - 1)
-            # A letter run ends where letters end; other characters need the check.
-            free = (_is_word(first) | before.isNull() | ~_is_word(before)) & (
-                _is_word(last) | after.isNull() | ~_is_word(after)
-            )
-            return F.when(free, F.array_join(F.slice(toks, i, size), ""))
-
-        starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-        return F.array_compact(F.transform(starts, gram))
-
-    return F.array_distinct(F.flatten(F.transform(sizes, grams_of)))
+        last = F.size(parts) - size + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last, F.lit(2))).otherwise(F.array().cast("array<int>"))
+        longer = F.transform(starts, lambda i: F.array_join(F.slice(parts, i, size), MARK))
+        return F.array_distinct(F.when(size == 1, parts).otherwise(longer))
+
+    return F.flatten(F.transform(sizes, grams_of))

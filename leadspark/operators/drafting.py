@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadspark.functions.phrases import has_any
+from leadspark.functions.phrases import text_has_any
 from leadspark.functions.text import truthy
 from leadspark.operators.filters import post_text
 from leadspark.operators.keyed import cap_per_group
@@ -38,7 +38,7 @@ def lint_drafts(drafts: DataFrame, banned: Sequence[str] = BANNED_PHRASES) -> Da
     asks = F.length(body) - F.length(F.replace(body, F.lit("?"), F.lit("")))
     found = [
         F.when(sentences > MAX_SENTENCES, F.lit("too_long")),
-        F.when(has_any(F.lower(body), banned), F.lit("banned_phrase")),
+        F.when(text_has_any(F.lower(body), banned), F.lit("banned_phrase")),
         F.when(body.rlike(EMOJI_PATTERN), F.lit("emoji")),
         F.when(asks > MAX_ASKS, F.lit("many_asks")),
         F.when(body.contains(EM_DASH), F.lit("em_dash")),
@@ -52,7 +52,7 @@ def pick_channel(df: DataFrame, asking: Sequence[str] = ASKING_PHRASES) -> DataF
     A post that asks for recommendations gets a public comment, other posts of that platform a
     direct message; on the other platform the author's open messages decide. Unknown platforms get none.
     """
-    asks = has_any(post_text(), asking)
+    asks = text_has_any(post_text(), asking)
     opened = truthy(F.col("open_dms")) if "open_dms" in df.columns else F.lit(False)
     channel = (
         F.when((F.col("platform") == "reddit") & asks, F.lit("reddit_comment"))

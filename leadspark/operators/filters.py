@@ -8,7 +8,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark import schemas as S
-from leadspark.functions.phrases import has_any
+from leadspark.functions.once import compute_once
+from leadspark.functions.phrases import fence, has_any
 from leadspark.functions.text import blank_if_null, truthy, zero_if_null
 from leadspark.functions.times import Moment, moment_for
 from leadspark.operators.keyed import POST_KEY
@@ -76,30 +77,35 @@ def post_text(title: str = "title", body: str = "body") -> Column:
     return F.lower(F.concat_ws("\n", F.col(title), F.col(body)))
 
 
-def _add_reason(df: DataFrame, reason: Column) -> DataFrame:
-    """Append one nullable reason to ``disqualifiers``; a row with a reason scores zero."""
-    held = F.col("disqualifiers") if "disqualifiers" in df.columns else F.array().cast("array<string>")
-    out = df.withColumn("disqualifiers", F.array_compact(F.concat(F.coalesce(held, F.array().cast("array<string>")), F.array(reason))))
-    if "score" in df.columns:
-        out = out.withColumn("score", F.when(F.size("disqualifiers") > 0, F.lit(0).cast(df.schema["score"].dataType)).otherwise(F.col("score")))
-    return out
+def _add_reasons(df: DataFrame, reasons: Sequence[Column]) -> DataFrame:
+    """Append nullable reasons to ``disqualifiers``; a row with a reason scores zero."""
+    none = F.array().cast("array<string>")
+    held = F.coalesce(F.col("disqualifiers"), none) if "disqualifiers" in df.columns else none
+    found = F.array_compact(F.concat(held, F.array(*reasons))) if reasons else held
+    out = compute_once(df.drop("disqualifiers"), {"disqualifiers": found})
+    if "score" not in df.columns:
+        return out
+    zero = F.lit(0).cast(df.schema["score"].dataType)
+    return out.withColumn("score", F.when(F.size("disqualifiers") > 0, zero).otherwise(F.col("score")))
 
 
 def language_gate(df: DataFrame, lang: str, column: str = "lang") -> DataFrame:
     """Disqualify posts in another language than the outreach; unknown language passes."""
-    return _add_reason(df, F.when(F.col(column) != lang, F.lit("language")))
+    return _add_reasons(df, [F.when(F.col(column) != lang, F.lit("language"))])
 
 
-def disqualify(df: DataFrame, rules: Mapping[str, Sequence[str]], bio_rules: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def disqualify(
+    df: DataFrame, rules: Mapping[str, Sequence[str]], bio_rules: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
     """Disqualify posts by phrases in their text, and by phrases in the author's bio where there is one."""
     out = df.withColumn("_text", post_text())
-    for reason, phrases in rules.items():
-        out = _add_reason(out, F.when(has_any(F.col("_text"), phrases), F.lit(reason)))
+    out = out.withColumn("_fenced", fence(F.col("_text"), [p for ps in rules.values() for p in ps]))
+    reasons = [F.when(has_any(F.col("_fenced"), ps), F.lit(reason)) for reason, ps in rules.items()]
     if bio_rules and "author_meta" in df.columns:
-        out = out.withColumn("_bio", F.lower(F.col("author_meta.bio")))
-        for reason, phrases in bio_rules.items():
-            out = _add_reason(out, F.when(has_any(F.col("_bio"), phrases), F.lit(reason)))
-    return out.drop("_text", "_bio")
+        bio = fence(F.lower(F.col("author_meta.bio")), [p for ps in bio_rules.values() for p in ps])
+        out = out.withColumn("_bio", bio)
+        reasons += [F.when(has_any(F.col("_bio"), ps), F.lit(reason)) for reason, ps in bio_rules.items()]
+    return _add_reasons(out, reasons).drop("_text", "_fenced", "_bio")
 
 
 def with_defaults(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadspark.functions.phrases import held_phrases, token_grams, tokens
+from leadspark.functions.phrases import fence, fence_all, held_phrases, piece_grams, pieces
 from leadspark.operators.filters import post_text
 from leadspark.operators.keyed import POST_KEY
 
@@ -14,14 +14,14 @@ from leadspark.operators.keyed import POST_KEY
 def phrase_hits(posts: DataFrame, phrases: DataFrame, keys: Sequence[str] = POST_KEY) -> DataFrame:
     """One row per post and held phrase, for a phrase table of any size.
 
-    ``phrases`` has ``phrase`` and ``rank``. Each post yields its own token sequences of the lengths
-    that occur among the phrases; an equi-join finds those that are phrases. Texts stay behind: only
-    keys and short sequences move.
+    ``phrases`` has ``phrase`` and ``rank``. Each post yields its own sequences of letter runs and other
+    characters, of the lengths that occur among the phrases; an equi-join finds those that are phrases.
+    Texts stay behind: only keys and short sequences move.
     """
-    wanted = phrases.select("phrase", "rank", F.lower("phrase").alias("_gram"))
-    sizes = phrases.agg(F.collect_set(F.size(tokens(F.lower("phrase"))))).scalar()
-    grams = posts.select(*keys, tokens(post_text()).alias("_toks")).withColumn("_sizes", sizes)
-    grams = grams.select(*keys, F.explode(token_grams(F.col("_toks"), F.col("_sizes"))).alias("_gram"))
+    wanted = phrases.select("phrase", "rank", fence_all(F.lower("phrase")).alias("_gram"))
+    sizes = phrases.agg(F.collect_set(F.size(pieces(F.lower("phrase"))))).scalar()
+    parts = posts.select(*keys, pieces(post_text()).alias("_parts")).withColumn("_sizes", sizes)
+    grams = parts.select(*keys, F.explode(piece_grams(F.col("_parts"), F.col("_sizes"))).alias("_gram"))
     return grams.join(wanted, "_gram").select(*keys, "phrase", "rank")
 
 
@@ -34,8 +34,8 @@ def match_phrases(
     the matches of one post are at most the phrases it holds.
     """
     if not isinstance(phrases, DataFrame):
-        out = posts.withColumn("_text", post_text())
-        out = out.withColumn("matched_keywords", held_phrases(F.col("_text"), phrases)).drop("_text")
+        out = posts.withColumn("_fenced", fence(post_text(), phrases))
+        out = out.withColumn("matched_keywords", held_phrases(F.col("_fenced"), phrases)).drop("_fenced")
     else:
         hits = phrase_hits(posts, phrases, keys)
         ranked = F.array_sort(F.collect_set(F.struct("rank", "phrase")))
@@ -51,8 +51,8 @@ def mention_counts(posts: DataFrame, names: Sequence[str] | DataFrame, keys: Seq
     if isinstance(names, DataFrame):
         hits = phrase_hits(posts, names, keys).join(posts.select(*keys, "posted_at"), list(keys))
     else:
-        held = held_phrases(post_text(), names)
-        hits = posts.select("posted_at", F.explode(held).alias("phrase"))
+        fenced = posts.select("posted_at", fence(post_text(), names).alias("_fenced"))
+        hits = fenced.select("posted_at", F.explode(held_phrases(F.col("_fenced"), names)).alias("phrase"))
     return hits.groupBy(F.col("phrase").alias("name")).agg(
         F.count("*").alias("mentions"), F.max("posted_at").alias("last_posted_at")
     )

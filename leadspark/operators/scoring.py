@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadspark.functions.phrases import has_any
+from leadspark.functions.once import compute_once
+from leadspark.functions.phrases import fence, has_any
 from leadspark.functions.text import blank_if_null
 from leadspark.functions.times import Moment, seconds_before
 from leadspark.operators.filters import REMOVED_AUTHOR, post_text
@@ -41,13 +42,6 @@ class Profile:
     text: str = ""
 
 
-def _author_text(df: DataFrame) -> Column:
-    """What is known of the author: the bio where the platform gives one, else the post itself."""
-    if "author_meta" in df.columns:
-        return F.lower(F.concat_ws("\n", F.col("author_meta.bio"), F.col("_text")))
-    return F.col("_text")
-
-
 def _total_engagement(df: DataFrame) -> Column:
     if "engagement" not in df.columns:
         return F.lit(0)
@@ -67,24 +61,47 @@ def _recency_points(hours: Column) -> Column:
     )
 
 
+def _all(groups: Mapping[str, Sequence[str]]) -> list[str]:
+    return [p for phrases in groups.values() for p in phrases]
+
+
 def _signals(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:
-    """One boolean or number per thing the rubric and the tags look at, each computed once."""
+    """One boolean or number per thing the rubric and the tags look at, each computed once.
+
+    Fit is looked for in the author's bio, where the platform gives one, and in the post.
+    """
+    wanted = [*profile.explicit, *profile.implicit, *profile.exact_pain, *_all(profile.fit), *_all(profile.disqualifiers)]
     out = df.withColumn("_text", post_text())
-    out = out.withColumn("_who", _author_text(out))
-    fits = [has_any(F.col("_who"), phrases).cast("int") for phrases in profile.fit.values()]
-    return out.withColumns(
+    out = out.withColumn("_fenced", fence(F.col("_text"), wanted))
+    bio = F.lower(F.col("author_meta.bio")) if "author_meta" in df.columns else F.lit(None).cast("string")
+    out = out.withColumn("_bio", fence(bio, [*_all(profile.fit), *_all(profile.bio_disqualifiers)]))
+    text, bio = F.col("_fenced"), F.col("_bio")
+    fits = [(has_any(text, ps) | has_any(bio, ps)).cast("int") for ps in profile.fit.values()]
+    rules = [F.when(has_any(text, ps), F.lit(r)) for r, ps in profile.disqualifiers.items()]
+    if profile.lang is not None and "lang" in df.columns:
+        rules.append(F.when(F.col("lang") != profile.lang, F.lit("language")))
+    rules += [F.when(has_any(bio, ps), F.lit(r)) for r, ps in profile.bio_disqualifiers.items()]
+    held = F.coalesce(F.col("disqualifiers"), _none()) if "disqualifiers" in df.columns else _none()
+    found = compute_once(
+        out,
         {
-            "_explicit": has_any(F.col("_text"), profile.explicit),
-            "_implicit": has_any(F.col("_text"), profile.implicit),
-            "_exact": has_any(F.col("_text"), profile.exact_pain),
+            "_explicit": has_any(text, profile.explicit),
+            "_implicit": has_any(text, profile.implicit),
+            "_exact": has_any(text, profile.exact_pain),
             "_fit": (reduce(lambda a, b: a + b, fits) / F.lit(len(fits))) if fits else F.lit(0.0),
             "_hours": seconds_before(as_of, F.col("posted_at")) / 3600,
             "_engaged": _total_engagement(df),
-        }
+            "_reasons": F.array_compact(F.concat(held, F.array(*rules))) if rules else held,
+        },
     )
+    return found.drop("_text", "_fenced", "_bio")
+
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
-_SIGNAL_COLUMNS = ("_text", "_who", "_explicit", "_implicit", "_exact", "_fit", "_hours", "_engaged")
+
+_SIGNAL_COLUMNS = ("_explicit", "_implicit", "_exact", "_fit", "_hours", "_engaged", "_reasons")
 
 
 def _tags(profile: Profile) -> Column:
@@ -118,27 +135,15 @@ def rubric_score(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:
         "specificity": F.when(F.col("_exact"), F.lit(float(SPECIFICITY_WEIGHT))).when(F.col("_implicit"), SPECIFICITY_WEIGHT / 2).otherwise(0.0),
         "reachability": F.when(reachable, F.lit(float(REACHABILITY_WEIGHT))).otherwise(0.0),
     }
-    out = out.withColumns({f"_p_{name}": p for name, p in points.items()})
-    none = F.array().cast("array<string>")
-    reasons = [F.col("disqualifiers")] if "disqualifiers" in df.columns else [none]
-    rules = [F.when(has_any(F.col("_text"), p), F.lit(r)) for r, p in profile.disqualifiers.items()]
-    if profile.lang is not None and "lang" in df.columns:
-        rules.append(F.when(F.col("lang") != profile.lang, F.lit("language")))
-    if "author_meta" in df.columns:
-        bio = F.lower(F.col("author_meta.bio"))
-        rules += [F.when(has_any(bio, p), F.lit(r)) for r, p in profile.bio_disqualifiers.items()]
-    if rules:
-        reasons.append(F.array(*rules))
-    total = F.floor(reduce(lambda a, b: a + b, (F.col(f"_p_{n}") for n in points)) + 0.5).cast("int")
-    out = out.withColumn("disqualifiers", F.array_compact(F.concat(*reasons)))
-    shown = [F.concat(F.lit(f"{n} "), F.floor(F.col(f"_p_{n}") + 0.5).cast("string")) for n in points]
-    return out.withColumns(
-        {
-            "score": F.when(F.size("disqualifiers") > 0, F.lit(0)).otherwise(total),
-            "reasoning": F.concat_ws(", ", *shown),
-            "signal_tags": _tags(profile),
-        }
-    ).drop(*_SIGNAL_COLUMNS, *[f"_p_{n}" for n in points])
+    total = F.floor(reduce(lambda a, b: a + b, points.values()) + 0.5).cast("int")
+    shown = [F.concat(F.lit(f"{n} "), F.floor(p + 0.5).cast("string")) for n, p in points.items()]
+    judged = {
+        "score": F.when(F.size("_reasons") > 0, F.lit(0)).otherwise(total),
+        "reasoning": F.concat_ws(", ", *shown),
+        "signal_tags": _tags(profile),
+        "disqualifiers": F.col("_reasons"),
+    }
+    return compute_once(out.drop(*judged), judged).drop(*_SIGNAL_COLUMNS)
 
 
 SCORING_INSTRUCTIONS = (

@@ -21,6 +21,7 @@ from leadspark.operators.keyed import POST_KEY, append_new, union_posts
 from leadspark.operators.loading import cycle_stats, new_drafts
 from leadspark.operators.scoring import Profile, drafting_prompts, rubric_score, scoring_prompts
 from leadspark.plans.queues import draft_queue, score_batch
+from leadspark.session import keep
 
 
 @dataclass(frozen=True)
@@ -72,8 +73,9 @@ def score_cycle(
 ) -> Scored:
     """Score what waits: new leads, ``scored`` events, and rows whose score cannot be stored.
 
-    A stored lead is never changed by scoring its post again. Posts of authors on the blocklist are
-    settled without being scored.
+    The posts are scored once, when this is called; the results, without texts, are kept in the shared
+    folder and the three frames read them from there. A stored lead is never changed by scoring its post
+    again. Posts of authors on the blocklist are settled without being scored.
     """
     batch = score_batch(posts, score_log, n)
     settled = None
@@ -81,13 +83,12 @@ def score_cycle(
         settled = batch.join(blocklist.select("author"), "author", "left_semi").select(*POST_KEY)
         batch = drop_do_not_approach(batch, blocklist)
     at = moment(as_of, T.TimestampType())
-    results = scorer(batch).withColumns(
-        {"raw_post_id": F.col("id"), "status": F.lit("new"), "scored_at": at}
-    )
-    good, bad = split_checked(check_rows(results, "leads").withColumn(
-        "violations", F.filter("violations", lambda v: v != "score_missing")))
-    fields = ("raw_post_id", *POST_KEY, "author", "score", "reasoning", "signal_tags", "disqualifiers", "status", "scored_at")
-    fresh = append_new(leads, promote(good).select(*fields), POST_KEY, ["scored_at", F.desc("score")])
+    fields = (*POST_KEY, "author", "score", "reasoning", "signal_tags", "disqualifiers")
+    results = keep(scorer(batch).select(F.col("id").alias("raw_post_id"), *fields))
+    results = results.withColumns({"status": F.lit("new"), "scored_at": at})
+    faults = F.filter("violations", lambda v: v != "score_missing")
+    good, bad = split_checked(check_rows(results, "leads").withColumn("violations", faults))
+    fresh = append_new(leads, promote(good), POST_KEY, ["scored_at", F.desc("score")])
     fresh = fresh.withColumn("id", post_key(F.col("platform"), F.col("external_id")))
     events = good.select(*POST_KEY, F.lit("scored").alias("event"), F.col("scored_at").alias("at"))
     if settled is not None:

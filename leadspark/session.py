@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -32,3 +32,14 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="leadspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/leadspark-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Write the rows to a new shared folder now and read them back.
+
+    For rows that several results are built from: they are computed once, and a lost executor
+    costs a read of files that every executor can reach.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

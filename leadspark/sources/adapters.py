@@ -225,4 +225,8 @@ def with_views(names: str, sql: str) -> str:
     for name in names.split():
         order += [n for n in (*_NEEDS.get(name, ()), name) if n not in order]
     views = ",\n".join(f"{n} as ({VIEW_SQL[n]})" for n in order)
-    return f"with {views}\n{sql.replace('{now}', _NOW_SQL)}" if views else sql.replace("{now}", _NOW_SQL)
+    sql = sql.strip().replace("{now}", _NOW_SQL)
+    if not views:
+        return sql
+    rest = f",\n{sql[5:]}" if sql.startswith("with ") else f"\n{sql}"
+    return f"with {views}{rest}"

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from leadspark.functions.phrases import has_any
+from leadspark.functions.phrases import text_has_any
 from leadspark.functions.times import Moment
 from leadspark.operators.filters import post_text, within_lookback
 from leadspark.operators.keyed import POST_KEY, append_new
@@ -34,6 +34,13 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def with_event_time(src: DataFrame, column: str, late: str) -> DataFrame:
+    """Watermark a stream; time columns without a zone are taken as UTC, as watermarks need a zone."""
+    if isinstance(src.schema[column].dataType, T.TimestampNTZType):
+        src = src.withColumn(column, F.col(column).cast(T.TimestampType()))
+    return src.withWatermark(column, late)
+
+
 def ingest_stream(
     src: DataFrame, table: str, checkpoint: str, keys: Sequence[str] = POST_KEY, order_by: Sequence[Column | str] = ("scraped_at",)
 ) -> DataStreamWriter:
@@ -48,13 +55,13 @@ def ingest_stream(
 
 def dedup_stream(src: DataFrame, event_time: str, horizon: str, keys: Sequence[str] = POST_KEY) -> DataFrame:
     """First arrivals per key within the horizon; state is bounded, so later repeats pass again."""
-    return src.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+    return with_event_time(src, event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
 def lookback_stream(src: DataFrame, event_time: str, as_of: Moment | None = None, hours: float = 24) -> DataFrame:
     """Mark rows older than the lookback as late; with ``as_of``, drop those older than that moment's lookback."""
     kept = src if as_of is None else within_lookback(src, event_time, as_of, hours)
-    return kept.withWatermark(event_time, f"{int(hours * 3600)} seconds")
+    return with_event_time(kept, event_time, f"{int(hours * 3600)} seconds")
 
 
 def score_stream(src: DataFrame, scorer: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> DataStreamWriter:
@@ -68,7 +75,7 @@ def score_stream(src: DataFrame, scorer: Callable[[DataFrame], DataFrame], out:
 
 def hot_stream(src: DataFrame, phrases: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``(posts holding a phrase, to be scored at once; the rest, for the batch)``."""
-    hot = has_any(post_text(), phrases)
+    hot = text_has_any(post_text(), phrases)
     return src.filter(hot), src.filter(~hot)
 
 
@@ -97,7 +104,7 @@ def funnel_stream(
     posts: DataFrame, leads: DataFrame, drafts: DataFrame, window: str = "1 day", slide: str | None = None, late: str = "1 day"
 ) -> DataFrame:
     """Stage counts per window of time; ``7 days`` sliding by ``1 day`` gives the rolling funnel."""
-    events = stage_events(posts, leads, drafts).filter(F.col("at").isNotNull()).withWatermark("at", late)
+    events = with_event_time(stage_events(posts, leads, drafts).filter(F.col("at").isNotNull()), "at", late)
     spans = F.window("at", window, slide) if slide else F.window("at", window)
     counts = events.groupBy(spans.alias("span"), "stage").agg(F.count("*").alias("n"))
     return counts.select(F.col("span.start").alias("starts_at"), "stage", "n")
@@ -126,7 +133,7 @@ def liveness_stream(heartbeats: DataFrame, stale_s: int = 90, late: str = "90 se
     A beat exactly at the stale time starts a new stretch, so the session gap is one microsecond shorter.
     """
     gap = f"{stale_s - 1} seconds 999 milliseconds 999 microseconds"
-    beats = heartbeats.withWatermark("beat_at", late)
+    beats = with_event_time(heartbeats, "beat_at", late)
     spans = beats.groupBy("instance_id", F.session_window("beat_at", gap).alias("span")).agg(
         F.min("beat_at").alias("started_at"), F.max("beat_at").alias("last_beat_at"), F.count("*").alias("beats")
     )
