@@ -82,7 +82,7 @@ def _add_reasons(df: DataFrame, reasons: Sequence[Column]) -> DataFrame:
     none = F.array().cast("array<string>")
     held = F.coalesce(F.col("disqualifiers"), none) if "disqualifiers" in df.columns else none
     found = F.array_compact(F.concat(held, F.array(*reasons))) if reasons else held
-    out = compute_once(df.drop("disqualifiers"), {"disqualifiers": found})
+    out = compute_once(df, {"disqualifiers": found})
     if "score" not in df.columns:
         return out
     zero = F.lit(0).cast(df.schema["score"].dataType)

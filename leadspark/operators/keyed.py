@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 POST_KEY = ("platform", "external_id")
 
-# Spark prunes ``row_number() <= n`` before the shuffle up to this n (its group-limit default).
-_PRUNED_BELOW = 1000
-_SALTS = 64
+# Up to this n, Spark keeps only the first n rows per group in each task before the shuffle.
+_PRUNING_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _ranked(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[Column | str], n: int) -> DataFrame:
@@ -36,14 +35,13 @@ def cap_per_group(
 ) -> DataFrame:
     """The first ``min(n, cap)`` rows of each group.
 
-    Beyond the size Spark prunes before the shuffle, groups are ranked in salted parts first;
-    a row among the first n of its group is also among the first n of its part, so nothing is lost.
+    Each task prunes to n rows per group before the shuffle, so a hot group arrives as n rows per task.
+    For a larger n than the session prunes by default, its limit is raised; this changes plans, not results.
     """
     n = n if cap is None else min(n, cap)
-    if n >= _PRUNED_BELOW:
-        row = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(row), F.lit(_SALTS)))
-        df = _ranked(salted, [*group, "_salt"], order_by, n).drop("_salt")
+    conf = df.sparkSession.conf
+    if n >= int(conf.get(_PRUNING_LIMIT)):
+        conf.set(_PRUNING_LIMIT, str(n + 1))
     return _ranked(df, group, order_by, n)
 
 

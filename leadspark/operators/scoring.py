@@ -143,7 +143,7 @@ def rubric_score(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:
         "signal_tags": _tags(profile),
         "disqualifiers": F.col("_reasons"),
     }
-    return compute_once(out.drop(*judged), judged).drop(*_SIGNAL_COLUMNS)
+    return compute_once(out, judged).drop(*_SIGNAL_COLUMNS)
 
 
 SCORING_INSTRUCTIONS = (

@@ -124,7 +124,7 @@ def source_state(
     return state_of(fold_attempts(attempts, resets, failing))
 
 
-def source_history(attempts: DataFrame, slice_s: int = 86_400, failing: Sequence[str] = ("failed",)) -> DataFrame:
+def source_history(attempts: DataFrame, slice_s: int = 3_600, failing: Sequence[str] = ("failed",)) -> DataFrame:
     """Each attempt with the failures in a row up to it and the status it left.
 
     Attempts are folded per source and time slice, so a busy source spreads over its slices. One row

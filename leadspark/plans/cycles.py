@@ -31,8 +31,12 @@ class Collected:
 
 
 def collect_cycle(existing: DataFrame, frames: list[DataFrame], as_of: Moment) -> Collected:
-    """Normalised posts of all platforms to the new rows of the post table."""
-    offered = with_defaults(union_posts(*frames)).withColumns(
+    """Normalised posts of all platforms to the new rows of the post table.
+
+    The payloads are read once, when this is called; the posts are kept in the shared folder, where the
+    load finds their keys without reading the texts.
+    """
+    offered = keep(with_defaults(union_posts(*frames))).withColumns(
         {
             "id": post_key(F.col("platform"), F.col("external_id")),
             "scraped_at": moment(as_of, T.TimestampType()),
