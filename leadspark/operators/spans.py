@@ -53,27 +53,35 @@ def live_sessions(heartbeats: DataFrame, stale_s: float = 90) -> DataFrame:
 def rate_budget(requests: DataFrame, limits: dict[str, tuple[int, int]] | None = None, slice_s: int = 86_400) -> DataFrame:
     """Seconds in which a platform made requests, with the requests of the span ending there.
 
-    Requests are counted per second first. Each platform is then cut into time slices, and seconds
-    near the end of a slice also go to the next one, so slices are summed independently.
+    Requests are counted per second first. A second's count is then added where it begins to matter and
+    taken away where its span ends, so that a running total is the rolling count at the cost of one pass.
+    Each platform is cut into time slices; what still matters at the end of a slice opens the next one.
     """
     limits = RATE_BUDGETS if limits is None else limits
-    table = F.create_map(*[x for p, (n, span) in limits.items() for x in (F.lit(p), F.struct(F.lit(n).alias("n"), F.lit(span).alias("span")))])
+    allowed = F.create_map(*[x for p, (n, _) in limits.items() for x in (F.lit(p), F.lit(n))])
+    lasting = F.create_map(*[x for p, (_, span) in limits.items() for x in (F.lit(p), F.lit(span))])
     width = max([slice_s, *(span for _, span in limits.values())])
-    second = F.floor(micros(F.col("requested_at")) / F.lit(1_000_000))
     counts = (
         requests.filter(F.col("platform").isin(*limits))
-        .groupBy("platform", second.alias("second"))
+        .groupBy("platform", F.floor(micros(F.col("requested_at")) / F.lit(1_000_000)).alias("second"))
         .agg(F.count("*").alias("requests"))
-        .withColumn("_limit", F.element_at(table, F.col("platform")))
     )
-    own = F.floor(F.col("second") / width)
-    reach = F.floor((F.col("second") + F.col("_limit.span") - 1) / width)
-    sliced = counts.withColumn("_slice", F.explode(F.array_distinct(F.array(own, reach))))
-    pieces = []
-    for span in sorted({span for _, span in limits.values()}):
-        rolling = W.partitionBy("platform", "_slice").orderBy("second").rangeBetween(-(span - 1), 0)
-        pieces.append(F.when(F.col("_limit.span") == span, F.sum("requests").over(rolling)))
-    out = sliced.withColumn("in_span", F.coalesce(*pieces)).filter(F.col("_slice") == own)
-    return out.select(
-        "platform", "second", "requests", "in_span", (F.col("in_span") > F.col("_limit.n")).alias("over_budget")
+    slice_of = lambda s: F.floor(s / width)
+    start, end = F.col("second"), F.col("second") + F.element_at(lasting, F.col("platform"))
+    own, reach = slice_of(start), slice_of(end - 1)
+
+    def change(slice_: Column, at: Column, by: Column, made: Column) -> Column:
+        return F.struct(slice_.alias("slice"), at.alias("second"), by.alias("by"), made.alias("requests"))
+
+    made, none = F.col("requests"), F.lit(0).cast("bigint")
+    changes = F.array(
+        change(own, start, made, made),
+        F.when(slice_of(end) == own, change(own, end, -made, none)),
+        F.when(reach > own, change(reach, reach * width, made, none)),
+        F.when(reach > own, change(reach, end, -made, none)),
     )
+    rows = counts.select("platform", F.inline(F.array_compact(changes)))
+    so_far = W.partitionBy("platform", "slice").orderBy("second").rangeBetween(W.unboundedPreceding, W.currentRow)
+    rolled = rows.withColumn("in_span", F.sum("by").over(so_far)).filter(F.col("requests") > 0)
+    over = F.col("in_span") > F.element_at(allowed, F.col("platform"))
+    return rolled.select("platform", "second", "requests", "in_span", over.alias("over_budget"))

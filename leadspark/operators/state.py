@@ -132,7 +132,7 @@ def source_history(attempts: DataFrame, slice_s: int = 3_600, failing: Sequence[
     """
     slice_of = F.floor(micros(F.col("attempted_at")) / F.lit(slice_s * 1_000_000))
     failed = F.col("outcome").isin(*failing)
-    rows = attempts.withColumns({"_slice": slice_of, "_failed": failed.cast("int")})
+    rows = attempts.filter(F.col("source_id").isNotNull()).withColumns({"_slice": slice_of, "_failed": failed.cast("int")})
     inside = W.partitionBy("source_id", "_slice").orderBy("attempted_at", "event_id")
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("_run", F.sum(1 - F.col("_failed")).over(so_far))
@@ -140,7 +140,9 @@ def source_history(attempts: DataFrame, slice_s: int = 3_600, failing: Sequence[
     rows = rows.withColumn("_count", F.sum("_failed").over(in_run.rowsBetween(W.unboundedPreceding, W.currentRow)))
 
     # What a slice leaves behind: its last run of failures, added to what came before if it never succeeded.
-    last_run = F.max(F.struct("attempted_at", "event_id", "_count"))["_count"]
+    # It reads the same columns as the rows themselves, so that both share one shuffle.
+    others = [c for c in attempts.columns if c not in ("source_id", "attempted_at", "event_id")]
+    last_run = F.max(F.struct("attempted_at", "event_id", "_count", *others))["_count"]
     left = rows.groupBy("source_id", "_slice").agg(last_run.alias("_tail"), F.max("_run").alias("_goods"))
     over_slices = W.partitionBy("source_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     left = left.withColumn("_era", F.count(F.when(F.col("_goods") > 0, 1)).over(over_slices))
@@ -150,7 +152,7 @@ def source_history(attempts: DataFrame, slice_s: int = 3_600, failing: Sequence[
     carried = left.withColumn("_before", previous).select("source_id", "_slice", "_before")
 
     count = F.col("_count") + F.when(F.col("_run") == 0, F.col("_before")).otherwise(F.lit(0))
-    out = rows.join(carried, ["source_id", "_slice"]).withColumn("consecutive_failures", count.cast("int"))
+    out = rows.join(carried, ["source_id", "_slice"], "left").withColumn("consecutive_failures", count.cast("int"))
     degraded = F.col("consecutive_failures") >= DEGRADED_AFTER
     out = out.withColumn("status", F.when(degraded, F.lit("degraded")).otherwise(F.lit("healthy")))
     return out.select(*attempts.columns, "consecutive_failures", "status")

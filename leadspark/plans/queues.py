@@ -15,6 +15,7 @@ from leadspark import schemas as S
 from leadspark.functions.times import Moment, later_than, moment_for
 from leadspark.operators.filters import errors_only, unprocessed
 from leadspark.operators.joins import leads_with_posts
+from leadspark.operators.keyed import POST_KEY
 
 # A list up to this long is small enough to be looked up by broadcast.
 _SHORT_LIST = 10_000
@@ -41,8 +42,16 @@ def _top_with_posts(
 
 
 def score_batch(posts: DataFrame, score_log: DataFrame, n: int | None = 25) -> DataFrame:
-    """Posts to score next, the longest waiting first."""
-    return _top(unprocessed(posts, score_log), ["scraped_at", "platform", "external_id"], n)
+    """Posts to score next, the longest waiting first.
+
+    A short batch is chosen on the keys alone; texts are only read for the chosen posts.
+    """
+    order = ["scraped_at", *POST_KEY]
+    if n is None or n > _SHORT_LIST:
+        return _top(unprocessed(posts, score_log), order, n)
+    waiting = unprocessed(posts.select(*POST_KEY, "scraped_at"), score_log)
+    chosen = _top(waiting, order, n).select(*POST_KEY)
+    return posts.join(F.broadcast(chosen), list(POST_KEY), "left_semi").orderBy(*order)
 
 
 def draft_queue(leads: DataFrame, posts: DataFrame, n: int | None = 10, min_score: int = S.QUALIFIED_SCORE) -> DataFrame:
