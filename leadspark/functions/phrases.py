@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from leadspark.functions.text import present
+
 MARK = "\u0001"
 _OTHER = r"([^\p{L}])"
 
@@ -60,7 +62,7 @@ def held_phrases(fenced: Column, phrases: Sequence[str]) -> Column:
     """The phrases that the fenced text holds, in list order."""
     if not phrases:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(has_phrase(fenced, p), F.lit(p)) for p in phrases]))
+    return present(*[F.when(has_phrase(fenced, p), F.lit(p)) for p in phrases])
 
 
 def pieces(lowered: Column) -> Column:

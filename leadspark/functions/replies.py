@@ -7,45 +7,32 @@ from pyspark.sql import Column, functions as F
 from leadspark.functions.text import strip_fences
 
 
-def _document(reply: Column) -> Column:
-    """Parsed reply; null for malformed text and for a bare JSON null."""
-    parsed = F.try_parse_json(strip_fences(reply))
-    return F.when(~F.is_variant_null(parsed), parsed)
-
+# Numbers are read as double: an integer read would silently drop the fraction of 78.5.
+_SCORE = "struct<score: double, reasoning: string, signal_tags: array<string>, disqualifiers: array<string>>"
+_DRAFT = "struct<channel: string, subject: string, body: string, rationale: string, estimated_quality: double>"
 
-def _text(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, f"$.{field}", "string")
 
-
-def _number(doc: Column, field: str) -> Column:
-    # Read as double: an integer read would silently drop the fraction of 78.5.
-    return F.try_variant_get(doc, f"$.{field}", "double")
+def _document(reply: Column) -> Column:
+    return F.try_parse_json(strip_fences(reply))
 
 
-def _texts(doc: Column, field: str) -> Column:
-    return F.coalesce(F.try_variant_get(doc, f"$.{field}", "array<string>"), F.array().cast("array<string>"))
+def _parsed(doc: Column) -> Column:
+    """Malformed text and a bare JSON null are no reply."""
+    return (doc.isNotNull() & ~F.is_variant_null(doc)).alias("parsed")
 
 
 def parse_score(reply: Column) -> Column:
     """``struct<parsed, score, reasoning, signal_tags, disqualifiers>`` of one scoring reply."""
     doc = _document(reply)
-    return F.struct(
-        doc.isNotNull().alias("parsed"),
-        _number(doc, "score").alias("score"),
-        _text(doc, "reasoning").alias("reasoning"),
-        _texts(doc, "signal_tags").alias("signal_tags"),
-        _texts(doc, "disqualifiers").alias("disqualifiers"),
-    )
+    fields = F.try_variant_get(doc, "$", _SCORE)
+    none = F.array().cast("array<string>")
+    lists = [F.coalesce(fields[name], none).alias(name) for name in ("signal_tags", "disqualifiers")]
+    return F.struct(_parsed(doc), fields["score"].alias("score"), fields["reasoning"].alias("reasoning"), *lists)
 
 
 def parse_draft(reply: Column) -> Column:
     """``struct<parsed, channel, subject, body, rationale, estimated_quality>`` of one drafting reply."""
     doc = _document(reply)
-    return F.struct(
-        doc.isNotNull().alias("parsed"),
-        _text(doc, "channel").alias("channel"),
-        _text(doc, "subject").alias("subject"),
-        _text(doc, "body").alias("body"),
-        _text(doc, "rationale").alias("rationale"),
-        _number(doc, "estimated_quality").alias("estimated_quality"),
-    )
+    fields = F.try_variant_get(doc, "$", _DRAFT)
+    names = ("channel", "subject", "body", "rationale", "estimated_quality")
+    return F.struct(_parsed(doc), *[fields[name].alias(name) for name in names])

@@ -15,6 +15,12 @@ SEARCH_SITE = "https://x.com"
 FENCE_PATTERN = r"```json\s*|\s*```"
 
 
+def present(*texts: Column) -> Column:
+    """The distinct non-null ones of the given texts, in order."""
+    # A set difference compiles, which an array filter does not.
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
+
+
 def blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

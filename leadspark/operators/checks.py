@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark import schemas as S
+from leadspark.functions.text import present
 
 _REQUIRED = {
     "sources": ("platform", "config", "is_active", "status", "consecutive_failures"),
@@ -48,7 +49,7 @@ def check_rows(df: DataFrame, table: str) -> DataFrame:
         if c in held
     ]
     faults += [fault(F.col(c)) for c, fault in _EXTRA.get(table, {}).items() if c in held]
-    return df.withColumn("violations", F.array_compact(F.array(*faults)))
+    return df.withColumn("violations", present(*faults))
 
 
 def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

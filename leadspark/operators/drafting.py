@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from leadspark.functions.phrases import text_has_any
-from leadspark.functions.text import truthy
+from leadspark.functions.text import present, truthy
 from leadspark.operators.filters import post_text
 from leadspark.operators.keyed import cap_per_group
 
@@ -43,7 +43,7 @@ def lint_drafts(drafts: DataFrame, banned: Sequence[str] = BANNED_PHRASES) -> Da
         F.when(asks > MAX_ASKS, F.lit("many_asks")),
         F.when(body.contains(EM_DASH), F.lit("em_dash")),
     ]
-    return drafts.withColumn("violations", F.array_compact(F.array(*found)))
+    return drafts.withColumn("violations", present(*found))
 
 
 def pick_channel(df: DataFrame, asking: Sequence[str] = ASKING_PHRASES) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadspark import schemas as S
 from leadspark.functions.once import compute_once
 from leadspark.functions.phrases import fence, has_any
-from leadspark.functions.text import blank_if_null, truthy, zero_if_null
+from leadspark.functions.text import blank_if_null, present, truthy, zero_if_null
 from leadspark.functions.times import Moment, moment_for
 from leadspark.operators.keyed import POST_KEY
 
@@ -81,7 +81,7 @@ def _add_reasons(df: DataFrame, reasons: Sequence[Column]) -> DataFrame:
     """Append nullable reasons to ``disqualifiers``; a row with a reason scores zero."""
     none = F.array().cast("array<string>")
     held = F.coalesce(F.col("disqualifiers"), none) if "disqualifiers" in df.columns else none
-    found = F.array_compact(F.concat(held, F.array(*reasons))) if reasons else held
+    found = F.array_union(held, present(*reasons)) if reasons else held
     out = compute_once(df, {"disqualifiers": found})
     if "score" not in df.columns:
         return out

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark.functions.once import compute_once
 from leadspark.functions.phrases import fence, has_any
-from leadspark.functions.text import blank_if_null
+from leadspark.functions.text import blank_if_null, present
 from leadspark.functions.times import Moment, seconds_before
 from leadspark.operators.filters import REMOVED_AUTHOR, post_text
 
@@ -21,6 +21,9 @@ RECENCY_WEIGHT = 15
 SPECIFICITY_WEIGHT = 10
 REACHABILITY_WEIGHT = 10
 
+# The reactions that the platforms count.
+ENGAGEMENT_KEYS = ("score", "comments", "likes", "replies", "retweets")
+
 # Hours up to which recency counts fully, half, and at all.
 FRESH_HOURS = 6
 HALF_HOURS = 24
@@ -45,8 +48,8 @@ class Profile:
 def _total_engagement(df: DataFrame) -> Column:
     if "engagement" not in df.columns:
         return F.lit(0)
-    total = F.aggregate(F.map_values("engagement"), F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
-    return F.coalesce(total, F.lit(0))
+    counts = [F.coalesce(F.try_element_at("engagement", F.lit(k)), F.lit(0)) for k in ENGAGEMENT_KEYS]
+    return reduce(lambda a, b: a + b, counts)
 
 
 def _recency_points(hours: Column) -> Column:
@@ -91,7 +94,7 @@ def _signals(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:
             "_fit": (reduce(lambda a, b: a + b, fits) / F.lit(len(fits))) if fits else F.lit(0.0),
             "_hours": seconds_before(as_of, F.col("posted_at")) / 3600,
             "_engaged": _total_engagement(df),
-            "_reasons": F.array_compact(F.concat(held, F.array(*rules))) if rules else held,
+            "_reasons": F.array_union(held, present(*rules)) if rules else held,
         },
     )
     return found.drop("_text", "_fenced", "_bio")
@@ -112,7 +115,7 @@ def _tags(profile: Profile) -> Column:
         ("high_engagement", F.col("_engaged") >= profile.high_engagement),
         ("recent", F.col("_hours") <= HALF_HOURS),
     ]
-    return F.array_compact(F.array(*[F.when(cond, F.lit(tag)) for tag, cond in wanted]))
+    return present(*[F.when(cond, F.lit(tag)) for tag, cond in wanted])
 
 
 def signal_tags(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from leadspark.functions.phrases import text_has_any
+from leadspark.functions.text import present
 from leadspark.functions.times import Moment
 from leadspark.operators.filters import post_text, within_lookback
 from leadspark.operators.keyed import POST_KEY, append_new
@@ -84,7 +85,7 @@ def stage_events(posts: DataFrame, leads: DataFrame, drafts: DataFrame) -> DataF
     status = F.col("status")
 
     def reached(df: DataFrame, ts: str, **stages: Column) -> DataFrame:
-        names = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in stages.items()]))
+        names = present(*[F.when(cond, F.lit(name)) for name, cond in stages.items()])
         return df.select(F.explode(names).alias("stage"), F.col(ts).alias("at"))
 
     return (
