@@ -9,6 +9,7 @@ from leadspark.functions import text as X
 from leadspark.functions.times import epoch_to_ts, iso_to_ts
 from leadspark.operators import filters, joins, keyed, loading, matching
 from leadspark.plans import cycles
+from leadspark.session import shared_folder
 from leadspark.sources import adapters as A, payloads, tables
 
 _PAGE = 50
@@ -171,6 +172,21 @@ def _lines(spark, sf):
     return A.posts(spark, sf).select(line.alias("value"))
 
 
+@query("read_records", "posts", "select external_id, title, body from posts where id % 7 not in (0, 1, 2)")
+def read_records(spark, sf):
+    path = shared_folder(spark)
+    _lines(spark, sf).write.text(path)
+    return tables.read_records(spark, path)[0].select("external_id", "title", "body")
+
+
+@query("read_table", "posts leads", "select cast(id as varchar) id, platform, external_id, score, status, scored_at from leads")
+def read_table(spark, sf):
+    base = shared_folder(spark)
+    leads = A.leads(spark, sf).select(F.col("id").cast("string").alias("id"), "platform", "external_id", "score", "status", F.col("scored_at").cast("timestamp").alias("scored_at"))
+    leads.write.parquet(f"{base}/leads")
+    return tables.read_table(spark, base, "leads").select("id", "platform", "external_id", "score", "status", ntz("scored_at"))
+
+
 @query("with_defaults", "posts", """
 select id, case when id % 3 = 0 then '' else title end title, case when id % 4 = 0 then '' else body end body,
   case when id % 5 = 0 then 0 else 1 end n_engagement, 0 n_keywords from posts""")
@@ -291,8 +307,8 @@ def match_phrases(spark, sf):
 with words as (select distinct regexp_extract(p_name, '^[a-zA-Z]+') w from part),
 terms as (select lower(w) as term from words where w <> '' union select 'the and' union select 'of the' union select 'attion to the'),
 d as (select doc_id, lower(concat(substring(text, 1, 80), chr(10), text)) lowered from documents)
-select doc_id id, term as phrase from d join terms on
-  regexp_matches(lowered, concat('(^|[^\\p{L}])', term, '($|[^\\p{L}])'))""")
+select doc_id id, term as phrase from (select * from d join terms on contains(lowered, term) offset 0)
+where regexp_matches(lowered, concat('(^|[^\\p{L}])', term, '($|[^\\p{L}])'))""")
 def match_phrase_table(spark, sf):
     word = F.regexp_extract("p_name", "^[a-zA-Z]+", 0)
     names = A.table(spark, sf, "part").select(F.lower(word).alias("phrase")).filter("phrase <> ''")

@@ -11,6 +11,7 @@ from leadspark.catalog.reporting import _score_log
 from leadspark.functions import replies, text as X
 from leadspark.operators import checks, completions, drafting, filters, joins, loading, scoring
 from leadspark.plans import cycles, queues
+from leadspark.session import shared_folder
 from leadspark.sources import adapters as A
 
 PROFILE = scoring.Profile(
@@ -321,3 +322,10 @@ select external_id, platform as source, score, signal_tags from ({_SCORED})""")
 def scored_records(spark, sf):
     out = loading.scored_records(scoring.rubric_score(A.posts(spark, sf), PROFILE, AS_OF))
     return out.select("external_id", "source", "score", joined("signal_tags"))
+
+
+@query("write_scored", "posts", f"select external_id, platform as source, score from ({_SCORED})")
+def write_scored(spark, sf):
+    path = shared_folder(spark)
+    loading.write_scored(scoring.rubric_score(A.posts(spark, sf), PROFILE, AS_OF), path)
+    return spark.read.schema("external_id string, source string, score int").json(path)

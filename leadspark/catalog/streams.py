@@ -15,21 +15,31 @@ from leadspark.streaming import streams
 
 
 class _Landed:
-    """The adapters of the test tables, over streams of their files."""
+    """Stands for the session in the adapters: the named tables are streams of their files, others are read."""
 
-    def __init__(self, spark, sf):
-        self.read = self
-        self.spark, self.sf = spark, sf
+    def __init__(self, spark, *streamed):
+        self.spark, self.streamed, self.read = spark, streamed, self
 
     def parquet(self, path):
-        schema = self.spark.read.parquet(path).schema
-        return tables.stream_records(self.spark, path + "*", schema, format="parquet")
+        stored = self.spark.read.parquet(path)
+        if not path.endswith(tuple(f"/{name}.parquet" for name in self.streamed)):
+            return stored
+        return tables.stream_records(self.spark, path + "*", stored.schema, format="parquet")
+
+
+@query("stream_records", "posts", "select external_id, title, body from posts")
+def stream_records(spark, sf):
+    out = shared_folder(spark)
+    A.posts(spark, sf).select("external_id", "title", "body").write.json(f"{out}/landed")
+    src = tables.stream_records(spark, f"{out}/landed", max_files=4).select("external_id", "title", "body")
+    streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state"))
+    return spark.read.parquet(f"{out}/rows")
 
 
 @query("ingest_stream", "", _first_sql())
 def ingest_stream(spark, sf):
     out = shared_folder(spark)
-    src = A.arrivals(_Landed(spark, sf), sf)
+    src = A.arrivals(_Landed(spark, "lineitem"), sf)
     streams.run_available(streams.ingest_stream(src, f"{out}/rows", f"{out}/state", _KEYS, _ORDER))
     return spark.read.parquet(f"{out}/rows").select(*_KEPT)
 
@@ -37,7 +47,7 @@ def ingest_stream(spark, sf):
 @query("dedup_stream", "", "select distinct l_orderkey, l_linenumber from lineitem")
 def dedup_stream(spark, sf):
     out = shared_folder(spark)
-    src = streams.dedup_stream(A.arrivals(_Landed(spark, sf), sf), "l_shipdate", "3650 days", _KEYS)
+    src = streams.dedup_stream(A.arrivals(_Landed(spark, "lineitem"), sf), "l_shipdate", "3650 days", _KEYS)
     writer = src.select(*_KEYS).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
     streams.run_available(writer)
     return spark.read.parquet(f"{out}/rows")
@@ -46,7 +56,7 @@ def dedup_stream(spark, sf):
 @query("score_stream", "posts", f"select external_id, score, signal_tags from ({_SCORED})")
 def score_stream(spark, sf):
     out = shared_folder(spark)
-    src = A.posts(_Landed(spark, sf), sf)
+    src = A.posts(_Landed(spark, "documents"), sf)
     streams.run_available(streams.score_stream(src, lambda p: scoring.rubric_score(p, PROFILE, AS_OF), f"{out}/rows", f"{out}/state"))
     return spark.read.parquet(f"{out}/rows").select("external_id", "score", joined("signal_tags"))
 
@@ -56,7 +66,7 @@ select external_id, case when {holds('of the')} or {holds('attion to')} then 'ho
 def hot_stream(spark, sf):
     out = shared_folder(spark)
     for branch, name in enumerate(("hot", "batch")):
-        src = streams.hot_stream(A.posts(_Landed(spark, sf), sf), ["of the", "attion to"])[branch].select("external_id", F.lit(name).alias("branch"))
+        src = streams.hot_stream(A.posts(_Landed(spark, "documents"), sf), ["of the", "attion to"])[branch].select("external_id", F.lit(name).alias("branch"))
         streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/{name}").option("checkpointLocation", f"{out}/{name}-state"))
     return spark.read.parquet(f"{out}/hot").unionByName(spark.read.parquet(f"{out}/batch"))
 
@@ -64,7 +74,7 @@ def hot_stream(spark, sf):
 @query("lookback_stream", "posts", "select external_id, posted_at from posts where posted_at >= {now} - interval '24' hour")
 def lookback_stream(spark, sf):
     out = shared_folder(spark)
-    src = streams.lookback_stream(A.posts(_Landed(spark, sf), sf), "posted_at", AS_OF).select("external_id", ntz("posted_at"))
+    src = streams.lookback_stream(A.posts(_Landed(spark, "documents"), sf), "posted_at", AS_OF).select("external_id", ntz("posted_at"))
     streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state"))
     return spark.read.parquet(f"{out}/rows")
 
@@ -79,23 +89,12 @@ with e as (select 'scraped' stage, scraped_at as "at" from posts
 
 def _streamed_funnel(spark, sf, **spans):
     out = shared_folder(spark)
-    landed = _Landed(spark, sf)
-    posts = A.posts(landed, sf)
-    leads = _streamed_leads(spark, landed, sf)
-    counts = streams.funnel_stream(posts, leads, A.drafts(landed, sf), late="365 days", **spans)
+    landed = _Landed(spark, "documents", "conversations")
+    counts = streams.funnel_stream(A.posts(landed, sf), A.leads(landed, sf), A.drafts(landed, sf), late="365 days", **spans)
     streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state"))
     return streams.latest_rows(spark, f"{out}/rows", ["starts_at", "stage"]).select(ntz("starts_at"), "stage", "n")
 
 
-def _streamed_leads(spark, landed, sf):
-    """Leads of the streamed posts; the labels are a stored table."""
-
-    class Mixed:
-        read = type("R", (), {"parquet": staticmethod(lambda path: landed.parquet(path) if "documents" in path else spark.read.parquet(path))})
-
-    return A.leads(Mixed, sf)
-
-
 @query("funnel_stream", "posts leads drafts", "select * from (" + _STAGES_SQL + """
 select date_trunc('day', "at") starts_at, stage, count(*) n from e group by 1, 2)""")
 def funnel_stream(spark, sf):
@@ -112,7 +111,7 @@ def funnel_stream_7d(spark, sf):
 select * from ({LIVE_SQL}) where epoch_us(last_beat_at) + 89999999 <= (select epoch_us(max(beat_at)) // 1000 * 1000 - 90000000 from heartbeats)""")
 def liveness_stream(spark, sf):
     out = shared_folder(spark)
-    src = streams.liveness_stream(A.heartbeats(_Landed(spark, sf), sf))
+    src = streams.liveness_stream(A.heartbeats(_Landed(spark, "events"), sf))
     streams.run_available(src.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state"))
     rows = spark.read.parquet(f"{out}/rows")
     return rows.select("instance_id", ntz("started_at"), ntz("last_beat_at"), "beats")
@@ -121,5 +120,5 @@ def liveness_stream(spark, sf):
 @query("failure_stream", "attempts", "select * from (" + _FOLD + ")")
 def failure_stream(spark, sf):
     out = shared_folder(spark)
-    streams.run_available(streams.failure_stream(A.attempts(_Landed(spark, sf), sf), f"{out}/folds", f"{out}/state"))
+    streams.run_available(streams.failure_stream(A.attempts(_Landed(spark, "events"), sf), f"{out}/folds", f"{out}/state"))
     return state.state_of(streams.newest_fold(spark, f"{out}/folds"))

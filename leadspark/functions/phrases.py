@@ -65,18 +65,20 @@ def held_phrases(fenced: Column, phrases: Sequence[str]) -> Column:
     return present(*[F.when(has_phrase(fenced, p), F.lit(p)) for p in phrases])
 
 
-def pieces(lowered: Column) -> Column:
-    """Letter runs and other characters in turn, starting and ending with a (possibly empty) letter run."""
-    return F.split(fence_all(lowered), MARK)
+def separators(lowered: Column) -> Column:
+    """How many characters of a phrase are no letters."""
+    return F.length(F.regexp_replace(lowered, r"\p{L}+", ""))
 
 
-def piece_grams(parts: Column, sizes: Column) -> Column:
-    """Distinct fenced sequences of the given numbers of pieces, each starting with a letter run."""
+def free_grams(lowered: Column, counts: Column) -> Column:
+    """Distinct parts of a text that no letter touches and that hold one of the given numbers of separators.
 
-    def grams_of(size: Column) -> Column:
-        last = F.size(parts) - size + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last, F.lit(2))).otherwise(F.array().cast("array<int>"))
-        longer = F.transform(starts, lambda i: F.array_join(F.slice(parts, i, size), MARK))
-        return F.array_distinct(F.when(size == 1, parts).otherwise(longer))
+    Each part starts where a letter run does, or could, and takes as many further (possibly empty) runs as it
+    has separators. A look-ahead finds overlapping parts in one pass over the text per number.
+    """
+
+    def grams(count: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?<!\p{L})(?=(\p{L}*+(?:[^\p{L}]\p{L}*+){"), count.cast("string"), F.lit("}))"))
+        return F.array_distinct(F.regexp_extract_all(lowered, pattern, F.lit(1)))
 
-    return F.flatten(F.transform(sizes, grams_of))
+    return F.flatten(F.transform(counts, grams))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadspark.functions.phrases import fence, fence_all, held_phrases, piece_grams, pieces
+from leadspark.functions.phrases import fence, free_grams, held_phrases, separators
 from leadspark.operators.filters import post_text
 from leadspark.operators.keyed import POST_KEY
 
@@ -14,14 +14,14 @@ from leadspark.operators.keyed import POST_KEY
 def phrase_hits(posts: DataFrame, phrases: DataFrame, keys: Sequence[str] = POST_KEY) -> DataFrame:
     """One row per post and held phrase, for a phrase table of any size.
 
-    ``phrases`` has ``phrase`` and ``rank``. Each post yields its own sequences of letter runs and other
-    characters, of the lengths that occur among the phrases; an equi-join finds those that are phrases.
-    Texts stay behind: only keys and short sequences move.
+    ``phrases`` has ``phrase`` and ``rank``. Each post yields its own parts with as many separators as occur
+    among the phrases; an equi-join finds those that are phrases. Texts stay behind: only keys and short
+    parts move.
     """
-    wanted = phrases.select("phrase", "rank", fence_all(F.lower("phrase")).alias("_gram"))
-    sizes = phrases.agg(F.collect_set(F.size(pieces(F.lower("phrase"))))).scalar()
-    parts = posts.select(*keys, pieces(post_text()).alias("_parts")).withColumn("_sizes", sizes)
-    grams = parts.select(*keys, F.explode(piece_grams(F.col("_parts"), F.col("_sizes"))).alias("_gram"))
+    wanted = phrases.select("phrase", "rank", F.lower("phrase").alias("_gram"))
+    counts = phrases.agg(F.collect_set(separators(F.lower("phrase")))).scalar()
+    texts = posts.select(*keys, post_text().alias("_text")).withColumn("_counts", counts)
+    grams = texts.select(*keys, F.explode(free_grams(F.col("_text"), F.col("_counts"))).alias("_gram"))
     return grams.join(wanted, "_gram").select(*keys, "phrase", "rank")
 
 
