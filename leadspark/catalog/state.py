@@ -66,9 +66,10 @@ def resets_applied(spark, sf):
 
 
 @query("apply_transitions", "posts leads", """
-with t as (select o_custkey id, o_orderstatus s, o_orderdate "at", o_orderkey seq from orders)
-select l.id, coalesce(arg_max(case t.s when 'F' then 'approved' when 'O' then 'sent' else 'lost' end, (t."at", t.seq)), l.status) status
-from leads l left join t on t.id = l.id group by l.id, l.status""")
+with t as (select o_custkey id, case o_orderstatus when 'F' then 'approved' when 'O' then 'sent' else 'lost' end s, o_orderdate "at", o_orderkey seq
+  from orders),
+m as (select id, arg_max(s, ("at", seq)) s from t group by id)
+select l.id, coalesce(m.s, l.status) status from leads l left join m on m.id = l.id""")
 def apply_transitions(spark, sf):
     kind = F.col("o_orderstatus")
     moves = A.table(spark, sf, "orders").select(
