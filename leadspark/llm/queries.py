@@ -64,3 +64,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.license_texts import LICENSE_TEXTS
+    from leadspark.llm.licenses import scan_licenses
+
+    known = spark.createDataFrame(list(LICENSE_TEXTS), "license_id string, text string")
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), known)
+    return found.select("doc_id", "digest", F.array_join("license_ids", ",").alias("license_ids"), "licensed")
+
+
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
