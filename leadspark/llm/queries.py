@@ -82,3 +82,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.warc import archive_pages
+
+    records = archive_pages(table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
