@@ -90,3 +90,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     records = archive_pages(table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.toxicity import fit, score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), held_out)
+    scored = score_toxicity(docs, model, held_out)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_toxic")
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.quality import judge_quality, measured
+    from leadspark.session import keep
+
+    judged = judge_quality(keep(measured(table(spark, sf_dir, "documents").select("doc_id", "text"), text=False)))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")

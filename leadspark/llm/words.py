@@ -22,6 +22,9 @@ PIECE_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: All of ASCII but letters and digits, for words free of punctuation.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of each value over all bits; one-to-one."""
@@ -103,14 +106,14 @@ def pieces(table, column: str = "text") -> Iterator:
         at = to
 
 
-def words_of(texts: pa.Array, fold: bool = False) -> Words:
-    """``fold`` hashes A-Z as a-z; all other bytes count as they are."""
+def words_of(texts: pa.Array, fold: bool = False, gaps: np.ndarray = SPACE) -> Words:
+    """``fold`` hashes A-Z as a-z; all other bytes count as they are. ``gaps`` says which bytes part words."""
     data, offsets = text_bytes(texts)
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(data, offsets, none, none, none, np.zeros(0, _U))
-    gap = SPACE[data]
+    gap = gaps[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.concatenate(([True], gap[:-1])) | edge[:-1]
