@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadspark.llm.arrays import add_minima, add_runs
 from leadspark.session import keep
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,50 +32,27 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _GAP), "")
 
 
-def _shifted(values: Column, by: int) -> Column:
-    return F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
-
-
-def _runs(values: Column, n: int, join) -> Column:
-    """Each value joined with the n - 1 after it, by doubling; the last n - 1 results are not whole."""
-    out, done, power, size = None, 0, values, 1
-    while size <= n:
-        if n & size:
-            out, done = (power, size) if out is None else (F.zip_with(out, _shifted(power, done), join), done + size)
-        if 2 * size <= n:
-            power = F.zip_with(power, _shifted(power, size), join)
-        size *= 2
-    return out
-
-
-def fingerprints(words: Column, window: int, gram: int) -> Column:
-    """The least hash of ``gram`` words in each window, in the order of the windows."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    runs = _runs(hashes, gram, lambda a, b: F.xxhash64(a, b))
-    least = _minima(runs, window - gram + 1)
-    return F.slice(least, 1, F.greatest(F.size(words) - (window - 1), F.lit(0)))
-
-
-def _minima(values: Column, n: int) -> Column:
-    size, power = 1, values
-    while 2 * size <= n:
-        power = F.zip_with(power, _shifted(power, size), lambda a, b: F.least(a, b))
-        size *= 2
-    return power if size == n else F.zip_with(power, _shifted(power, n - size), lambda a, b: F.least(a, b))
+def with_fingerprints(df: DataFrame, window: int, gram: int) -> DataFrame:
+    """Add ``marks`` to ``words``: the least hash of ``gram`` words in each window, in the order of the windows."""
+    columns = df.columns
+    df = df.withColumn("_hash", F.transform("words", lambda w: F.xxhash64(w)))
+    df = add_runs(df, "_hash", "_run", gram, lambda a, b: F.xxhash64(a, b))
+    df = add_minima(df, "_run", "_least", window - gram + 1)
+    return df.select(*columns, F.slice("_least", 1, F.greatest(F.size("words") - (window - 1), F.lit(0))).alias("marks"))
 
 
 def _text_of(words: Column, at: Column, n: int) -> Column:
     return F.array_join(F.slice(words, at + 1, n), " ")
 
 
-def _windows(words: str, length: int, window: int, gram: int) -> Column:
+def _windows(words: str, length: int, window: int) -> Column:
     """Structs of place, length, fingerprint and two hashes, one for each window of so many words."""
     texts = F.transform(F.sequence(F.lit(0), F.size(words) - length), lambda at: _text_of(F.col(words), at, length))
     entry = lambda at, text, mark: F.struct(at.alias("at"), F.lit(length).alias("length"), mark.alias("mark"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"))
     if length < window:
         made = F.transform(texts, lambda text, at: entry(at, text, F.xxhash64(text)))
     else:
-        made = F.zip_with(F.transform(texts, lambda text, at: F.struct(at.alias("at"), text.alias("text"))), fingerprints(F.col(words), window, gram), lambda t, mark: entry(t["at"], t["text"], mark))
+        made = F.zip_with(F.transform(texts, lambda text, at: F.struct(at.alias("at"), text.alias("text"))), F.col("marks"), lambda t, mark: entry(t["at"], t["text"], mark))
     return F.when(F.size(words) >= length, made).otherwise(F.array().cast("array<struct<at:int,length:int,mark:bigint,h1:bigint,h2:bigint>>"))
 
 
@@ -82,29 +60,29 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
     """The documents with ``n_words``, ``n_hit`` (words in windows of an item), ``n_items``, ``items`` (their ids as sorted strings) and ``contaminated``."""
     columns = [c for c in docs.columns if c not in _RESULT]
     item_words = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    item_words = keep(item_words)
+    item_words = keep(with_fingerprints(item_words, window, gram))
     # At most window - 1 lengths.
     short = sorted(r.n for r in item_words.select(F.size("words").alias("n")).where(F.col("n") < window).distinct().collect())
     own = [item_words.where(F.size("words") == n) for n in short] + [item_words.where(F.size("words") >= window)]
     windows = None
     for n, some in zip([*short, window], own):
-        part = some.select("item_id", F.explode(_windows("words", n, window, gram)).alias("w")).select("item_id", "w.*").drop("at")
+        part = some.select("item_id", F.explode(_windows("words", n, window)).alias("w")).select("item_id", "w.*").drop("at")
         windows = part if windows is None else windows.union(part)
     windows = keep(windows.distinct())
     marks = windows.select("mark").distinct()
 
     # Only the text is needed here: the same text has the same key.
     text_key = [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(7), "text").alias("k2")]
-    found = F.array_distinct(fingerprints(F.col("words"), window, gram))
+    found = F.array_distinct("marks")
     for n in short:
         grams = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda at, n=n: F.xxhash64(_text_of(F.col("words"), at, n)))
         found = F.array_union(found, F.when(F.size("words") >= n, grams).otherwise(F.array().cast("array<bigint>")))
-    seen = docs.select(*text_key, words_of(F.col("text")).alias("words")).select("k1", "k2", F.explode(found).alias("mark"))
+    seen = with_fingerprints(docs.select(*text_key, words_of(F.col("text")).alias("words")), window, gram).select("k1", "k2", F.explode(found).alias("mark"))
     suspects = seen.join(marks, "mark", "left_semi").select("k1", "k2").distinct()
 
     texts = docs.select(*text_key, "text").join(suspects, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    texts = texts.select("k1", "k2", words_of(F.col("text")).alias("words"))
-    places = F.flatten(F.array(*[_windows("words", n, window, gram) for n in [*short, window]]))
+    texts = with_fingerprints(texts.select("k1", "k2", words_of(F.col("text")).alias("words")), window, gram)
+    places = F.flatten(F.array(*[_windows("words", n, window) for n in [*short, window]]))
     match = ["length", "mark", "h1", "h2"]
     hits = texts.select("k1", "k2", F.explode(places).alias("w")).select("k1", "k2", "w.*").join(windows.select(*match).distinct(), match, "left_semi")
     hits = keep(hits)
