@@ -56,6 +56,12 @@ def _windows(words: str, length: int, window: int) -> Column:
     return F.when(F.size(words) >= length, made).otherwise(F.array().cast("array<struct<at:int,length:int,mark:bigint,h1:bigint,h2:bigint>>"))
 
 
+def _whole_windows(length: int) -> Column:
+    """The hash of every run of so many words, the fingerprint of an item of this length."""
+    runs = F.transform(F.sequence(F.lit(0), F.size("words") - length), lambda at: F.xxhash64(_text_of(F.col("words"), at, length)))
+    return F.when(F.size("words") >= length, runs).otherwise(F.array().cast("array<bigint>"))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 5) -> DataFrame:
     """The documents with ``n_words``, ``n_hit`` (words in windows of an item), ``n_items``, ``items`` (their ids as sorted strings) and ``contaminated``."""
     columns = [c for c in docs.columns if c not in _RESULT]
@@ -75,8 +81,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
     text_key = [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(7), "text").alias("k2")]
     found = F.array_distinct("marks")
     for n in short:
-        grams = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda at, n=n: F.xxhash64(_text_of(F.col("words"), at, n)))
-        found = F.array_union(found, F.when(F.size("words") >= n, grams).otherwise(F.array().cast("array<bigint>")))
+        found = F.array_union(found, _whole_windows(n))
     seen = with_fingerprints(docs.select(*text_key, words_of(F.col("text")).alias("words")), window, gram).select("k1", "k2", F.explode(found).alias("mark"))
     suspects = seen.join(marks, "mark", "left_semi").select("k1", "k2").distinct()
 
