@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadspark.functions.once import compute_once
+from leadspark.llm.arrays import add_runs
 from leadspark.session import keep
 
 CLASSES = 16_384
@@ -29,22 +31,13 @@ _RESULT = ("n_lines", "n_removed", "kept_text")
 _HASH = (1 << 56) - 1
 
 
-def _shifted(values: Column, by: int) -> Column:
-    return F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
-
-
-def _tokens(line: Column, words: int) -> Column:
-    """Hashes of the runs of so many words, in order, not yet distinct."""
-    hashes = F.transform(F.array_remove(F.split(line, _GAP), ""), lambda w: F.xxhash64(w))
-    out, done, power, size = None, 0, hashes, 1
-    join = lambda a, b: F.xxhash64(a, b)
-    while size <= words:
-        if words & size:
-            out, done = (power, size) if out is None else (F.zip_with(out, _shifted(power, done), join), done + size)
-        if 2 * size <= words:
-            power = F.zip_with(power, _shifted(power, size), join)
-        size *= 2
-    return F.slice(out, 1, F.greatest(F.size(hashes) - (words - 1), F.lit(0)))
+def _with_tokens(lines: DataFrame, words: int) -> DataFrame:
+    """``tokens`` in place of ``line``: hashes of the runs of so many words, in order, not yet distinct."""
+    columns = [c for c in lines.columns if c != "line"]
+    hashed = lines.withColumn("_hash", F.transform(F.array_remove(F.split("line", _GAP), ""), lambda w: F.xxhash64(w)))
+    runs = add_runs(hashed, "_hash", "_run", words, lambda a, b: F.xxhash64(a, b))
+    # Without this bar, a later filter would be moved below the steps and repeat them all, twice at each.
+    return compute_once(runs.select(*columns, F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0))).alias("tokens")), {"tokens": F.col("tokens")})
 
 
 def _ranked(tokens: Column, levels: Column) -> Column:
@@ -59,7 +52,7 @@ def _least_overlap(n: Column, percent: int) -> Column:
 
 def _levels(tokens: DataFrame) -> Column:
     """The level of each class, its count's power of two: an array of fixed size, a constant of the plan."""
-    found = tokens.select(F.explode("tokens").alias("t")).select(F.pmod("t", F.lit(CLASSES)).alias("id")).groupBy("id").count()
+    found = tokens.select(F.explode_outer("tokens").alias("t")).where("t is not null").select(F.pmod("t", F.lit(CLASSES)).alias("id")).groupBy("id").count()
     level = dict(found.select("id", F.floor(F.log2(F.col("count") + 1)).cast("int")).collect())
     return F.split(F.lit(",".join(str(level.get(i, 0)) for i in range(CLASSES))), ",").cast("array<tinyint>")
 
@@ -69,10 +62,11 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
     columns = [c for c in docs.columns if c not in _RESULT]
     keyed = docs.select("text", F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h")).alias("doc"))
     lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    plain = lines.select(_tokens(F.col("line"), words).alias("tokens"))
+    plain = _with_tokens(lines, words)
     levels = _levels(plain)
 
-    ranked = lines.select(F.struct("doc", "line_no").alias("at"), _ranked(_tokens(F.col("line"), words), levels).alias("codes")).where(F.size("codes") > 0)
+    # A long line's tokens are worked out once, whatever the filter asks first.
+    ranked = compute_once(plain.where(F.size("tokens") > 0).select(F.struct("doc", "line_no").alias("at"), "tokens"), {"codes": _ranked(F.col("tokens"), levels)})
     n = F.size("codes")
     sides = ranked.select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int")).alias("prefix"))
     sides = keep(sides)
@@ -85,8 +79,8 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
     met = live.select("k1", "k2", "at").distinct().select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line_no").alias("line_no"))
     texts = keyed.join(met.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
     sets = (
-        texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(met, ["doc", "line_no"])
-        .select("k1", "k2", F.array_distinct(_tokens(F.col("line"), words)).alias("set"))
+        _with_tokens(texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(met, ["doc", "line_no"]), words)
+        .select("k1", "k2", F.array_distinct("tokens").alias("set"))
     )
     earlier = _earlier(live, keep(sets), percent)
 
