@@ -43,9 +43,9 @@ select id // 50 page, 'reddit' platform, concat('t3_', id) external_id, concat('
   case when id % 19 = 0 then '' else body end body, concat('https://reddit.com/p/', id) url, posted_at,
   engagement_score score, id % 13 comments, 'of the' matched_keywords
 from posts
-where id % 50 < 40 and id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {now} - interval '120' hour""")
+where id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {now} - interval '120' hour""")
 def normalize_listing(spark, sf):
-    out = payloads.normalize_listing(_listing_payloads(spark, sf), AS_OF, lookback_hours=120, max_results=40)
+    out = payloads.normalize_listing(_listing_payloads(spark, sf), AS_OF, lookback_hours=120)
     return out.select(
         "page", "platform", "external_id", "subreddit", "author", "title", "body", "url", ntz("posted_at"),
         F.col("engagement")["score"].alias("score"), F.col("engagement")["comments"].alias("comments"), joined("matched_keywords"),
@@ -407,12 +407,12 @@ def numbers_and_times(spark, sf):
 
 @query("collect_cycle", "posts", f"""
 with l as (select 'reddit' platform, concat('t3_', id) external_id, author, title, case when id % 19 = 0 then '' else body end body, posted_at
-  from posts where id % 50 < 40 and id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {{now}} - interval '120' hour),
+  from posts where id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {{now}} - interval '120' hour),
 s as (select platform, external_id, author, title, body, posted_at from ({_SEARCH_SQL}))
 select * from (select * from l union all select * from s)
 where (platform, external_id) not in (select (platform, external_id) from posts where platform = 'reddit')""")
 def collect_cycle(spark, sf):
-    listing = payloads.normalize_listing(_listing_payloads(spark, sf), AS_OF, lookback_hours=120, max_results=40).drop("page")
+    listing = payloads.normalize_listing(_listing_payloads(spark, sf), AS_OF, lookback_hours=120).drop("page")
     search = payloads.normalize_search(_search_payloads(spark, sf), AS_OF, lookback_hours=120).drop("page")
     existing = A.posts(spark, sf).filter("platform = 'reddit'")
     new = cycles.collect_cycle(existing, [listing, search], AS_OF).new_posts

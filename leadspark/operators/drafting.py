@@ -21,7 +21,7 @@ BANNED_PHRASES = (
     "I noticed that you",
 )
 SENTENCE_END = r"[.!?]+(\s|$)"
-EMOJI_PATTERN = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"
+EMOJI_PATTERN = r"[\x{1F1E6}-\x{1F1FF}\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{231A}\x{231B}\x{23E9}-\x{23FA}\x{2B05}-\x{2B07}\x{2B1B}\x{2B1C}\x{2B50}\x{2B55}]"
 EM_DASH = "—"
 
 # Fixed value: drafts awaiting review beyond which drafting pauses.

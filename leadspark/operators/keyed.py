@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 POST_KEY = ("platform", "external_id")
 
 # Up to this n, Spark keeps only the first n rows per group in each task before the shuffle.
-_PRUNING_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _ranked(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[Column | str], n: int) -> DataFrame:
@@ -36,12 +35,9 @@ def cap_per_group(
     """The first ``min(n, cap)`` rows of each group.
 
     Each task prunes to n rows per group before the shuffle, so a hot group arrives as n rows per task.
-    For a larger n than the session prunes by default, its limit is raised; this changes plans, not results.
+    How large an n is pruned for is a setting of the session, which ``session.configure`` raises.
     """
     n = n if cap is None else min(n, cap)
-    conf = df.sparkSession.conf
-    if n >= int(conf.get(_PRUNING_LIMIT)):
-        conf.set(_PRUNING_LIMIT, str(n + 1))
     return _ranked(df, group, order_by, n)
 
 

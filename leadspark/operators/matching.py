@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,7 +41,9 @@ def match_phrases(
         hits = phrase_hits(posts, phrases, keys)
         ranked = F.array_sort(F.collect_set(F.struct("rank", "phrase")))
         found = hits.groupBy(*keys).agg(F.transform(ranked, lambda h: h["phrase"]).alias("matched_keywords"))
-        out = posts.drop("matched_keywords").join(found, list(keys), "left")
+        found = found.select(*[F.col(k).alias(f"_{k}") for k in keys], "matched_keywords")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        out = posts.drop("matched_keywords").join(found, same, "left").drop(*[f"_{k}" for k in keys])
         none = F.array().cast("array<string>")
         out = out.withColumn("matched_keywords", F.coalesce(F.col("matched_keywords"), none))
     return out.withColumn("first_match", F.get("matched_keywords", F.lit(0)))
@@ -49,7 +52,7 @@ def match_phrases(
 def mention_counts(posts: DataFrame, names: Sequence[str] | DataFrame, keys: Sequence[str] = POST_KEY) -> DataFrame:
     """Posts that mention each name, and when the last of them was posted."""
     if isinstance(names, DataFrame):
-        hits = phrase_hits(posts, names, keys).join(posts.select(*keys, "posted_at"), list(keys))
+        hits = phrase_hits(posts, names, [*keys, "posted_at"])
     else:
         fenced = posts.select("posted_at", fence(post_text(), names).alias("_fenced"))
         hits = fenced.select("posted_at", F.explode(held_phrases(F.col("_fenced"), names)).alias("phrase"))

@@ -21,9 +21,6 @@ RECENCY_WEIGHT = 15
 SPECIFICITY_WEIGHT = 10
 REACHABILITY_WEIGHT = 10
 
-# The reactions that the platforms count.
-ENGAGEMENT_KEYS = ("score", "comments", "likes", "replies", "retweets")
-
 # Hours up to which recency counts fully, half, and at all.
 FRESH_HOURS = 6
 HALF_HOURS = 24
@@ -48,8 +45,8 @@ class Profile:
 def _total_engagement(df: DataFrame) -> Column:
     if "engagement" not in df.columns:
         return F.lit(0)
-    counts = [F.coalesce(F.try_element_at("engagement", F.lit(k)), F.lit(0)) for k in ENGAGEMENT_KEYS]
-    return reduce(lambda a, b: a + b, counts)
+    counts = F.transform(F.map_values("engagement"), lambda v: F.coalesce(v, F.lit(0)).cast("bigint"))
+    return F.coalesce(F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, v: a + v), F.lit(0).cast("bigint"))
 
 
 def _recency_points(hours: Column) -> Column:

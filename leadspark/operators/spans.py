@@ -53,6 +53,8 @@ def live_sessions(heartbeats: DataFrame, stale_s: float = 90) -> DataFrame:
 def rate_budget(requests: DataFrame, limits: dict[str, tuple[int, int]] | None = None, slice_s: int = 86_400) -> DataFrame:
     """Seconds in which a platform made requests, with the requests of the span ending there.
 
+    A platform without a budget keeps its seconds, with neither a span nor a verdict.
+
     Requests are counted per second first. A second's count is then added where it begins to matter and
     taken away where its span ends, so that a running total is the rolling count at the cost of one pass.
     Each platform is cut into time slices; what still matters at the end of a slice opens the next one.
@@ -62,8 +64,7 @@ def rate_budget(requests: DataFrame, limits: dict[str, tuple[int, int]] | None =
     lasting = F.create_map(*[x for p, (_, span) in limits.items() for x in (F.lit(p), F.lit(span))])
     width = max([slice_s, *(span for _, span in limits.values())])
     counts = (
-        requests.filter(F.col("platform").isin(*limits))
-        .groupBy("platform", F.floor(micros(F.col("requested_at")) / F.lit(1_000_000)).alias("second"))
+        requests.groupBy("platform", F.floor(micros(F.col("requested_at")) / F.lit(1_000_000)).alias("second"))
         .agg(F.count("*").alias("requests"))
     )
     slice_of = lambda s: F.floor(s / width)
@@ -80,8 +81,12 @@ def rate_budget(requests: DataFrame, limits: dict[str, tuple[int, int]] | None =
         F.when(reach > own, change(reach, reach * width, made, none)),
         F.when(reach > own, change(reach, end, -made, none)),
     )
-    rows = counts.select("platform", F.inline(F.array_compact(changes)))
+    budgeted = F.coalesce(F.col("platform").isin(*limits), F.lit(False))
+    rows = counts.filter(budgeted).select("platform", F.inline(F.array_compact(changes)))
     so_far = W.partitionBy("platform", "slice").orderBy("second").rangeBetween(W.unboundedPreceding, W.currentRow)
     rolled = rows.withColumn("in_span", F.sum("by").over(so_far)).filter(F.col("requests") > 0)
     over = F.col("in_span") > F.element_at(allowed, F.col("platform"))
-    return rolled.select("platform", "second", "requests", "in_span", over.alias("over_budget"))
+    unknown = counts.filter(~budgeted).select(
+        "platform", "second", "requests", F.lit(None).cast("bigint").alias("in_span"), F.lit(None).cast("boolean").alias("over_budget")
+    )
+    return rolled.select("platform", "second", "requests", "in_span", over.alias("over_budget")).unionByName(unknown)

@@ -109,7 +109,7 @@ class Drafted:
 
 def draft_cycle(
     leads: DataFrame, posts: DataFrame, drafts: DataFrame, completer: Completer, profile: str, facts: str,
-    examples: str, as_of: Moment, store: str | None = None, n: int | None = 10, backlog: int = BACKLOG_LIMIT,
+    examples: str, as_of: Moment, store: str | None = None, n: int | None = None, backlog: int = BACKLOG_LIMIT,
 ) -> Drafted:
     """Draft for the best new leads unless too many drafts await review.
 

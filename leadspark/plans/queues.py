@@ -17,41 +17,22 @@ from leadspark.operators.filters import errors_only, unprocessed
 from leadspark.operators.joins import leads_with_posts
 from leadspark.operators.keyed import POST_KEY
 
-# A list up to this long is small enough to be looked up by broadcast.
-_SHORT_LIST = 10_000
-
 
 def _top(df: DataFrame, order: Sequence[Column | str], n: int | None) -> DataFrame:
-    ordered = df.orderBy(*order)
-    return ordered if n is None else ordered.limit(n)
+    """The first n rows; without n all rows, in no order, as an order is only of use to a list."""
+    return df if n is None else df.orderBy(*order).limit(n)
 
 
 def _top_with_posts(
     leads: DataFrame, posts: DataFrame, order: Sequence[Column | str], n: int | None, columns: Sequence[str]
 ) -> DataFrame:
-    """The first n leads that have a post, with their posts.
-
-    The choice is made on post ids alone; titles and bodies are only read for the chosen few.
-    """
-    if n is None or n > _SHORT_LIST:
-        return _top(leads_with_posts(leads, posts, columns), order, n)
-    ids = posts.select(F.col("id").alias("raw_post_id"))
-    chosen = _top(leads.join(ids, "raw_post_id", "left_semi"), order, n)
-    wide = posts.select(F.col("id").alias("raw_post_id"), *columns)
-    return wide.join(F.broadcast(chosen), "raw_post_id").orderBy(*order)
+    """The first n leads that have a post, with their posts; one plan for every n."""
+    return _top(leads_with_posts(leads, posts, columns), order, n)
 
 
 def score_batch(posts: DataFrame, score_log: DataFrame, n: int | None = 25) -> DataFrame:
-    """Posts to score next, the longest waiting first.
-
-    A short batch is chosen on the keys alone; texts are only read for the chosen posts.
-    """
-    order = ["scraped_at", *POST_KEY]
-    if n is None or n > _SHORT_LIST:
-        return _top(unprocessed(posts, score_log), order, n)
-    waiting = unprocessed(posts.select(*POST_KEY, "scraped_at"), score_log)
-    chosen = _top(waiting, order, n).select(*POST_KEY)
-    return posts.join(F.broadcast(chosen), list(POST_KEY), "left_semi").orderBy(*order)
+    """Posts to score next, the longest waiting first. One plan for every n: each task keeps its first n."""
+    return _top(unprocessed(posts, score_log), ["scraped_at", *POST_KEY], n)
 
 
 def draft_queue(leads: DataFrame, posts: DataFrame, n: int | None = 10, min_score: int = S.QUALIFIED_SCORE) -> DataFrame:

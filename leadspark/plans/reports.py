@@ -107,12 +107,14 @@ def _check(df: DataFrame, name: Column, ok: Column, detail: Column) -> DataFrame
 
 
 def health_report(tables: Mapping[str, DataFrame], as_of: Moment, stale_s: float = DOCTOR_STALE_S) -> DataFrame:
-    """Rows of ``check``, ``ok``, ``detail`` over whichever of the eight tables are given.
+    """Rows of ``check``, ``ok``, ``detail`` over whichever of the eight tables are given; a missing one fails the schema check.
 
     Tables present, beat fresh, sources per status, limits in force, errors of the last hour.
     """
     present = [name for name in S.TABLES if name in tables]
     total = len(S.TABLES)
+    spark = next(iter(tables.values())).sparkSession
+    tables = {name: tables[name] if name in tables else spark.createDataFrame([], schema) for name, schema in S.TABLES.items()}
     anchor = tables["heartbeats"].agg(F.max("beat_at").alias("last_beat_at"))
     age = seconds_between(moment(as_of, T.TimestampType()), F.col("last_beat_at"))
     seconds = F.floor(F.coalesce(age, F.lit(99_999.0)) + 0.5)

@@ -16,6 +16,8 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # Ranks up to this are pruned in each task before the shuffle.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
     )
 
 

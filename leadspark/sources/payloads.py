@@ -13,10 +13,6 @@ from leadspark.functions import text as X
 from leadspark.functions.times import Moment, epoch_to_ts, iso_to_ts
 from leadspark.operators.filters import drop_bot_like, eligible_listing, within_lookback
 
-# Results per phrase, and the most one search page may hold.
-MAX_RESULTS = 50
-SEARCH_CAP = 100
-
 
 def with_payload(raw: DataFrame, schema: T.StructType, column: str = "payload") -> DataFrame:
     """Parse the payload column if it is still JSON text."""
@@ -25,14 +21,15 @@ def with_payload(raw: DataFrame, schema: T.StructType, column: str = "payload")
     return raw
 
 
-def normalize_listing(raw: DataFrame, as_of: Moment, lookback_hours: float = 24, max_results: int = MAX_RESULTS) -> DataFrame:
+def normalize_listing(raw: DataFrame, as_of: Moment, lookback_hours: float = 24) -> DataFrame:
     """Post records of listing payloads.
 
-    ``raw`` has ``payload`` and ``keyword``; its other columns are passed through.
+    ``raw`` has ``payload`` and ``keyword``; its other columns are passed through. Pages count whole; for the newest
+    few per phrase, apply ``cap_per_group`` to the posts.
     """
     kept = [c for c in raw.columns if c not in ("payload", "keyword")]
     pages = with_payload(raw, S.LISTING)
-    posts = pages.select(*kept, "keyword", F.explode(F.slice("payload.data.children", 1, max_results)).alias("c"))
+    posts = pages.select(*kept, "keyword", F.explode("payload.data.children").alias("c"))
     posts = posts.select(*kept, "keyword", "c.data.*")
     posts = eligible_listing(posts.filter(F.col("id").isNotNull()))
     posts = within_lookback(posts.withColumn("posted_at", epoch_to_ts(F.col("created_utc"))), "posted_at", as_of, lookback_hours)
@@ -51,7 +48,7 @@ def normalize_listing(raw: DataFrame, as_of: Moment, lookback_hours: float = 24,
     )
 
 
-def normalize_search(raw: DataFrame, as_of: Moment, lookback_hours: float = 24, max_results: int = MAX_RESULTS) -> DataFrame:
+def normalize_search(raw: DataFrame, as_of: Moment, lookback_hours: float = 24) -> DataFrame:
     """Post records of search payloads.
 
     ``raw`` has ``payload`` and ``query``; its other columns are passed through. Authors are looked up
@@ -60,10 +57,9 @@ def normalize_search(raw: DataFrame, as_of: Moment, lookback_hours: float = 24,
     kept = [c for c in raw.columns if c not in ("payload", "query")]
     pages = with_payload(raw, S.SEARCH)
     users = F.col("payload.includes.users")
-    page = F.slice("payload.data", 1, min(max_results, SEARCH_CAP))
-    # A page holds at most a hundred posts, so the lookup inside the row stays small.
+    # The lookup stays inside the row, which holds one page.
     paired = F.transform(
-        page,
+        "payload.data",
         lambda t: F.struct(
             t.alias("t"), F.try_element_at(F.filter(users, lambda u: u["id"] == t["author_id"]), F.lit(-1)).alias("u")
         ),

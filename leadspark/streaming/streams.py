@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from leadspark import schemas as S
 from leadspark.functions.phrases import text_has_any
 from leadspark.functions.text import present
 from leadspark.functions.times import Moment
@@ -92,7 +93,7 @@ def stage_events(posts: DataFrame, leads: DataFrame, drafts: DataFrame) -> DataF
         reached(posts, "scraped_at", scraped=F.lit(True))
         .unionByName(
             reached(
-                leads, "scored_at", scored=F.lit(True), qualified=F.col("score") >= 75,
+                leads, "scored_at", scored=F.lit(True), qualified=F.col("score") >= S.QUALIFIED_SCORE,
                 responded=status == "responded", converted=status == "converted",
             )
         )
