@@ -55,7 +55,7 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 64, diverg
         kinds, number = np.unique(keys, return_inverse=True)
         return kinds, number, np.bincount(number, weights, len(kinds))
 
-    def asked(table, keys, weights, key_type=np.uint32, dtype=np.int64, everywhere=False):
+    def asked(table, keys, weights, key_type=np.uint32, dtype=np.uint32, everywhere=False):
         kinds, _, sums = distinct(keys, weights)
         return ask_table(table.column("chunk")[0].as_py(), n, kinds, key_type, more=sums.astype(dtype), all_buckets=everywhere)
 
@@ -67,10 +67,10 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 64, diverg
     def summed(turn, key_type=np.uint32):
         def answer(question):
             keys, starts = unpacked(question.column("keys"), key_type)
-            counts, _ = unpacked(question.column("more"), np.int64)
+            counts, _ = unpacked(question.column("more"), np.uint32)
             number, found = grouped(keys)
             total = np.zeros(found, np.int64)
-            np.add.at(total, number, counts)
+            np.add.at(total, number, counts.astype(np.int64))
             return answer_table(question, turn, starts, total[number], float(total.sum()), float((total > 0).sum()))
 
         return answer
