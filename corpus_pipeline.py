@@ -58,7 +58,7 @@ STAGES = [
     ("mixing", mixing),
 ]
 
-#: SQL cannot express the label model or the similarity joins; a brute-force version is in the tests.
+#: SQL cannot express the label model. The stages' operators are each tested against plain versions.
 ORACLE_SQL = None
 
 
