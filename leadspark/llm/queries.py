@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from leadspark.llm import sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, oracle: str | None = None):
     def register(run):
         QUERIES[name] = run
-        if sql is not None:
-            SQL[name] = sql
+        if oracle is not None:
+            SQL[name] = oracle
         return run
 
     return register
@@ -24,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", sql.SUBSTRING_DEDUP)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.substring_dedup import dedup_substrings
 
@@ -40,7 +42,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-@query("op7_ngram_jaccard")
+@query("op7_ngram_jaccard", sql.NGRAM_JACCARD)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.jaccard_join import similar_components
 
@@ -57,7 +59,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(sizes).drop("source")
 
 
-@query("op2_decontamination")
+@query("op2_decontamination", sql.DECONTAMINATION)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.decontamination import decontaminate
 
@@ -76,7 +78,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "digest", F.array_join("license_ids", ",").alias("license_ids"), "licensed")
 
 
-@query("op6_line_dedup")
+@query("op6_line_dedup", sql.LINE_DEDUP)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.line_dedup import dedup_lines
 
@@ -84,7 +86,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op8_warc")
+@query("op8_warc", sql.WARC)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.warc import archive_pages
 
