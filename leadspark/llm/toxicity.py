@@ -75,7 +75,8 @@ def _counts(training: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500, most_words: int = 4096, least_share: float = 0.03) -> Model | None:
     """Learn from the labelled rows where ``held_out`` is false."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    training = docs.where(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
+    learned = docs.where(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    training = learned.join(known, "doc_id")
     sizes = {r.toxic > 0: r.n for r in training.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
@@ -94,7 +95,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("toxic").combine_chunks().cast(pa.int32()), *(pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()), strict=True))], names=["doc_id", "toxic", "row_at", "grade", "tokens"])
 
-    some = [training.where(F.col("toxic") > 0 if kind else F.col("toxic") <= 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for kind in (True, False)]
+    # Ids are drawn first: they are at most ``sample``, small enough to broadcast, so that no text is shuffled for the draw.
+    by = [F.xxhash64("doc_id"), F.col("doc_id")]
+    some = []
+    for kind in (F.col("toxic") > 0, F.col("toxic") <= 0):
+        ids = training.where(kind).select("doc_id", "toxic").distinct().orderBy(*by).limit(sample)
+        some.append(learned.join(F.broadcast(ids), "doc_id").orderBy(*by).limit(sample))
     rows = some[0].union(some[1]).mapInArrow(grade, _SAMPLE).collect()
     sequences = [(np.array(r.row_at, np.int64), np.array(r.grade, np.int64), r.tokens) for r in rows]
     truth = np.array([r.toxic > 0 for r in rows])
