@@ -1,14 +1,16 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-Token labels come from the document labels: a word (ASCII punctuation stripped, A-Z as a-z) that is common among the
-toxic training documents and rare among the others is evidence, in a grade by its log-odds; evidence tokens of toxic
-documents are labelled toxic, all other tokens are not. A two-state chain (clean, toxic) with a weight for each grade
+Token labels come from the document labels: a word (ASCII punctuation stripped, A-Z as a-z) of ``support`` toxic training
+documents that is more frequent among them than chance allows (log-likelihood ratio of ``least_ratio``) is evidence, in a
+grade by its smoothed log-odds, of which the lowest begins at 1; evidence tokens of toxic documents are labelled toxic,
+all other tokens are not. A two-state chain (clean, toxic) with a weight for each grade
 and transition is fitted to these labels. Forward-backward marginals give each token's probability of being toxic;
 a document's score is a logistic function of their sum and of the chance of any, and tokens of a half or more are its offending spans.
 
-Word statistics cover all labelled training documents. The chain and the logistic function are fitted on the driver to
-a bounded sample of them (``sample`` documents of each label, those with the least hashes); the evidence words are at
-most ``most_words``, those found in most toxic documents. Stretches without evidence have constant potentials, so a
+Word statistics cover all labelled training documents, and all evidence words are used: a table of up to ``SENT_WORDS``
+goes to every task, a larger one stays a table, which chunks of documents ask about their words. The chain and the
+logistic function are fitted on the driver to a bounded sample of the training documents (``sample`` of each label, those
+with the least hashes). Stretches without evidence have constant potentials, so a
 chain steps over them by a matrix power: marginals are exact at every evidence token, and work grows with those.
 
 Defined cases: a null text is empty. An empty text has no tokens and the score of no evidence. A null label counts as
@@ -18,14 +20,19 @@ document count as toxic if any is. Repeated rows are scored alike. Other columns
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadspark.llm.words import MARKS, pieces, words_of
+from leadspark.llm.rounds import ANSWER, ASK, Chunks, answer_of, answer_table, ask_table, unpacked
+from leadspark.llm.words import MARKS, Words, pieces, words_of
+from leadspark.session import keep
 
+#: A word table of more rows (9 bytes each) is not sent to the tasks.
+SENT_WORDS = 1 << 20
 _GRADES = np.array([1.0, 2.0, 3.0, 4.0, 5.0])
 _COUNTS = "word long, toxic long, clean long"
 _SAMPLE = "doc_id long, toxic int, row_at array<long>, grade array<int>, tokens long"
@@ -49,7 +56,9 @@ class Evidence:
 
 @dataclass
 class Model:
-    evidence: Evidence
+    """``evidence`` is a table of ``word`` and ``grade`` if it is too large to be sent."""
+
+    evidence: Evidence | DataFrame
     chain: np.ndarray
     link: np.ndarray
 
@@ -72,8 +81,67 @@ def _counts(training: DataFrame) -> DataFrame:
     return training.mapInArrow(count, _COUNTS).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500, most_words: int = 4096, least_share: float = 0.03) -> Model | None:
-    """Learn from the labelled rows where ``held_out`` is false."""
+def _ratio(a: Column, b: Column, toxic: int, clean: int) -> Column:
+    """Twice the log-likelihood ratio of a word in ``a`` of the toxic and ``b`` of the clean documents to one at the same rate in both."""
+    n = toxic + clean
+    part = lambda found, total, share: F.when(found > 0, found * F.log(found * n / (total * share))).otherwise(0.0)
+    without = F.lit(n) - a - b
+    return 2 * (part(a, a + b, toxic) + part(b, a + b, clean) + part(F.lit(toxic) - a, without, toxic) + part(F.lit(clean) - b, without, clean))
+
+
+def _evidence(training: DataFrame, toxic: int, clean: int, support: int, least_ratio: float) -> Evidence | DataFrame:
+    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    clear = _counts(training).where(F.col("toxic") >= support).withColumn("odds", odds)
+    clear = clear.where((F.col("odds") >= float(_GRADES[0])) & (_ratio(F.col("toxic"), F.col("clean"), toxic, clean) >= least_ratio))
+    grade = sum(((F.col("odds") >= float(g)).cast("int") for g in _GRADES[1:]), F.lit(1))
+    words = keep(clear.select("word", grade.cast("byte").alias("grade")))
+    if words.count() > SENT_WORDS:
+        return words
+    found = words.toArrow()
+    hashes = found.column("word").to_numpy().view(np.uint64)
+    by = np.argsort(hashes)
+    return Evidence(hashes[by], found.column("grade").to_numpy().astype(np.int64)[by])
+
+
+def _graded(rows: DataFrame, evidence: Evidence | DataFrame, work: Callable[[pa.Table, Words, Callable[[np.ndarray], np.ndarray]], pa.RecordBatch], schema: str) -> DataFrame:
+    """``work(rows, their words, grades of hashes)`` for all rows, piece by piece."""
+    if isinstance(evidence, Evidence):
+
+        def on_batches(batches):
+            for batch in batches:
+                for piece in pieces(pa.Table.from_batches([batch])):
+                    yield work(piece, words_of(piece.column("text"), True, MARKS), evidence.of)
+
+        return rows.mapInArrow(on_batches, schema)
+    chunks = Chunks(rows)
+    n = chunks.n
+
+    def ask(table):
+        kinds = [np.unique(words_of(piece.column("text"), True, MARKS).hash) for piece in pieces(table)]
+        return ask_table(table.column("chunk")[0].as_py(), n, np.unique(np.concatenate(kinds)), np.uint64)
+
+    def answer(asked, known):
+        keys, starts = unpacked(asked.column("keys"), np.uint64)
+        words = known.column("word").to_numpy().view(np.uint64)
+        by = np.argsort(words)
+        return answer_table(asked, 1, starts, Evidence(words[by], known.column("grade").to_numpy()[by]).of(keys).astype(np.uint8))
+
+    def on_chunk(table, answers):
+        out = []
+        for piece in pieces(table):
+            w = words_of(piece.column("text"), True, MARKS)
+            kinds, number = np.unique(w.hash, return_inverse=True)
+            grades = answer_of(answers, 1, kinds, n, np.uint8)[0].astype(np.int64)[number]
+            out.append(work(piece, w, lambda _, grades=grades: grades))
+        return pa.Table.from_batches(out)
+
+    dealt = evidence.select(F.expr(f"shiftrightunsigned(word, 40) % {n}").alias("bucket"), "word", "grade")
+    answers = chunks.apply(lambda table, _: ask(table), ASK).groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, ANSWER)
+    return chunks.apply(on_chunk, schema, answers)
+
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500, support: int = 3, least_ratio: float = 10.83) -> Model | None:
+    """Learn from the labelled rows where ``held_out`` is false. A ratio of 10.83 has a chance of one in a thousand."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     learned = docs.where(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     training = learned.join(known, "doc_id")
@@ -81,19 +149,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
         return None
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    common = _counts(training).where((F.col("toxic") >= max(3, least_share * toxic)) & (F.col("toxic") > F.col("clean"))).withColumn("odds", odds).where(F.col("odds") >= float(_GRADES[0]))
-    chosen = sorted((np.uint64(r.word & 0xFFFFFFFFFFFFFFFF), r.odds) for r in common.orderBy(F.desc("toxic"), "word").limit(most_words).collect())
-    evidence = Evidence(np.array([w for w, _ in chosen], np.uint64), np.searchsorted(_GRADES, [o for _, o in chosen], "right") if chosen else np.zeros(0, np.int64))
+    evidence = _evidence(training, toxic, clean, support, least_ratio)
 
-    def grade(batches):
-        for batch in batches:
-            for piece in pieces(pa.Table.from_batches([batch])):
-                out = [[], [], []]
-                for at, grades, total in _events(words_of(piece.column("text"), True, MARKS), evidence):
-                    for column, value in zip(out, (at, grades, total), strict=True):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("toxic").combine_chunks().cast(pa.int32()), *(pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()), strict=True))], names=["doc_id", "toxic", "row_at", "grade", "tokens"])
+    def grade(piece, w, grades_of):
+        out = [[], [], []]
+        for at, grades, total in _events(w, grades_of(w.hash)):
+            for column, value in zip(out, (at, grades, total), strict=True):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("toxic").combine_chunks().cast(pa.int32()), *(pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()), strict=True))], names=["doc_id", "toxic", "row_at", "grade", "tokens"])
 
     # Ids are drawn first: they are at most ``sample``, small enough to broadcast, so that no text is shuffled for the draw.
     by = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -101,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500
     for kind in (F.col("toxic") > 0, F.col("toxic") <= 0):
         ids = training.where(kind).select("doc_id", "toxic").distinct().orderBy(*by).limit(sample)
         some.append(learned.join(F.broadcast(ids), "doc_id").orderBy(*by).limit(sample))
-    rows = some[0].union(some[1]).mapInArrow(grade, _SAMPLE).collect()
+    rows = _graded(some[0].union(some[1]), evidence, grade, _SAMPLE).collect()
     sequences = [(np.array(r.row_at, np.int64), np.array(r.grade, np.int64), r.tokens) for r in rows]
     truth = np.array([r.toxic > 0 for r in rows])
     chain = _fit_chain(sequences, truth)
@@ -113,9 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500
     return model
 
 
-def _events(w, evidence: Evidence):
+def _events(w: Words, grades: np.ndarray):
     """``(places, grades, number of tokens)`` of the evidence tokens of each text."""
-    grades = evidence.of(w.hash)
     at = np.flatnonzero(grades)
     ends = np.cumsum(w.per_row())
     begins = ends - w.per_row()
@@ -251,20 +313,19 @@ def score_toxicity(docs: DataFrame, model: Model | None, held_out: Column) -> Da
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_toxic"), F.array().cast("array<struct<at: long, end: long>>").alias("spans"))
 
-    def score(batches):
-        for batch in batches:
-            for piece in pieces(pa.Table.from_batches([batch])):
-                w = words_of(piece.column("text"), True, MARKS)
-                begins = np.cumsum(w.per_row()) - w.per_row()
-                scores, counts, spans = [], [], []
-                for k, (at, grades, total) in enumerate(_events(w, model.evidence)):
-                    p = _marginals(model.chain, at, grades, total)
-                    scores.append(1 / (1 + np.exp(-np.clip(np.dot(_features(p), model.link), -30, 30))))
-                    bad = at[p >= 0.5] + begins[k]
-                    counts.append(len(bad))
-                    spans.append([{"at": int(w.at[b] - w.offsets[k]), "end": int(w.end[b] - w.offsets[k])} for b in bad])
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id").combine_chunks(), piece.column("held_out").combine_chunks(), pa.array(scores, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, _RESULT.field("spans").type)], schema=_RESULT
-                )
-
-    return rows.mapInArrow(score, RESULT)
+    def score(piece, w, grades_of):
+        begins = np.cumsum(w.per_row()) - w.per_row()
+        scores, counts, spans = [], [], []
+        for k, (at, grades, total) in enumerate(_events(w, grades_of(w.hash))):
+            p = _marginals(model.chain, at, grades, total)
+            scores.append(1 / (1 + np.exp(-np.clip(np.dot(_features(p), model.link), -30, 30))))
+            bad = at[p >= 0.5] + begins[k]
+            counts.append(len(bad))
+            spans.append([{"at": int(w.at[b] - w.offsets[k]), "end": int(w.end[b] - w.offsets[k])} for b in bad])
+        return pa.RecordBatch.from_arrays(
+            [piece.column("doc_id").combine_chunks(), piece.column("held_out").combine_chunks(), pa.array(scores, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, _RESULT.field("spans").type)], schema=_RESULT
+        )
+
+    # The model goes along with the tasks, and a table in it must not.
+    evidence, model = model.evidence, Model(None, model.chain, model.link)
+    return _graded(rows, evidence, score, RESULT)

@@ -236,6 +236,25 @@ def test_toxicity(spark, docs, none):
     assert fit(some, labels.limit(0), held) is None and {r.score for r in score_toxicity(docs, None, held).collect()} == {0.0}
 
 
+def test_toxicity_uses_rare_words(spark, monkeypatch):
+    from leadspark.llm import toxicity
+
+    held = F.col("doc_id") >= 2400
+    # 120 vile words, each in 4 of 480 toxic training documents: under 3% of them.
+    texts = [(i, f"plain words number {i % 13} of text" + (f" vile{i // 5 % 120}" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(3000)]
+    some = spark.createDataFrame([t[:2] for t in texts] + [(None, None), (None, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in texts], "doc_id long, toxic int")
+    out = []
+    for most in (1 << 20, 5):
+        monkeypatch.setattr(toxicity, "SENT_WORDS", most)
+        model = toxicity.fit(some, labels, held)
+        assert isinstance(model.evidence, toxicity.Evidence) == (most > 5)
+        rows = toxicity.score_toxicity(some, model, held).collect()
+        assert all((r.score >= 0.3) == (r.doc_id % 5 == 0) for r in rows if r.doc_id is not None)
+        out.append(bag((r.doc_id, round(r.score, 6), r.n_toxic, str(r.spans)) for r in rows))
+    assert out[0] == out[1]
+
+
 def test_quality(docs, rows, none):
     from leadspark.llm.quality import judge_quality, measured
 
