@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines with an earlier near copy go, and with them documents of which no word is left."""
-    kept = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    """Lines with an earlier near copy go, short ones with an earlier equal one, and with them documents of which no word is left."""
+    kept = dedup_lines(docs, short_lines=True).where((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col("n_removed") > 0
     columns = {"text": F.col("kept_text"), "n_chars": F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
     return kept.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])

@@ -12,7 +12,9 @@ that match it are settled, and only the others meet further classes, more at eac
 A line is removed if a near copy of it stands earlier: in a document of smaller ``doc_id``, or further up in the same
 one. Lines are judged on the input, not on what is left.
 
-Defined cases: lines are cut at newlines. Lines of fewer than five words, blank ones among them, stay and remove nothing.
+Defined cases: lines are cut at newlines. Blank lines stay and remove nothing. With ``short_lines``, a line of one to four
+words has its whole word sequence as its one token, so it goes if an exact copy of the sequence stands earlier; without,
+such lines stay and remove nothing.
 A null text has no lines and stays null. A null ``doc_id`` comes last. Texts of one ``doc_id`` are ordered by a hash of
 their text; equal rows don't remove each other's lines. Other columns are kept; those named as a result are replaced.
 """
@@ -31,13 +33,16 @@ _RESULT = ("n_lines", "n_removed", "kept_text")
 _HASH = (1 << 56) - 1
 
 
-def _with_tokens(lines: DataFrame, words: int) -> DataFrame:
+def _with_tokens(lines: DataFrame, words: int, short_lines: bool) -> DataFrame:
     """``tokens`` in place of ``line``: hashes of the runs of so many words, in order, not yet distinct."""
     columns = [c for c in lines.columns if c != "line"]
     hashed = lines.withColumn("_hash", F.transform(F.array_remove(F.split("line", _GAP), ""), lambda w: F.xxhash64(w)))
     runs = add_runs(hashed, "_hash", "_run", words, lambda a, b: F.xxhash64(a, b))
+    tokens = F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0)))
+    if short_lines:
+        tokens = F.when(F.size("_hash").between(1, words - 1), F.array(F.xxhash64("_hash", F.size("_hash")))).otherwise(tokens)
     # Without this bar, a later filter would be moved below the steps and repeat them all, twice at each.
-    return compute_once(runs.select(*columns, F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0))).alias("tokens")), {"tokens": F.col("tokens")})
+    return compute_once(runs.select(*columns, tokens.alias("tokens")), {"tokens": F.col("tokens")})
 
 
 def _ranked(tokens: Column, levels: Column) -> Column:
@@ -57,12 +62,12 @@ def _levels(tokens: DataFrame) -> Column:
     return F.split(F.lit(",".join(str(level.get(i, 0)) for i in range(CLASSES))), ",").cast("array<tinyint>")
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5, short_lines: bool = False) -> DataFrame:
     """The documents with ``n_lines``, ``n_removed`` and ``kept_text``."""
     columns = [c for c in docs.columns if c not in _RESULT]
     keyed = docs.select("text", F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h")).alias("doc"))
     lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    plain = _with_tokens(lines, words)
+    plain = _with_tokens(lines, words, short_lines)
     levels = _levels(plain)
 
     # A long line's tokens are worked out once, whatever the filter asks first.
@@ -79,7 +84,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
     met = live.select("k1", "k2", "at").distinct().select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line_no").alias("line_no"))
     texts = keyed.join(met.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
     sets = (
-        _with_tokens(texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(met, ["doc", "line_no"]), words)
+        _with_tokens(texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(met, ["doc", "line_no"]), words, short_lines)
         .select("k1", "k2", F.array_distinct("tokens").alias("set"))
     )
     earlier = _earlier(live, keep(sets), percent)

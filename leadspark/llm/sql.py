@@ -75,6 +75,9 @@ SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_r
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+#: The same with lines of one to four words, each of them one run.
+LINE_DEDUP_SHORT = LINE_DEDUP.replace("unnest(range(1, len(w) - 3)) AS u(p))", "unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(p) WHERE len(w) > 0)")
+
 #: A SHA-1 of 160 bits is 8 groups of 5 hex digits, each 4 base32 digits.
 WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),

@@ -173,6 +173,22 @@ def test_lines(docs, rows, none):
     assert dedup_lines(none).collect() == []
 
 
+def test_short_lines(spark, docs, rows, none):
+    import corpus_pipeline
+    from leadspark.llm.line_dedup import dedup_lines
+
+    texts = [(1, "Les.\n\nThe end of it\n le s.", "en"), (2, " Les. \n\nthe end of it\nLes.\nThe  end of it", "en"), (3, "a b c d e\na b c d", "en"), (4, "a b c d\nb c d e\nLes.", "en"), (None, "Les.", "en")]
+    some = spark.createDataFrame(texts, "doc_id long, text string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
+    got = {r.doc_id: (r.n_removed, r.kept_text) for r in dedup_lines(some, short_lines=True).collect()}
+    assert got == {1: (0, texts[0][1]), 2: (3, "\nthe end of it"), 3: (0, texts[2][1]), 4: (2, "b c d e"), None: (1, "")}
+    stage = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, some, "").collect()}
+    assert stage == {1: texts[0][1], 2: "\nthe end of it", 3: texts[2][1], 4: "b c d e"}
+    # Without short lines, the operator is as it was; with them, no more than those go in addition.
+    plain = {(r.doc_id, r.text): r.n_removed for r in dedup_lines(docs).collect()}
+    assert all(r.n_removed >= plain[(r.doc_id, r.text)] for r in dedup_lines(docs, short_lines=True).collect())
+    assert dedup_lines(none, short_lines=True).collect() == []
+
+
 @pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
 def test_jaccard(docs, rows, none, n, percent):
     from leadspark.llm.jaccard_join import similar_components
