@@ -1,12 +1,15 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The tree's states are contexts of no, one or two words. A context is a candidate if training texts hold it often
-enough; it stays if the words after it differ from those after its shorter suffix: the log-likelihood of its
-training words, each left out of the counts in turn, must gain at least ``divergence`` nats over the suffix. A state's
+The tree's states are contexts of no word up to ``longest`` words. A context is a candidate if training texts hold it
+``min_context`` times; it stays if the words after it differ from those after its shorter suffix: the log-likelihood of its
+training words, each left out of the counts in turn, must gain at least ``divergence`` nats over the suffix. Contexts grow
+by a word at each round; where the suffixes two and three words shorter have both been dropped, no longer one is asked
+about, so the tree ends by itself where contexts tell nothing more. A round asks about the longer contexts while the gain
+of the shorter ones is summed. A state's
 next-word distribution is smoothed by that of its suffix, down to the add-one root, so every state's probabilities sum
 to one over the known words and one unknown word. A text is scored from the longest state that its last words reach.
 
-Counts cover all training texts. Words are counted by 64-bit hashes; runs of two and three words by the hash range of
+Counts cover all training texts. Words are counted by 64-bit hashes; runs of words by the hash range of
 their bucket and 32 bits more, so a few runs in 100,000 may share a count.
 
 Defined cases: a null text is empty and has one token, its end. A null ``doc_id`` counts as training. Without training
@@ -23,15 +26,18 @@ from leadspark.llm.rounds import ASK, Chunks, answer_of, answer_table, ask_table
 from leadspark.llm.words import grams
 
 _END = np.uint64(0x5EEDED0FD0C00001)
-_DEEP = np.uint64(0xA5A5A5A5A5A5A5A5)
+#: Turns from here on answer whether the contexts of so many words stay.
+_STAYS = 1000
+_GAIN = b"gain"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, n_deep long, train_tokens long, base_score double, score double"
 _RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_deep", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def score_texts(docs: DataFrame, held_out: Column, min_context: int = 64, divergence: float = 2.0, backoff: float = 0.8) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, divergence: float = 2.0, backoff: float = 0.8, longest: int = 6) -> DataFrame:
     """Learn from the rows where ``held_out`` is false and score all rows.
 
-    ``min_context``: occurrences that make a context a candidate. ``backoff``: a state seen n times gives its suffix
+    ``min_context``: occurrences that make a context a candidate; the estimate needs two, as each is left out in turn.
+    ``longest``: words of the longest contexts, each of which costs a round. ``backoff``: a state seen n times gives its suffix
     the weight of n to this power. Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known`` (tokens seen in
     training), ``n_deep`` (tokens scored by a state below the root), ``train_tokens``, ``base_score`` (add-one
     unigrams) and ``score``, both log10 of the text's probability.
@@ -79,74 +85,84 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 64, diverg
         token, _, counted = tokens(table)
         return asked(table, token, counted, np.uint64, everywhere=True)
 
-    def pairs(table, answers):
-        """Word counts, and the places whose last word may be a context."""
+    def weight(count):
+        return count.astype(float) ** backoff
+
+    def states(table, answers, known):
+        """``(tokens, rows, whether they count, their counts, total, kinds, levels)``. A level is a context length up to
+        ``known``, with the places after its contexts, the contexts' counts, and those with the next word. Also gives
+        the places and counts that the next level may ask about.
+        """
         token, row, counted = tokens(table)
         c1, total, kinds = answered(answers, 1, token, np.int64)
-        at = np.flatnonzero((row[1:] == row[:-1]) & (c1[:-1] >= min_context)) + 1
-        return token, row, counted, c1, total, kinds, at, grams(token, 2)[at - 1]
-
-    def ask_pairs(table, answers):
-        _, _, counted, _, _, _, at, pair = pairs(table, answers)
-        return asked(table, pair, counted[at])
-
-    def triples(table, answers):
-        token, row, counted, c1, total, kinds, at, pair = pairs(table, answers)
-        c2 = np.zeros(len(token), np.int64)
-        c2[at] = answered(answers, 2, pair, np.int64)[0]
-        at3 = at[(c2[at - 1] >= min_context) & (c1[at - 1] >= min_context)]
-        return token, row, counted, c1, c2, total, kinds, at, at3, grams(token, 3)[at3 - 2]
+        held, stays, levels = c1, [np.ones(len(token), bool)] * 2, []
+        asked_before = stays[0]
+        for size in range(1, known + 2):
+            at = np.arange(size, len(token))
+            at = at[(row[at] == row[at - size]) & (held[at - 1] >= min_context) & asked_before[at] & (stays[-1][at] | stays[-2][at])]
+            if size > known:
+                return token, row, counted, c1, total, kinds, levels, at
+            found = answered(answers, size + 1, grams(token, size + 1)[at - size], np.int64)[0] if len(at) else np.zeros(0, np.int64)
+            levels.append((at, held[at - 1], found))
+            held, asked_before = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
+            held[at], asked_before[at] = found, True
+            if size > 1:
+                stays.append(retained_at(answers, token, size - 1, levels[size - 2][0]))
+
+    def retained_at(answers, token, size, at):
+        stays = np.zeros(len(token), bool)
+        if len(at):
+            stays[at] = answered(answers, _STAYS + size, grams(token, size)[at - size], np.uint8)[0] > 0
+        return stays
+
+    def ask_longer(size):
+        """Counts of the contexts of ``size`` words with the next one, if any are left to ask about; and what each context
+        of one word less gains over its suffix in this chunk, each token left out of its own counts.
+        """
+
+        def ask(table, answers):
+            token, _, counted, c1, total, kinds, levels, at = states(table, answers, size - 1)
+            out = []
+            if size <= longest and len(at):
+                out.append(asked(table, grams(token, size + 1)[at - size], counted[at]))
+            if size > 1 and len(levels[-1][0]):
+                left = counted.astype(np.int64)
+                p = np.maximum(c1 + 1 - left, 1) / (total + kinds + 1)
+                for at, held, found in levels:
+                    seen, shorter = weight(held), p[at]
+                    p[at] = (found - left[at] + seen * shorter) / (held - left[at] + seen)
+                gains = asked(table, grams(token, size - 1)[at - size + 1], np.log(p[at] / shorter) * left[at], dtype=np.float32)
+                out.append(gains.set_column(4, "flags", pa.array([_GAIN] * gains.num_rows, pa.binary())))
+            return pa.concat_tables(out) if out else asked(table, token[:0], counted[:0])
+
+        return ask
+
+    def answer_longer(size):
+        count = summed(size + 1)
 
-    def ask_triples(table, answers):
-        *_, counted, _, _, _, _, _, at3, triple = triples(table, answers)
-        return asked(table, triple, counted[at3])
+        def answer(question):
+            is_gain = pa.compute.is_valid(question.column("flags"))
+            return pa.concat_tables([count(question.filter(pa.compute.invert(is_gain))), retained(question.filter(is_gain), _STAYS + size - 1)])
 
-    def weight(count):
-        return count.astype(float) ** backoff
+        return answer
 
-    def contexts(table, answers):
-        token, row, counted, c1, c2, total, kinds, at, at3, triple = triples(table, answers)
-        c3 = np.zeros(len(token), np.int64)
-        c3[at3] = answered(answers, 3, triple, np.int64)[0]
-        deep = (grams(token, 2)[at3 - 2] ^ _DEEP) if len(at3) else np.zeros(0, np.uint64)
-        return token, row, counted, c1, c2, c3, total, kinds, at, at3, token[at - 1], deep
-
-    def ask_contexts(table, answers):
-        """What each context gains over its suffix in this chunk, each token left out of its own counts."""
-        _, _, counted, c1, c2, c3, total, kinds, at, at3, flat, deep = contexts(table, answers)
-        left = counted.astype(np.int64)
-        p0 = np.maximum(c1 + 1 - left, 1) / (total + kinds + 1)
-        held, seen = c1[at - 1], weight(c1[at - 1])
-        p1 = p0.copy()
-        p1[at] = (c2[at] - left[at] + seen * p0[at]) / (held - left[at] + seen)
-        held, seen = c2[at3 - 1], weight(c2[at3 - 1])
-        p2 = (c3[at3] - left[at3] + seen * p1[at3]) / (held - left[at3] + seen)
-        gain = np.concatenate((np.log(p1[at] / p0[at]) * left[at], np.log(p2 / p1[at3]) * left[at3]))
-        return asked(table, np.concatenate((flat, deep)), gain, dtype=np.float32)
-
-    def retained(question):
+    def retained(question, turn):
         keys, starts = unpacked(question.column("keys"), np.uint32)
         gain, _ = unpacked(question.column("more"), np.float32)
         number, found = grouped(keys)
         stays = np.bincount(number, gain, found) >= divergence
-        return answer_table(question, 4, starts, stays[number].astype(np.uint8))
+        return answer_table(question, turn, starts, stays[number].astype(np.uint8))
 
     def score(table, answers):
-        token, row, _, c1, c2, c3, total, kinds, at, at3, flat, deep = contexts(table, answers)
-        stays, _, _ = answered(answers, 4, np.concatenate((flat, deep)), np.uint8)
-        flat_stays, deep_stays = stays[: len(at)] > 0, stays[len(at) :] > 0
+        token, row, _, c1, total, kinds, levels, _ = states(table, answers, longest)
         p0 = (c1 + 1) / (total + kinds + 1)
-        seen = weight(c1[at - 1])
-        p1 = p0.copy()
-        p1[at] = (c2[at] + seen * p0[at]) / (c1[at - 1] + seen)
-        seen = weight(c2[at3 - 1])
-        p2 = (c3[at3] + seen * p1[at3]) / (c2[at3 - 1] + seen)
-        best = p0.copy()
-        best[at[flat_stays]] = p1[at[flat_stays]]
-        best[at3[deep_stays]] = p2[deep_stays]
-        below = np.zeros(len(token), bool)
-        below[at[flat_stays]] = True
-        below[at3[deep_stays]] = True
+        p, best, below = p0.copy(), p0.copy(), np.zeros(len(token), bool)
+        for size, (at, held, found) in enumerate(levels, 1):
+            seen = weight(held)
+            p[at] = (found + seen * p[at]) / (held + seen)
+            stays = retained_at(answers, token, size, at)
+            best[stays] = p[stays]
+            below |= stays
         rows = table.num_rows
         per_row = lambda x=None: np.bincount(row, x, rows)
         whole = lambda x: pa.array(x.astype(np.int64))
@@ -156,6 +172,6 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 64, diverg
         )
 
     known = chunks.answered(chunks.apply(ask_words, ASK), summed(1, np.uint64))
-    for work, answer in ((ask_pairs, summed(2)), (ask_triples, summed(3)), (ask_contexts, retained)):
-        known = known.unionByName(chunks.answered(chunks.apply(work, ASK, known), answer))
+    for size in range(1, longest + 2):
+        known = known.unionByName(chunks.answered(chunks.apply(ask_longer(size), ASK, known), answer_longer(size)))
     return chunks.apply(score, RESULT, known)

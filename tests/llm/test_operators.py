@@ -6,6 +6,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -116,6 +117,55 @@ def test_suffix_tree(spark, docs, rows, none):
     assert score_texts(none, held).collect() == []
 
 
+def test_suffix_tree_grows(spark):
+    """The production parameters against a plain tree, on passages repeated a few times that only long contexts tell apart."""
+    from leadspark.llm.suffix_tree import score_texts
+
+    rng = random.Random(3)
+    ways = [[f"{k}{i % 3}" for i in range(9)] + [f"end{k}"] for k in "abc"]
+    middle = "so it was then".split()
+    texts = [(i, " ".join([*ways[i % 3][: rng.randrange(3, 10)], *middle, f"end{i % 3}", f"x{rng.randrange(9)}", *ways[i % 3]])) for i in range(60)]
+    held = F.col("doc_id") >= 45
+    got = {r.doc_id: r for r in score_texts(spark.createDataFrame(texts, "doc_id long, text string"), held).collect()}
+    rows = [(i, [*t.split(), None]) for i, t in texts]
+    train = [w for i, w in rows if i < 45]
+    grams = collections.Counter(tuple(w[k : k + n]) for w in train for n in range(1, 8) for k in range(len(w) - n + 1))
+    total, kinds = sum(map(len, train)), len({t for w in train for t in w})
+    weight = lambda c: c**0.8
+
+    def chain(w, k, left, most=6):
+        """The probability of w[k] from each context length on, as far as contexts are candidates."""
+        out = [max(grams[(w[k],)] + 1 - left, 1) / (total + kinds + 1)]
+        for n in range(1, most + 1):
+            if k < n or grams[tuple(w[k - n : k])] < 2:
+                break
+            held = grams[tuple(w[k - n : k])]
+            out.append((grams[tuple(w[k - n : k + 1])] - left + weight(held) * out[-1]) / (held - left + weight(held)))
+        return out
+
+    gain = collections.Counter()
+    for w in train:
+        for k in range(len(w)):
+            p = chain(w, k, 1)
+            for n in range(1, len(p)):
+                gain[tuple(w[k - n : k])] += math.log(p[n] / p[n - 1])
+    stays = {c for c, g in gain.items() if g >= 2}
+    assert any(len(c) > 4 for c in stays)
+    is_open = lambda w, k, n: n < 1 or tuple(w[k - n : k]) in stays
+    for i, w in rows:
+        score = deep = 0
+        for k in range(len(w)):
+            p, best = chain(w, k, 0), 0
+            for n in range(1, len(p)):
+                if not (is_open(w, k, n - 2) or is_open(w, k, n - 3)):
+                    break
+                best = n if tuple(w[k - n : k]) in stays else best
+            score += math.log10(p[best])
+            deep += best > 0
+        assert math.isclose(got[i].score, score, rel_tol=1e-5), i
+        assert got[i].n_deep == deep
+
+
 def test_substrings(docs, rows, none):
     from leadspark.llm.substring_dedup import dedup_substrings
 
