@@ -32,11 +32,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that links join, the one of smallest ``doc_id`` stays; those without an id stay too.
 
-    The stage takes five words and a similarity of 0.8.
+    Of rows with one ``doc_id`` and equal texts, one stays. The stage takes five words and a similarity of 0.8.
     """
     linked = similar_components(docs, words=5, percent=80)
     others = linked.where("component_id != doc_id").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, docs["doc_id"] == others["_other"], "left_anti")
+    rest = docs.join(others, docs["doc_id"] == others["_other"], "left_anti")
+    return rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(rest.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -342,6 +342,14 @@ def test_quality(docs, rows, none):
     assert judge_quality(measured(none)).collect() == []
 
 
+def test_repeated_rows_leave_one(spark, docs, rows):
+    import corpus_pipeline
+
+    got = bag((r.doc_id, r.text) for r in corpus_pipeline.ngram_jaccard(spark, docs, "").collect())
+    assert bag((r[0], r[1]) for r in rows)[(12, rows[12][1])] == 2 and got[(12, rows[12][1])] == 1
+    assert max(n for (i, _), n in got.items() if i is not None) == 1 and sum(n for (i, _), n in got.items() if i is None) == 2
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
