@@ -7,9 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle import duck, local_session  # noqa: E402
-
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from oracle import SF_DIR, duck, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_DIR
-from oracle import compare
+from oracle import SF_DIR, compare
 
 import __spark_entry__ as entry
 
