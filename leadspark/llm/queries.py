@@ -120,3 +120,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     judged = judge_quality(keep(measured(table(spark, sf_dir, "documents").select("doc_id", "text"), text=False)))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+@query("op12_exact_dedup", sql.EXACT_DEDUP)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.exact_dedup import dedup_exact
+
+    return dedup_exact(table(spark, sf_dir, "documents"))

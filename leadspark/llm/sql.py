@@ -90,3 +90,9 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN pa
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM hashed JOIN digit USING (page_id)
 """
+
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
+"""

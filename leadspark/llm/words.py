@@ -84,7 +84,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts.combine_chunks()
     if texts.null_count:
         texts = texts.fill_null("")
-    if not pa.types.is_large_string(texts.type):
+    if not pa.types.is_large_string(texts.type) and not pa.types.is_large_binary(texts.type):
         texts = texts.cast(pa.large_string())
     buffers = texts.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
