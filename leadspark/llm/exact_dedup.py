@@ -203,13 +203,19 @@ def false_prints(docs: DataFrame, members: DataFrame, chunk_bytes: int = CHUNK_B
     return different.groupBy(*_PRINT, "chunk_no").count().where("count > 1").select(*_PRINT).distinct()
 
 
-def _verdicts(rows: DataFrame, same: list[str]) -> DataFrame:
-    """One row per document; ``rows`` has ``copies`` rows of one id and text as one."""
+def _groups(rows: DataFrame, same: list[str]) -> DataFrame:
+    """Texts of more than one row, written, so that the joins with them can split a hot one."""
     groups = rows.groupBy(*same).agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    # A hot group is one row on the other side of this join.
-    joined = rows.join(groups, same).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("turn"))
-    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 1)
-    return joined.select("doc_id", "keep_id", "group_size", stays.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return keep(groups.where("group_size > 1"))
+
+
+def _verdicts(rows: DataFrame, groups: DataFrame, same: list[str]) -> DataFrame:
+    """One row per document; ``rows`` has ``copies`` rows of one id and text as one."""
+    joined = rows.join(groups, same, "left").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("turn"))
+    alone = F.col("group_size").isNull()
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    stays = F.col("doc_id").eqNullSafe(keep_id) & (F.col("turn") == 1)
+    return joined.select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), stays.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def dedup_exact(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bits: int = 61) -> DataFrame:
@@ -220,12 +226,11 @@ def dedup_exact(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bits: int = 61)
     found = fingerprints(docs, chunk_bytes, bits)
     # Rows of one id and text are one row from here on; with bits left out, one id may have several texts to a print.
     rows = keep(found.groupBy("doc_id", *_PRINT, "sha").agg(F.count("*").alias("copies")))
-    shared = rows.groupBy(*_PRINT).agg(F.sum("copies").alias("n")).where("n > 1").select(*_PRINT)
-    members = rows.join(shared, _PRINT, "left_semi")
-    wrong = keep(false_prints(docs, members, chunk_bytes, bits))
+    groups = _groups(rows, _PRINT)
+    wrong = keep(false_prints(docs, rows.join(groups, _PRINT, "left_semi"), chunk_bytes, bits))
     if wrong.isEmpty():
-        return _verdicts(rows, _PRINT)
-    right = _verdicts(rows.join(wrong, _PRINT, "left_anti"), _PRINT)
+        return _verdicts(rows, groups, _PRINT)
+    right = _verdicts(rows.join(wrong, _PRINT, "left_anti"), groups, _PRINT)
     return right.unionByName(_by_text(docs, rows.join(wrong, _PRINT, "left_semi")))
 
 
@@ -235,4 +240,5 @@ def _by_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
     ids = rows.select(F.col("doc_id").alias("_wanted"), F.col("sha").alias("_sha")).distinct()
     sha = F.unhex(F.sha2("norm", 256))
     mine = texts.withColumn("sha", sha).join(ids, F.col("doc_id").eqNullSafe(F.col("_wanted")) & (F.col("sha") == F.col("_sha")), "left_semi")
-    return _verdicts(mine.groupBy("doc_id", "norm", "sha").agg(F.count("*").alias("copies")), ["norm"])
+    rows = keep(mine.groupBy("doc_id", "norm", "sha").agg(F.count("*").alias("copies")))
+    return _verdicts(rows, _groups(rows, ["norm"]), ["norm"])
