@@ -127,3 +127,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.exact_dedup import dedup_exact
 
     return dedup_exact(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ranked_search", sql.RANKED_SEARCH)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadspark.llm.ranked_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -96,3 +96,21 @@ WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w)) AS terms FROM d),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2.0 * docs + 2) / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), size),
+i AS (SELECT DISTINCT item_id, text FROM benchmark),
+it AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS t FROM i) GROUP BY item_id, t),
+m AS (SELECT r, doc_id, CAST(75 + (25 * len(w) * docs) // terms AS BIGINT) AS m FROM d, size),
+s AS (
+  SELECT item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM it JOIN weight USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
