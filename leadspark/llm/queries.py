@@ -122,6 +122,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str, folder: str = "/opt/tokenizers") -> DataFrame:
+    from leadspark.llm.alignment import align_tokenizers, read_files
+
+    files = read_files(f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), *files)[0]
+
+
 @query("op12_exact_dedup", sql.EXACT_DEDUP)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.exact_dedup import dedup_exact
