@@ -18,6 +18,7 @@ read by the driver and sent to the tasks. Other columns are not carried.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from dataclasses import dataclass, fields
@@ -50,10 +51,36 @@ _ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 _ALIGNED_ARROW = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in (*_DOCS, "n_best", "count_sum")), ("groups_sha256", pa.string())])
 
 
-class ByteLevel:
-    """A byte-level tokenizer: its entries write each byte as one printable character."""
+class Side:
+    """A tokenizer, with the bytes of each id."""
+
+    def __init__(self, token_bytes: list[bytes]):
+        self.lengths = np.array([len(x) for x in token_bytes], np.int64)
+        self._letters = np.frombuffer(b"".join(token_bytes), np.uint8)
+        self._starts = np.concatenate(([0], np.cumsum(self.lengths)))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        raise NotImplementedError
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self._starts[ids] - ends + lengths, lengths)
+        return self._letters[shift + np.arange(len(shift))].tobytes()
+
+
+class ByteLevel(Side):
+    """A byte-level tokenizer: its entries write each byte as one printable character.
+
+    Its ids follow the order of its merges, so they are ranks, by which a faster encoder finds the same ids. A text that
+    this encoder refuses (endless white space) goes to the tokenizer itself.
+    """
+
+    #: Fixed value: the pattern that parts a text before merging.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
     def __init__(self, file: bytes):
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,13 +91,23 @@ class ByteLevel:
         others = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
         names = {i: name for name, i in self._tokenizer.get_vocab().items()}
-        self.token_bytes = [bytes(byte_of[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
+        token_bytes = [bytes(byte_of[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
+        super().__init__(token_bytes)
+        special = {t["id"] for t in json.loads(file)["added_tokens"]}
+        ranks = {t: i for i, t in enumerate(token_bytes) if i not in special}
+        self._ranked = tiktoken.Encoding("by rank", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [self._encode(" " + t) for t in texts]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def _encode(self, text: str) -> np.ndarray:
+        try:
+            return self._ranked.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-class Pieces:
+class Pieces(Side):
     """A sentence-piece tokenizer, which puts the space before the text by itself."""
 
     def __init__(self, file: bytes):
@@ -79,10 +116,10 @@ class Pieces:
         self._model = SentencePieceProcessor(model_proto=file)
         names = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size())]
         byte = re.compile("<0x([0-9A-F]{2})>")
-        self.token_bytes = [bytes.fromhex(m[1]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode() for p in names]
+        super().__init__([bytes.fromhex(m[1]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode() for p in names])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self._model.encode_as_numpy(texts, num_threads=1)
 
 
 @dataclass
@@ -95,18 +132,23 @@ class Tokens:
     n_b: np.ndarray
 
 
-def tokenized(texts: list[str | None], left, right) -> Tokens:
+def tokenized(texts: list[str | None], left: Side, right: Side) -> Tokens:
     """A text that either side doesn't give back has no tokens."""
     asked = [i for i, t in enumerate(texts) if t]
-    both = [side.encode([texts[i] for i in asked]) for side in (left, right)]
-    ids, sizes = ([], []), np.zeros((2, len(texts)), np.int64)
-    for i, *found in zip(asked, *both, strict=True):
-        whole = b" " + texts[i].encode()
-        if all(b"".join(map(side.token_bytes.__getitem__, f)) == whole for side, f in zip((left, right), found, strict=True)):
-            for k, f in enumerate(found):
-                ids[k].extend(f)
-                sizes[k, i] = len(f)
-    return Tokens(*(np.array(x, np.int64) for x in ids), *sizes)
+    whole = [b" " + texts[i].encode() for i in asked]
+    both = [[ids.astype(np.int32) for ids in side.encode([texts[i] for i in asked])] if asked else [] for side in (left, right)]
+    fits = np.ones(len(asked), bool)
+    for side, found in zip((left, right), both, strict=True):
+        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        same = np.array([int(side.lengths[ids].sum()) for ids in found]) == [len(t) for t in whole]
+        if not same.all() or side.joined(flat) != b"".join(whole):
+            fits &= [side.joined(ids) == t for ids, t in zip(found, whole, strict=True)]
+    sizes, ids = np.zeros((2, len(texts)), np.int64), []
+    kept = np.flatnonzero(fits)
+    for k, found in enumerate(both):
+        sizes[k, np.array(asked, np.int64)[kept]] = [len(found[i]) for i in kept]
+        ids.append(np.concatenate([np.zeros(0, np.int32), *(found[i] for i in kept)]))
+    return Tokens(*ids, *sizes)
 
 
 def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,19 +173,22 @@ def align(tokens: Tokens, len_a: np.ndarray, len_b: np.ndarray, digits: tuple[np
     """``len_a`` and ``len_b``: the bytes of each id. A pair's key is the first id times the number of second ids, plus the second."""
     a, b, rows = tokens.a, tokens.b, len(tokens.n_a)
     end_a, end_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
-    cuts, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-    ends = np.union1d(end_a, end_b)
-    text_end = end_a[np.cumsum(tokens.n_a) - 1] if len(a) else np.zeros(rows, np.int64)
-    text_end[np.cumsum(tokens.n_a) == 0] = 0
-    per_text = lambda x: np.diff(np.concatenate(([0], np.searchsorted(x, text_end, "right"))))
-    n_links = per_text(ends)
-    key = a[np.searchsorted(end_a, ends)] * len(len_b) + b[np.searchsorted(end_b, ends)]
+    # The token of the other side that covers an end, and whether it ends there too: the ends of both.
+    over_a, over_b = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+    cut_a, cut_b = end_b[over_a] == end_a, end_a[over_b] == end_b
+    at_a, at_b = np.flatnonzero(cut_a), np.flatnonzero(cut_b)
+    # Each stretch up to the next end of either side is one link; an end of both is counted on the left.
+    only_b = np.flatnonzero(~cut_b)
+    key = np.concatenate((a * np.int64(len(len_b)) + b[over_a], a[over_b[only_b]] * np.int64(len(len_b)) + b[only_b]))
+    texts = np.arange(rows)
+    row = np.concatenate((np.repeat(texts, tokens.n_a), np.repeat(texts, tokens.n_b)[only_b]))
+    n_groups = np.bincount(np.repeat(texts, tokens.n_a)[at_a], minlength=rows)
 
     # Tokens in the order in which they are written: each group's left ones, then its right ones.
-    group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+    group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
     to_a = np.arange(len(a)) + np.concatenate(([0], at_b + 1))[group_a]
     to_b = np.arange(len(b)) + at_a[group_b] + 1
-    token, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    token, mark = np.empty(len(a) + len(b), np.int32), np.full(len(a) + len(b), ord(","), np.uint8)
     token[to_a], token[to_b] = a, b
     mark[to_a[at_a]], mark[to_b[at_b]] = ord("|"), ord(";")
     table, width = digits
@@ -154,7 +199,7 @@ def align(tokens: Tokens, len_a: np.ndarray, len_b: np.ndarray, digits: tuple[np
     starts = np.concatenate(([0], letter_end[:-1]))
     # The last mark is no part of the text.
     groups = [hashlib.sha256(written[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(starts, letter_end, strict=True)]
-    return Alignment(per_text(cuts), n_links, groups, key, np.repeat(np.arange(rows), n_links))
+    return Alignment(n_groups, tokens.n_a + tokens.n_b - n_groups, groups, key, row)
 
 
 @dataclass
@@ -215,7 +260,7 @@ def blocks(docs: DataFrame, left: bytes, right: bytes) -> DataFrame:
 
     def read(batches):
         sides = ByteLevel(left), Pieces(right)
-        lengths = [np.array([len(x) for x in side.token_bytes], np.int64) for side in sides]
+        lengths = [side.lengths for side in sides]
         digits = _digits(max(map(len, lengths)))
         held, links, docs_held, number = [], 0, 0, TaskContext.get().partitionId() << 32
 
@@ -284,7 +329,7 @@ def align_tokenizers(docs: DataFrame, left: bytes, right: bytes) -> tuple[DataFr
     Documents: ``doc_id, n_a, n_b, n_groups, n_links``, ``n_best`` (links that no other pair of their second id outnumbers),
     ``count_sum`` (over the links, of their pair's corpus count) and the hashed groups. Pairs: ``a, b, n_docs, n_links, best``.
     """
-    right_ids = len(Pieces(right).token_bytes)
+    right_ids = len(Pieces(right).lengths)
     indexed = keep(blocks(docs, left, right))
     counts = keep(pair_counts(indexed, right_ids))
     asked = _pair_rows(indexed).select("block", "pair")

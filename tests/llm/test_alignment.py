@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -125,3 +126,18 @@ def test_planes_hold_multiplicities():
     assert got == held
     assert dict(zip(pairs.tolist(), docs.tolist(), strict=True)) == collections.Counter(k for k, _ in held)
     assert dict(zip(pairs.tolist(), links.tolist(), strict=True)) == collections.Counter(key.tolist())
+
+
+def test_encoder_by_rank_gives_the_ids_of_the_tokenizer(files):
+    """Also for texts that it refuses."""
+    from tokenizers import Tokenizer
+
+    from leadspark.llm.alignment import ByteLevel
+
+    plain = Tokenizer.from_str(files[0].decode())
+    plain.encode_special_tokens = True
+    rng = random.Random(1)
+    pool = [chr(c) for c in range(0x20, 0x250)] + list("\t\n\r\x0b\x1c\x85\xa0\u2003\u3000\u200b日本한अ😀é'’") + [" "] * 60 + ["'s", "'ll", "<|endoftext|>"] * 5
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(1, 80))) for _ in range(1_500)]
+    texts += [" " * 300_000, "\n" * 300_000 + "a", "x" * 100_000]
+    assert [x.tolist() for x in ByteLevel(files[0]).encode(texts)] == [plain.encode(" " + t, add_special_tokens=False).ids for t in texts]
