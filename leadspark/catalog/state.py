@@ -16,9 +16,9 @@ from (select *, case when outcome = 'failed' then 1 else 0 end failed,
   sum(case when outcome = 'failed' then 0 else 1 end) over (partition by source_id order by attempted_at, event_id) run from attempts)"""
 
 _FOLD = """
-with g as (select source_id, max(attempted_at) filter (where outcome = 'ok') ok_at from attempts group by 1),
+with g as (select source_id, max(attempted_at) filter (where outcome = 'ok') ok_at, max((attempted_at, event_id)) filter (where outcome = 'ok') ok from attempts group by 1),
 f as (select a.source_id, attempted_at, row_number() over (partition by a.source_id order by attempted_at, event_id) rn
-  from attempts a join g using (source_id) where outcome = 'failed' and (ok_at is null or attempted_at > ok_at))
+  from attempts a join g using (source_id) where outcome = 'failed' and (ok is null or (attempted_at, event_id) > ok))
 select source_id, ok_at last_scraped_at, cast(coalesce(max(rn), 0) as int) consecutive_failures,
   case when coalesce(max(rn), 0) >= 3 then 'degraded' else 'healthy' end status,
   max(attempted_at) filter (where rn = 3) degraded_since
@@ -30,6 +30,28 @@ def source_state(spark, sf):
     return state.source_state(A.attempts(spark, sf))
 
 
+# Customers as sources, with some failures and a status of their own before the attempts.
+_SOURCES_SQL = """select c_custkey id, cast(c_custkey % 3 as int) consecutive_failures, case when c_custkey % 5 = 0 then 'paused' when c_custkey % 5 = 1 then 'degraded' else 'healthy' end status,
+  case when c_custkey % 2 = 0 then TIMESTAMP '2024-01-01' end last_scraped_at from customer"""
+
+
+@query("current_sources", "attempts", f"""
+with s as ({_SOURCES_SQL}), a as (select * replace (case when event_id % 7 = 0 then 'ok' else 'failed' end as outcome) from attempts),
+g as (select source_id, max(attempted_at) filter (where outcome = 'ok') ok_at, max((attempted_at, event_id)) filter (where outcome = 'ok') ok from a group by 1),
+n as (select source_id, any_value(ok_at) ok_at, count(*) filter (where outcome = 'failed' and (ok is null or (attempted_at, event_id) > ok)) n from a join g using (source_id) group by 1),
+j as (select s.*, n, ok_at, cast(case when ok_at is not null then n else consecutive_failures + coalesce(n, 0) end as int) f from s left join n on source_id = id)
+select id, f consecutive_failures, coalesce(ok_at, last_scraped_at) last_scraped_at,
+  case when n is null then status when n > 0 and f >= 3 then 'degraded' when ok_at is not null then 'healthy' else status end status from j""")
+def current_sources(spark, sf):
+    key = F.col("c_custkey")
+    sources = A.table(spark, sf, "customer").select(
+        key.alias("id"), (key % 3).cast("int").alias("consecutive_failures"),
+        F.when(key % 5 == 0, "paused").when(key % 5 == 1, "degraded").otherwise("healthy").alias("status"),
+        F.when(key % 2 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("last_scraped_at"),
+    )
+    return state.current_sources(sources, _failing(spark, sf))
+
+
 @query("source_history", "attempts", f"select *, case when consecutive_failures >= 3 then 'degraded' else 'healthy' end status from ({_HISTORY})")
 def source_history(spark, sf):
     return state.source_history(A.attempts(spark, sf))

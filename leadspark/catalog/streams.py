@@ -91,8 +91,9 @@ def _streamed_funnel(spark, sf, **spans):
     out = shared_folder(spark)
     landed = _Landed(spark, "documents", "conversations")
     counts = streams.funnel_stream(A.posts(landed, sf), A.leads(landed, sf), A.drafts(landed, sf), late="365 days", **spans)
-    streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state"))
-    return streams.latest_rows(spark, f"{out}/rows", ["starts_at", "stage"]).select(ntz("starts_at"), "stage", "n")
+    keys = ["starts_at", "stage"]
+    streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state", keys))
+    return streams.latest_rows(spark, f"{out}/rows", keys).select(ntz("starts_at"), "stage", "n")
 
 
 @query("funnel_stream", "posts leads drafts", "select * from (" + _STAGES_SQL + """
@@ -122,3 +123,35 @@ def failure_stream(spark, sf):
     out = shared_folder(spark)
     streams.run_available(streams.failure_stream(A.attempts(_Landed(spark, "events"), sf), f"{out}/folds", f"{out}/state"))
     return state.state_of(streams.newest_fold(spark, f"{out}/folds"))
+
+
+def _landed(spark, df, parts, order):
+    """A stream of the rows in so many batches, a folder's worth of files each, landed one after the other."""
+    folder = f"{shared_folder(spark)}/landed"
+    for i in range(parts):
+        df.filter(order == i).repartition(_FILES).write.mode("append").parquet(folder)
+    # Each batch takes as many files as one part was written in, the oldest first.
+    return tables.stream_records(spark, folder, df.schema, max_files=_FILES, format="parquet")
+
+
+_FILES = 2
+
+
+@query("failure_stream_late", "attempts", "select * from (" + _FOLD + ")")
+def failure_stream_late(spark, sf):
+    """Four batches, the latest attempts first, with a snapshot after every second."""
+    out = shared_folder(spark)
+    src = _landed(spark, A.attempts(spark, sf), 4, 3 - F.floor(F.dayofyear("attempted_at") / 8) % 4)
+    streams.run_available(streams.failure_stream(src, f"{out}/folds", f"{out}/state", every=2))
+    return state.state_of(streams.newest_fold(spark, f"{out}/folds"))
+
+
+@query("funnel_stream_batches", "posts leads drafts", "select * from (" + _STAGES_SQL + """
+select date_trunc('day', "at") starts_at, stage, count(*) n from e group by 1, 2)""")
+def funnel_stream_batches(spark, sf):
+    """The funnel over several batches of each table, with a snapshot after every second."""
+    out, keys = shared_folder(spark), ["starts_at", "stage"]
+    parts = [_landed(spark, df, 3, F.pmod(F.col("id"), F.lit(3))) for df in (A.posts(spark, sf), A.leads(spark, sf), A.drafts(spark, sf))]
+    counts = streams.funnel_stream(*parts, late="365 days")
+    streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state", keys, every=2))
+    return streams.latest_rows(spark, f"{out}/rows", keys).select(ntz("starts_at"), "stage", "n")

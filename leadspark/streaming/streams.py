@@ -19,6 +19,7 @@ from leadspark.functions.times import Moment
 from leadspark.operators.filters import post_text, within_lookback
 from leadspark.operators.keyed import POST_KEY, append_new
 from leadspark.operators.state import fold_attempts, merge_folds
+from leadspark.streaming.compacted import EVERY, latest_of, read_compacted, write_batch
 
 
 def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -112,21 +113,18 @@ def funnel_stream(
     return counts.select(F.col("span.start").alias("starts_at"), "stage", "n")
 
 
-def upsert_by_batch(src: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
-    """Write changed rows of an aggregate under the id of their batch; see ``latest_rows``."""
+def upsert_by_batch(src: DataFrame, out: str, checkpoint: str, keys: Sequence[str], every: int = EVERY) -> DataStreamWriter:
+    """Write changed rows of an aggregate by batch; see ``latest_rows``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        write_batch(batch, batch_id, out, latest_of(keys), every)
 
     return src.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def latest_rows(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
-    """Each key's row from the last batch that changed it."""
-    rows = spark.read.parquet(out)
-    values = [c for c in rows.columns if c not in (*keys, "batch")]
-    last = rows.groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("_r"))
-    return last.select(*keys, *[F.col(f"_r.{v}").alias(v) for v in values])
+    """Each key's row from the last batch that changed it; reads the newest snapshot and the batches after it."""
+    return read_compacted(spark, out, latest_of(keys)).drop("batch")
 
 
 def liveness_stream(heartbeats: DataFrame, stale_s: int = 90, late: str = "90 seconds") -> DataFrame:
@@ -142,22 +140,20 @@ def liveness_stream(heartbeats: DataFrame, stale_s: int = 90, late: str = "90 se
     return spans.drop("span")
 
 
-def failure_stream(attempts: DataFrame, folds: str, checkpoint: str, failing: Sequence[str] = ("failed",)) -> DataStreamWriter:
-    """Keep the fold of each source up to date as attempts arrive in batches, earlier ones first.
+def _merged(rows: DataFrame) -> DataFrame:
+    """Folds of several batches as one; the batch says nothing about the order of their attempts."""
+    return merge_folds(rows.drop("batch")).withColumn("batch", F.lit(None).cast("bigint"))
 
-    Batch n reads the fold left by batch n-1 and writes its own; read the newest with ``newest_fold``.
-    """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        fold = fold_attempts(batch, failing=failing)
-        if batch_id > 0:
-            fold = merge_folds(batch.sparkSession.read.parquet(f"{folds}/batch={batch_id - 1}"), fold)
-        fold.write.mode("overwrite").parquet(f"{folds}/batch={batch_id}")
+def failure_stream(attempts: DataFrame, folds: str, checkpoint: str, failing: Sequence[str] = ("failed",), every: int = EVERY) -> DataStreamWriter:
+    """Keep the fold of each source up to date as attempts arrive, in whatever order; read it with ``newest_fold``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(fold_attempts(batch, failing=failing), batch_id, folds, _merged, every)
 
-    return attempts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return attempts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def newest_fold(spark: SparkSession, folds: str) -> DataFrame:
-    rows = spark.read.parquet(folds)
-    newest = rows.agg(F.max("batch"))
-    return rows.filter(F.col("batch") == newest.scalar()).drop("batch")
+    """The fold of all batches so far, for ``state_of``; reads the newest snapshot and the batches after it."""
+    return read_compacted(spark, folds, _merged).drop("batch")

@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from leadspark.operators import spans, state
 
@@ -62,6 +63,70 @@ def test_resets_heal(spark):
     assert got == {s: (v["failures"], v["status"]) for s, v in now.items()}
 
 
+def tied(seed, n=300):
+    """Many attempts of one moment, which only their events order."""
+    rng = random.Random(seed)
+    return [(event, rng.randrange(3), START + timedelta(minutes=20 * rng.randrange(40)), rng.choices(["failed", "ok"], [5, 1])[0]) for event in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_state_and_history_agree_on_ties(spark, seed):
+    rows = tied(seed)
+    now, history = replay(rows)
+    df = spark.createDataFrame(rows, ATTEMPT)
+    assert {r.source_id: (r.consecutive_failures, r.status, r.degraded_since) for r in state.source_state(df).collect()} == {s: (v["failures"], v["status"], v["since"]) for s, v in now.items()}
+    assert {r.event_id: (r.consecutive_failures, r.status) for r in state.source_history(df).collect()} == history
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_folds_merge_in_any_order(spark, seed):
+    """Stretches in any order, some of them twice, merged one by one or at once."""
+    rng = random.Random(seed)
+    rows = tied(seed) + [(e + 1000, s, at, o) for e, s, at, o in attempts(seed, 200, 4)]
+    whole = sorted(state.source_state(spark.createDataFrame(rows, ATTEMPT)).collect())
+    rng.shuffle(rows)
+    parts = [rows[i::5] for i in range(5)]
+    folds = [state.fold_attempts(spark.createDataFrame(part, ATTEMPT)) for part in [*parts, parts[0], rows[:30]]]
+    assert sorted(state.state_of(state.merge_folds(*folds)).collect()) == whole
+    steps = state.merge_folds(state.merge_folds(folds[3], folds[1]), state.merge_folds(folds[4], folds[0], folds[2]))
+    assert sorted(state.state_of(steps).collect()) == whole
+
+
+def test_a_late_failure_before_a_success_counts_for_nothing(spark):
+    success = spark.createDataFrame([(9, 1, START + timedelta(hours=10), "ok")], ATTEMPT)
+    failures = spark.createDataFrame([(i, 1, START + timedelta(hours=5, minutes=i), "failed") for i in range(3)], ATTEMPT)
+    merged = state.merge_folds(state.fold_attempts(success), state.fold_attempts(failures))
+    assert [(r.consecutive_failures, r.status) for r in state.state_of(merged).collect()] == [(0, "healthy")]
+    # What can never count again is not carried on.
+    assert [r.slice for r in merged.collect()] == [(START - datetime(1970, 1, 1)) // timedelta(hours=1) + 10]
+
+
+def test_state_reads_the_attempts_once(spark, folder):
+    spark.createDataFrame(attempts(1), ATTEMPT).write.parquet(folder + "/a")
+    plan = state.source_state(spark.read.parquet(folder + "/a"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_history_carries_columns_of_any_type(spark):
+    df = spark.createDataFrame(attempts(6, 50), ATTEMPT).withColumn("context", F.create_map(F.lit("k"), "event_id"))
+    assert {r.event_id: r.context for r in state.source_history(df).collect()} == {i: {"k": i} for i in range(50)}
+
+
+SOURCE = "id bigint, status string, last_scraped_at timestamp, consecutive_failures int, notes string"
+
+
+def test_current_sources(spark):
+    at = lambda m: START + timedelta(minutes=m)
+    stored = [(1, "healthy", START, 2, "n"), (2, "degraded", START, 5, None), (3, "paused", START, 0, None), (4, "degraded", START, 4, None), (5, "healthy", None, 0, None), (6, "degraded", START, 3, None), (7, "paused", START, 1, None)]
+    facts = [(1, 1, at(1), "failed"), (2, 2, at(1), "ok"), (3, 2, at(2), "failed"), (4, 5, at(1), "failed"), (5, 5, at(2), "rate_limited"), (6, 7, at(1), "failed"), (8, 3, at(4), "ok")]
+    resets = spark.createDataFrame([(6, at(3))], "source_id bigint, reset_at timestamp")
+    out = state.current_sources(spark.createDataFrame(stored, SOURCE), spark.createDataFrame(facts, ATTEMPT), resets)
+    assert out.columns == ["id", "status", "last_scraped_at", "consecutive_failures", "notes"]
+    assert {r.id: tuple(r)[1:4] for r in out.collect()} == {
+        1: ("degraded", START, 3), 2: ("healthy", at(1), 1), 3: ("healthy", at(4), 0), 4: ("degraded", START, 4), 5: ("healthy", at(2), 0), 6: ("healthy", None, 0), 7: ("paused", START, 2),
+    }
+
+
 @pytest.mark.parametrize("cut", [0, 1, 150, 399])
 def test_folds_merge(spark, cut):
     rows = attempts(5)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from test_state import ATTEMPT, START, attempts
 
 from leadspark.operators import state
 from leadspark.sources.tables import stream_records
-from leadspark.streaming import streams
+from leadspark.streaming import compacted, streams
 
 
 def land(df, folder, parts, order):
@@ -54,6 +55,46 @@ def test_failures_over_batches(spark, folder):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_late_failures_over_batches(spark, folder):
+    """The newest attempts come first; a snapshot is written after every second batch."""
+    rows = attempts(12)
+    df = spark.createDataFrame(rows, ATTEMPT).withColumn("_part", 3 - F.floor(F.col("event_id") / 100))
+    schema = land(df, f"{folder}/in", 4, ["event_id"])
+    src = stream_records(spark, f"{folder}/in", schema, max_files=1, format="parquet")
+    streams.run_available(streams.failure_stream(src, f"{folder}/folds", f"{folder}/state", every=2))
+    assert sorted(state.state_of(streams.newest_fold(spark, f"{folder}/folds")).collect()) == sorted(state.source_state(df.drop("_part")).collect())
+
+
+def test_compacted_batches(spark, folder):
+    """A read touches the newest snapshot and the batches after it; a repeated batch changes nothing."""
+    from leadspark.sources.folders import numbered
+
+    fold = compacted.latest_of(["k"])
+    batch = lambda i: spark.createDataFrame([(i % 3, i, {"n": i}), (9, i, None)], "k int, n int, m map<string,int>")
+    expected = lambda n: {k: max(i for i in range(n) if i % 3 == k) for k in range(min(n, 3))} | {9: n - 1}
+    for i in range(11):
+        compacted.write_batch(batch(i), i, folder, fold, every=3)
+        if i in (2, 8):
+            compacted.write_batch(batch(i), i, folder, fold, every=3)
+        rows = compacted.read_compacted(spark, folder, fold)
+        assert {r.k: r.n for r in rows.collect()} == expected(i + 1)
+        assert all(r.m == ({"n": r.n} if r.k != 9 else None) for r in rows.collect())
+    assert numbered(spark, f"{folder}/snapshots", "upto") == [5, 8] and numbered(spark, f"{folder}/batches", "batch") == [6, 7, 8, 9, 10]
+    read = {f.split("/")[-2] for f in compacted.read_compacted(spark, folder, fold).inputFiles()}
+    assert read == {"upto=8", "batch=9", "batch=10"}
+
+
+def test_only_a_missing_path_is_an_empty_table(spark, folder):
+    from pyspark.errors import AnalysisException
+
+    from leadspark.sources.folders import read_if_there
+
+    assert read_if_there(spark, f"{folder}/none") is None
+    spark.range(1).write.json(f"{folder}/empty/deeper")
+    with pytest.raises(AnalysisException):
+        read_if_there(spark, f"{folder}/empty")
+
+
 def test_funnel_over_batches(spark, folder):
     day = lambda d: START + timedelta(days=d)
     posts = spark.createDataFrame([(day(i % 5), i % 3) for i in range(30)], "scraped_at timestamp, _part int")
@@ -64,7 +105,7 @@ def test_funnel_over_batches(spark, folder):
     draft_schema = land(drafts, f"{folder}/drafts", 2, ["drafted_at"])
     read = lambda name, s: stream_records(spark, f"{folder}/{name}", s, max_files=1, format="parquet")
     counts = streams.funnel_stream(read("posts", schema), read("leads", lead_schema), read("drafts", draft_schema), late="30 days")
-    streams.run_available(streams.upsert_by_batch(counts, f"{folder}/out", f"{folder}/state"))
+    streams.run_available(streams.upsert_by_batch(counts, f"{folder}/out", f"{folder}/state", ["starts_at", "stage"]))
     got = {(r.starts_at, r.stage): r.n for r in streams.latest_rows(spark, f"{folder}/out", ["starts_at", "stage"]).collect()}
     assert {k: v for k, v in got.items() if k[1] == "scraped"} == {(day(d), "scraped"): 6 for d in range(5)}
     assert got[(day(0), "scored")] == 2 and got[(day(0), "qualified")] == 1 and got[(day(1), "qualified")] == 1
