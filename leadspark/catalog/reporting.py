@@ -219,10 +219,10 @@ def backlog_gate(spark, sf):
 
 @query("gated_queue", "posts leads drafts", f"""
 select {_LEAD} from leads where status = 'new' and score >= 75
-  and (select count(*) from drafts where status = 'pending_review') <= 1000000""")
+  and (select count(*) from drafts where status = 'pending_review') <= 50""")
 def gated_queue(spark, sf):
     queue = queues.draft_queue(A.leads(spark, sf), A.posts(spark, sf), n=None)
-    return drafting.gate_queue(queue, drafting.backlog_gate(A.drafts(spark, sf), limit=1_000_000)).select(*_LEAD_COLUMNS)
+    return drafting.gate_queue(queue, drafting.backlog_gate(A.drafts(spark, sf))).select(*_LEAD_COLUMNS)
 
 
 @query("escalations", "posts leads rate_limits", """

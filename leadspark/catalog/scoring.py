@@ -80,19 +80,22 @@ def score_cycle_log(spark, sf):
     return _score_cycle(spark, sf).score_log.select("platform", "external_id", "event")
 
 
-@query("scoring_prompts", "posts", """
-select external_id, concat('## Ideal customer', chr(10), 'Founders', chr(10), chr(10), '## Post', chr(10),
-  '{"source":"', platform, '","external_id":"', external_id, '","author":"', author, '","title":', to_json(title), ',"body":', to_json(body),
-  ',"url":"', url, '","posted_at":"', strftime(posted_at, '%Y-%m-%dT%H:%M:%SZ'), '","engagement":{"score":', engagement_score, '}}') prompt
+_GUIDE = "Be strict."
+_SCORE_GUIDE = """concat('Be strict.', chr(10), '{"reply": ["score", "reasoning", "signal_tags", "disqualifiers"], "signal_tags": ["explicit_intent", "implicit_pain", "icp_match", "high_engagement", "recent"], "bands": [90, 75, 60, 40]}')"""
+
+
+@query("scoring_prompts", "posts", f"""
+select external_id, {_SCORE_GUIDE} system, concat('{{"profile":"Founders","post":{{"platform":"', platform, '","external_id":"', external_id, '","author":"', author,
+  '","title":', to_json(title), ',"body":', to_json(body), ',"url":"', url, '","posted_at":"', strftime(posted_at, '%Y-%m-%dT%H:%M:%SZ'),
+  '","engagement":{{"score":', engagement_score, '}}}}}}') prompt
 from posts""")
 def scoring_prompts(spark, sf):
-    return scoring.scoring_prompts(A.posts(spark, sf), "Founders").select("external_id", "prompt")
+    return scoring.scoring_prompts(A.posts(spark, sf), "Founders", _GUIDE).select("external_id", "system", "prompt")
 
 
-_DRAFT_PROMPT = """concat('## About the user', chr(10), 'Acme', chr(10), chr(10), '## Facts that may be cited', chr(10), 'Fast', chr(10), chr(10),
-  '## Earlier drafts', chr(10), 'none', chr(10), chr(10), '## Lead', chr(10), 'Source: ', platform, chr(10), 'Author: ', author, chr(10),
-  'Link: ', url, chr(10), 'Post:', chr(10), case when length(title) > 0 then concat(title, chr(10), chr(10)) else '' end, body, chr(10),
-  'Score: ', score, ' (', reasoning, ')', chr(10))"""
+_DRAFT_GUIDE = """concat('Be brief.', chr(10), '{"reply": ["channel", "subject", "body", "rationale", "estimated_quality"], "channel": ["reddit_dm", "reddit_comment", "twitter_dm", "twitter_reply"], "sentences": 4, "asks": 1, "banned": ["I hope this email finds you well", "I came across your post", "I wanted to reach out", "I noticed that you", "—"]}')"""
+_DRAFT_PROMPT = """concat('{"profile":"Acme","facts":"Fast","examples":"none","lead":{"platform":"', platform, '","author":"', author, '","url":"', url, '","title":', to_json(title),
+  ',"body":', to_json(body), ',"score":', score, case when reasoning <> '' then ',"reasoning":"fits"' else '' end, '}}')"""
 
 
 def _queue(spark, sf):
@@ -104,15 +107,15 @@ _QUEUE_SQL = """select l.id lead_id, l.platform, l.author, l.score, p.title, p.b
 from leads l join posts p on p.id = l.id where status = 'new' and l.score >= 60"""
 
 
-@query("drafting_prompts", "posts leads", f"select lead_id, {_DRAFT_PROMPT} prompt from ({_QUEUE_SQL})")
+@query("drafting_prompts", "posts leads", f"select lead_id, {_DRAFT_GUIDE} system, {_DRAFT_PROMPT} prompt from ({_QUEUE_SQL})")
 def drafting_prompts(spark, sf):
-    return scoring.drafting_prompts(_queue(spark, sf), "Acme", "Fast", "none").select("lead_id", "prompt")
+    return scoring.drafting_prompts(_queue(spark, sf), "Acme", "Fast", "none", "Be brief.").select("lead_id", "system", "prompt")
 
 
-def _fake_scores(texts: list[str]) -> list[str]:
-    """A stand-in for a model: replies follow from the length of the text; some are unusable."""
+def _fake_scores(requests: list[tuple[str, str]]) -> list[str]:
+    """A stand-in for a model: replies follow from the length of the text and name the instructions; some are unusable."""
 
-    def reply(text: str) -> str:
+    def reply(system: str, text: str) -> str:
         n = len(text)
         if n % 19 == 0:
             raise ValueError("no answer")
@@ -120,16 +123,16 @@ def _fake_scores(texts: list[str]) -> list[str]:
             return "not json"
         if n % 13 == 0:
             return "{\"reasoning\": \"no score\"}"
-        record = {"score": n % 131, "reasoning": f"length {n}", "signal_tags": ["recent"] if n % 2 else []}
+        record = {"score": n % 131, "reasoning": f"{system} {n}", "signal_tags": ["recent"] if n % 2 else []}
         return "```json\n" + json.dumps(record) + "\n```"
 
-    return [reply(text) for text in texts]
+    return [reply(*request) for request in requests]
 
 
 _FAKE_SQL = """
 select platform, external_id,
   case when n % 19 = 0 or n % 17 = 0 or n % 13 = 0 or n % 131 > 100 then null else cast(n % 131 as int) end score,
-  case when n % 19 = 0 or n % 17 = 0 then null when n % 13 = 0 then 'no score' else concat('length ', n) end reasoning,
+  case when n % 19 = 0 or n % 17 = 0 then null when n % 13 = 0 then 'no score' else concat('length of ', lang, ' ', n) end reasoning,
   case when n % 19 <> 0 and n % 17 <> 0 and n % 13 <> 0 and n % 2 = 1 then 'recent' else '' end signal_tags,
   case when n % 19 = 0 then 'ValueError: no answer' when n % 17 = 0 then 'unreadable reply' when n % 13 = 0 then null
     when n % 131 > 100 then 'score_range' end error
@@ -137,8 +140,9 @@ from (select *, length(body) n from posts)"""
 
 
 def _scored_by_fake(spark, sf):
-    prompts = A.posts(spark, sf).select("platform", "external_id", F.col("body").alias("prompt"))
-    return completions.score_with(prompts, _fake_scores)
+    system = F.concat(F.lit("length of "), "lang").alias("system")
+    prompts = A.posts(spark, sf).select("platform", "external_id", system, F.col("body").alias("prompt"))
+    return completions.score_with(prompts, _fake_scores, as_of=AS_OF, batch=256)
 
 
 @query("score_with", "posts", _FAKE_SQL)
@@ -159,32 +163,32 @@ def still_queued(spark, sf):
     return joins.attach_scores(A.posts(spark, sf), usable)[1].select("external_id", "author")
 
 
-def _fake_drafts(texts: list[str]) -> list[str]:
-    def reply(text: str) -> str:
+def _fake_drafts(requests: list[tuple[str, str]]) -> list[str]:
+    def reply(system: str, text: str) -> str:
         n = len(text)
         if n % 7 == 0:
             raise ValueError("no answer")
         if n % 5 == 0:
             return json.dumps({"channel": "reddit_dm"})
         subject = "Hello" if n % 2 else ""
-        return json.dumps({"channel": "reddit_dm", "subject": subject, "body": f"{n} letters", "rationale": "short", "estimated_quality": n % 3})
+        return json.dumps({"channel": "reddit_dm", "subject": subject, "body": f"{n} letters", "rationale": system[:9], "estimated_quality": n % 3})
 
-    return [reply(text) for text in texts]
+    return [reply(*request) for request in requests]
 
 
 _FAKE_DRAFT_SQL = f"""
 select lead_id, case when n % 7 <> 0 then 'reddit_dm' end channel,
   case when n % 7 <> 0 and n % 5 <> 0 then case when n % 2 = 1 then 'Hello' else '' end end subject,
   case when n % 7 <> 0 and n % 5 <> 0 then concat(n, ' letters') end body,
-  case when n % 7 <> 0 and n % 5 <> 0 then 'short' end rationale,
+  case when n % 7 <> 0 and n % 5 <> 0 then 'Be brief.' end rationale,
   case when n % 7 <> 0 and n % 5 <> 0 then cast(n % 3 as int) end estimated_quality,
   case when n % 7 = 0 then 'ValueError: no answer' when n % 5 = 0 then 'incomplete draft' end error
 from (select lead_id, length({_DRAFT_PROMPT}) n from ({_QUEUE_SQL}))"""
 
 
 def _drafted(spark, sf):
-    prompts = scoring.drafting_prompts(_queue(spark, sf), "Acme", "Fast", "none")
-    return completions.draft_with(prompts, _fake_drafts)
+    prompts = scoring.drafting_prompts(_queue(spark, sf), "Acme", "Fast", "none", "Be brief.")
+    return completions.draft_with(prompts, _fake_drafts, as_of=AS_OF)
 
 
 @query("draft_with", "posts leads", _FAKE_DRAFT_SQL)
@@ -202,28 +206,42 @@ def new_drafts(spark, sf):
     )
 
 
-_CYCLE_SQL = _FAKE_DRAFT_SQL.replace("l.score >= 60", "l.score >= 75").replace(
-    "case when l.id % 2 = 0 then 'fits' else '' end reasoning", "'' reasoning"
-)
+# Leads without a draft that counts, while no more than 50 drafts await review.
+_CYCLE_SQL = _FAKE_DRAFT_SQL.replace(
+    "l.score >= 60",
+    "l.score >= 75 and l.id not in (select lead_id from drafts where status <> 'rejected') "
+    "and (select count(*) from drafts where status = 'pending_review') <= 50",
+).replace("case when l.id % 2 = 0 then 'fits' else '' end reasoning", "'' reasoning")
 
 
-def _draft_cycle(spark, sf):
+def _draft_cycle(spark, sf, backlog=drafting.BACKLOG_LIMIT):
     leads = A.leads(spark, sf).withColumn("reasoning", F.lit(None).cast("string"))
     return cycles.draft_cycle(
-        leads, A.posts(spark, sf), A.drafts(spark, sf), _fake_drafts, "Acme", "Fast", "none", AS_OF, n=None, backlog=1_000_000
+        leads, A.posts(spark, sf), A.drafts(spark, sf), _fake_drafts, "Acme", "Fast", "none", "Be brief.", AS_OF, n=None, backlog=backlog
     )
 
 
-@query("draft_cycle", "posts leads", f"select lead_id, body, '' violations from ({_CYCLE_SQL}) where error is null")
+@query("draft_cycle", "posts leads drafts", f"select lead_id, body, '' violations from ({_CYCLE_SQL}) where error is null")
 def draft_cycle(spark, sf):
     return _draft_cycle(spark, sf).drafts.select("lead_id", "body", joined("violations"))
 
 
-@query("draft_cycle_moves", "posts leads", f"select lead_id id, 'drafted' status from ({_CYCLE_SQL}) where error is null")
+@query("draft_cycle_moves", "posts leads drafts", f"select lead_id id, 'drafted' status from ({_CYCLE_SQL}) where error is null")
 def draft_cycle_moves(spark, sf):
     return _draft_cycle(spark, sf).transitions.select("id", "status")
 
 
+@query("draft_cycle_failures", "posts leads drafts", f"select lead_id, error from ({_CYCLE_SQL}) where error is not null")
+def draft_cycle_failures(spark, sf):
+    return _draft_cycle(spark, sf).failures
+
+
+@query("draft_cycle_closed", "posts leads drafts", f"select lead_id, error from ({_CYCLE_SQL}) where error is not null and (select count(*) from drafts where status = 'pending_review') <= 0")
+def draft_cycle_closed(spark, sf):
+    """With any draft awaiting review the gate is closed, so nothing is asked for."""
+    return _draft_cycle(spark, sf, backlog=0).failures
+
+
 def _replies(spark, sf):
     """Events as model replies of many shapes: fenced, bare, malformed, null, and odd scores."""
     n = F.col("event_id")

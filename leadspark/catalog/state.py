@@ -108,7 +108,7 @@ m as (select id, arg_max(decision, ("at", decision, reason)) decision, arg_max(r
   from d where decision <> 'later' group by id)
 select r.id, case m.decision when 'skip' then 'rejected' when 'approved' then 'approved' else r.status end status,
   case when m.decision = 'skip' then m.reason else r.rejection_reason end rejection_reason, coalesce(m."at", r.reviewed_at) reviewed_at
-from drafts r left join m on m.id = r.id""")
+from drafts r left join m on m.id = r.id and r.status = 'pending_review'""")
 def apply_reviews(spark, sf):
     kind = F.col("o_orderstatus")
     decisions = A.table(spark, sf, "orders").select(

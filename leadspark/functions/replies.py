@@ -8,8 +8,12 @@ from leadspark.functions.text import strip_fences
 
 
 # Numbers are read as double: an integer read would silently drop the fraction of 78.5.
-_SCORE = "struct<score: double, reasoning: string, signal_tags: array<string>, disqualifiers: array<string>>"
-_DRAFT = "struct<channel: string, subject: string, body: string, rationale: string, estimated_quality: double>"
+SCORE_FIELDS = {"score": "double", "reasoning": "string", "signal_tags": "array<string>", "disqualifiers": "array<string>"}
+DRAFT_FIELDS = {"channel": "string", "subject": "string", "body": "string", "rationale": "string", "estimated_quality": "double"}
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return f"struct<{', '.join(f'{name}: {kind}' for name, kind in fields.items())}>"
 
 
 def _document(reply: Column) -> Column:
@@ -24,7 +28,7 @@ def _parsed(doc: Column) -> Column:
 def parse_score(reply: Column) -> Column:
     """``struct<parsed, score, reasoning, signal_tags, disqualifiers>`` of one scoring reply."""
     doc = _document(reply)
-    fields = F.try_variant_get(doc, "$", _SCORE)
+    fields = F.try_variant_get(doc, "$", _struct(SCORE_FIELDS))
     none = F.array().cast("array<string>")
     lists = [F.coalesce(fields[name], none).alias(name) for name in ("signal_tags", "disqualifiers")]
     return F.struct(_parsed(doc), fields["score"].alias("score"), fields["reasoning"].alias("reasoning"), *lists)
@@ -33,6 +37,5 @@ def parse_score(reply: Column) -> Column:
 def parse_draft(reply: Column) -> Column:
     """``struct<parsed, channel, subject, body, rationale, estimated_quality>`` of one drafting reply."""
     doc = _document(reply)
-    fields = F.try_variant_get(doc, "$", _DRAFT)
-    names = ("channel", "subject", "body", "rationale", "estimated_quality")
-    return F.struct(_parsed(doc), *[fields[name].alias(name) for name in names])
+    fields = F.try_variant_get(doc, "$", _struct(DRAFT_FIELDS))
+    return F.struct(_parsed(doc), *[fields[name].alias(name) for name in DRAFT_FIELDS])

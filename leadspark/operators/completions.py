@@ -1,22 +1,36 @@
-"""Calls of a completion function, once per row, with replies kept before they are used."""
+"""Calls of a completion function: each row is paid once, and its reply kept before it is used.
+
+The ledger is a table of replies by key. A row without a good reply is asked for; each task makes one call and
+commits its replies as soon as it ends, so a failed task repeats its own call only, and a run that stops half-way leaves
+the replies of its finished tasks to the next run.
+"""
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from leadspark.functions.replies import parse_draft, parse_score
+from leadspark.functions.times import Moment, moment
 from leadspark.operators.checks import score_fault
-from leadspark.operators.keyed import POST_KEY, last_per_key
+from leadspark.operators.keyed import POST_KEY, first_per_key
+from leadspark.session import keep, shared_folder
+from leadspark.sources.folders import read_if_there
+
+#: What a completion function is asked: the instructions and the prompt.
+Request = tuple[str | None, str | None]
+Completer = Callable[[list[Request]], list[str]]
 
-Completer = Callable[[list[str]], list[str]]
+#: Lets a task's files stay where they are if another task fails the job.
+_KEEP_FINISHED_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 
 
 def call_completer(prompts: DataFrame, completer: Completer, keys: Sequence[str], batch: int = 16) -> DataFrame:
-    """``keys, reply, error`` of each prompt, completed in batches inside the tasks.
+    """``keys, reply, error`` of each row's ``system`` and ``prompt``, completed in batches inside the tasks.
 
     If a batch fails its rows are tried one by one, so that a bad row costs only itself.
     """
@@ -24,75 +38,84 @@ def call_completer(prompts: DataFrame, completer: Completer, keys: Sequence[str]
     schema = T.StructType([*fields, T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
     names = list(keys)
 
-    def complete(texts: list[str]) -> list[tuple[str | None, str | None]]:
+    def complete(requests: list[Request]) -> list[tuple[str | None, str | None]]:
         try:
-            replies = completer(texts)
-            if len(replies) != len(texts):
-                raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
+            replies = completer(requests)
+            if len(replies) != len(requests):
+                raise ValueError(f"{len(replies)} replies to {len(requests)} prompts")
             return [(reply, None) for reply in replies]
         except Exception as failure:  # noqa: BLE001 - whatever the completer raises concerns these rows only
-            if len(texts) == 1:
+            if len(requests) == 1:
                 return [(None, f"{type(failure).__name__}: {failure}")]
-            return [pair for text in texts for pair in complete([text])]
+            return [pair for request in requests for pair in complete([request])]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame["prompt"].tolist()
-            pairs = [pair for i in range(0, len(texts), batch) for pair in complete(texts[i : i + batch])]
+            requests = list(zip(frame["system"].tolist(), frame["prompt"].tolist(), strict=True))
+            pairs = [pair for i in range(0, len(requests), batch) for pair in complete(requests[i : i + batch])]
             out = frame[names].copy()
             out["reply"] = [reply for reply, _ in pairs]
             out["error"] = [error for _, error in pairs]
             yield out
 
-    return prompts.select(*keys, "prompt").mapInPandas(run, schema)
+    return prompts.select(*keys, "system", "prompt").mapInPandas(run, schema)
+
+
+def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with ``_number`` from 0 on, without a gap, and how many there are.
+
+    The numbers are written, so that they stay whatever is computed again. A row's place is that in its part, and one
+    number for each part comes to the driver.
+    """
+    placed = keep(rows.withColumn("_place", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted(placed.groupBy(part.alias("part")).count().collect())
+    starts = dict(zip([r.part for r in sizes], itertools.accumulate([0, *(r["count"] for r in sizes)])))
+    offset = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for pair in starts.items() for x in pair]), part) if starts else F.lit(0)
+    return placed.withColumn("_number", offset + place), sum(r["count"] for r in sizes)
 
 
-def stored_replies(
-    prompts: DataFrame, completer: Completer, keys: Sequence[str], store: str, batch: int = 16, tasks: int | None = None
+def ledger_replies(
+    prompts: DataFrame, completer: Completer, keys: Sequence[str], as_of: Moment, store: str | None = None, batch: int = 16, tasks: int | None = None
 ) -> DataFrame:
-    """Replies to the prompts, from the store where it has them and newly completed where not.
+    """``keys, reply, error`` of the prompts, from the ledger where it has them and newly completed where not.
 
-    New replies are written to the shared store before anyone reads them: a recomputed plan never calls
-    again, and a rerun calls only for rows without a good reply. ``tasks`` limits parallel calls.
+    The calls are made when this is called, one for each key, and the result only reads the ledger. ``store`` is its
+    path; without one, the ledger is a new shared folder that only this result uses. ``batch`` rows make one call, and
+    ``tasks`` limits the calls made at a time. Keys must not be null.
     """
     spark = prompts.sparkSession
-    answered = replies_in(spark, store)
+    store = store or shared_folder(spark)
+    claimed = keep(first_per_key(prompts.select(*keys, "system", "prompt"), keys, ["prompt", "system"]))
+    answered = read_if_there(spark, store)
     if answered is not None:
         good = answered.filter(F.col("error").isNull()).select(*keys)
-        prompts_left = prompts.join(good, list(keys), "left_anti")
+        left = claimed.join(good, list(keys), "left_anti")
     else:
-        prompts_left = prompts
-    if tasks:
-        prompts_left = prompts_left.repartition(tasks, *keys)
-    call_completer(prompts_left, completer, keys, batch).withColumn("at", F.current_timestamp()).write.mode("append").parquet(store)
-    wanted = prompts.select(*keys)
-    replies = last_per_key(replies_in(spark, store), keys, ["at"]).drop("at")
-    return replies.join(wanted, list(keys), "left_semi")
-
-
-def replies_in(spark, store: str) -> DataFrame | None:
-    """The stored replies, or nothing before the first run."""
-    try:
-        return spark.read.parquet(store)
-    except AnalysisException:
-        return None
-
-
-def _complete(prompts: DataFrame, completer: Completer, keys: Sequence[str], store: str | None, batch: int) -> DataFrame:
-    if store is None:
-        return call_completer(prompts, completer, keys, batch)
-    return stored_replies(prompts, completer, keys, store, batch)
+        left = claimed
+    numbered, n = _numbered(left)
+    calls = max(1, math.ceil(n / batch))
+    tasks = min(tasks or calls, calls)
+    call = F.floor(F.col("_number") / batch)
+    for wave in range(math.ceil(calls / tasks)):
+        mine = numbered.filter(F.floor(call / tasks) == wave).repartitionById(tasks, F.pmod(call, F.lit(tasks)).cast("int"))
+        replies = call_completer(mine, completer, keys, batch).withColumn("at", moment(as_of, T.TimestampType()))
+        replies.write.option(*_KEEP_FINISHED_TASKS).mode("append").parquet(store)
+        schema = replies.schema
+    held = spark.read.schema(schema).parquet(store).join(claimed.select(*keys), list(keys), "left_semi")
+    # A good reply is the only one of its key; of errors the last counts.
+    return first_per_key(held, keys, [F.col("error").isNotNull(), F.desc("at"), "error"]).drop("at")
 
 
 def score_with(
-    prompts: DataFrame, completer: Completer, keys: Sequence[str] = POST_KEY, store: str | None = None, batch: int = 16
+    prompts: DataFrame, completer: Completer, keys: Sequence[str] = POST_KEY, *, as_of: Moment, store: str | None = None, batch: int = 16, tasks: int | None = None
 ) -> DataFrame:
     """Scores by a completion function: ``keys, score, reasoning, signal_tags, disqualifiers, error``.
 
     A failed call or unreadable reply becomes an error and the post stays queued. A score that
     cannot be stored is an error as well, with the score left out; other rows go on.
     """
-    replies = _complete(prompts, completer, keys, store, batch).withColumn("_r", parse_score(F.col("reply")))
+    replies = ledger_replies(prompts, completer, keys, as_of, store, batch, tasks).withColumn("_r", parse_score(F.col("reply")))
     unread = F.when(~F.col("_r.parsed"), F.lit("unreadable reply"))
     error = F.coalesce("error", unread, score_fault(F.col("_r.score")))
     fields = [F.col(f"_r.{c}").alias(c) for c in ("reasoning", "signal_tags", "disqualifiers")]
@@ -101,13 +124,13 @@ def score_with(
 
 
 def draft_with(
-    prompts: DataFrame, completer: Completer, keys: Sequence[str] = ("lead_id",), store: str | None = None, batch: int = 16
+    prompts: DataFrame, completer: Completer, keys: Sequence[str] = ("lead_id",), *, as_of: Moment, store: str | None = None, batch: int = 16, tasks: int | None = None
 ) -> DataFrame:
     """Drafts by a completion function: ``keys, channel, subject, body, rationale, estimated_quality, error``.
 
     A lead whose call fails, or whose reply has no channel or body, gets an error and stays new.
     """
-    replies = _complete(prompts, completer, keys, store, batch).withColumn("_r", parse_draft(F.col("reply")))
+    replies = ledger_replies(prompts, completer, keys, as_of, store, batch, tasks).withColumn("_r", parse_draft(F.col("reply")))
     unread = F.when(~F.col("_r.parsed"), F.lit("unreadable reply"))
     partial = F.when(F.col("_r.channel").isNull() | F.col("_r.body").isNull(), F.lit("incomplete draft"))
     error = F.coalesce("error", unread, partial)

@@ -8,14 +8,19 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadspark.functions.text import null_if_empty
-from leadspark.functions.times import Moment, moment, moment_for
-from leadspark.operators.keyed import POST_KEY
+from leadspark.functions.times import Moment, moment, moment_for, to_utc
+from leadspark.operators.keyed import POST_KEY, first_per_key
 
 
 def new_drafts(drafted: DataFrame, as_of: Moment) -> DataFrame:
-    """Drafts queued for review; an empty subject and a zero quality are stored as missing."""
+    """Drafts queued for review, one for each lead; an empty subject and a zero quality are stored as missing.
+
+    A draft's id follows from its lead and moment, however the moment is written. Of several drafts of a lead, the
+    least text stays.
+    """
+    drafted = first_per_key(drafted, ["lead_id"], ["body", "channel", "subject"])
     return drafted.select(
-        F.sha2(F.concat_ws("|", F.col("lead_id").cast("string"), F.lit(str(as_of))), 256).alias("id"),
+        F.sha2(F.concat_ws("|", F.col("lead_id").cast("string"), F.lit(to_utc(as_of).isoformat())), 256).alias("id"),
         "lead_id",
         "channel",
         null_if_empty(F.col("subject")).alias("subject"),
@@ -48,7 +53,7 @@ def session_row(kind: str, started: Moment, ended: Moment | None, stats: DataFra
     """Run log row with a one-row stats frame as JSON; a run that failed keeps its status and no end."""
     like = T.TimestampType()
     return stats.select(
-        F.sha2(F.lit(f"{kind}|{started}"), 256).alias("id"),
+        F.sha2(F.lit(f"{kind}|{to_utc(started).isoformat()}"), 256).alias("id"),
         F.lit(kind).alias("kind"),
         moment(started, like).alias("started_at"),
         (F.lit(None).cast(like) if ended is None else moment(ended, like)).alias("ended_at"),

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadspark import schemas as S
 from leadspark.functions.once import compute_once
 from leadspark.functions.phrases import fence, has_any
-from leadspark.functions.text import blank_if_null, present
+from leadspark.functions.replies import DRAFT_FIELDS, SCORE_FIELDS
+from leadspark.functions.text import present
 from leadspark.functions.times import Moment, seconds_before
+from leadspark.operators.drafting import BANNED_PHRASES, EM_DASH, MAX_ASKS, MAX_SENTENCES
 from leadspark.operators.filters import REMOVED_AUTHOR, post_text
 
 # Weights of the rubric.
@@ -146,53 +150,39 @@ def rubric_score(df: DataFrame, profile: Profile, as_of: Moment) -> DataFrame:
     return compute_once(out, judged).drop(*_SIGNAL_COLUMNS)
 
 
-SCORING_INSTRUCTIONS = (
-    "Judge how likely the author of a social post is to buy, given a description of ideal customers.\n"
-    "Answer with one JSON object and nothing else: score (whole number, 0 to 100), reasoning (one sentence), "
-    "signal_tags (any of explicit_intent, implicit_pain, icp_match, high_engagement, recent), "
-    "disqualifiers (reasons to score 0: job ad, promotion, competitor, bot).\n"
-    "From 90: open intent to buy, ideal customer, recent. From 75: strong signal, good fit. "
-    "From 60: worth a draft. From 40: watch only. Below 40: not a lead."
-)
+def _instructions(guidance: str, fields: Iterable[str], **limits: object) -> str:
+    """The caller's own words, and below them the names and limits that a reply is read by."""
+    return "\n".join([guidance, json.dumps({"reply": list(fields), **limits}, ensure_ascii=False)])
 
-_PROMPT_FIELDS = ("external_id", "author", "title", "body", "url", "posted_at", "engagement", "matched_keywords")
 
+def scoring_instructions(guidance: str) -> str:
+    bands = [S.TOP_SCORE, S.QUALIFIED_SCORE, S.PROMOTE_SCORE, S.WEAK_SCORE]
+    return _instructions(guidance, SCORE_FIELDS, signal_tags=S.SIGNAL_TAGS, bands=bands)
 
-def scoring_prompts(posts: DataFrame, profile: str, system: str = SCORING_INSTRUCTIONS) -> DataFrame:
-    """Add ``system`` and ``prompt``: the customer description and the post as JSON."""
-    shown = [F.col("platform").alias("source")]
-    for name in _PROMPT_FIELDS:
-        if name == "posted_at" and name in posts.columns:
-            shown.append(F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(name))
-        elif name in posts.columns:
-            shown.append(F.col(name))
-    prompt = F.concat(F.lit(f"## Ideal customer\n{profile}\n\n## Post\n"), F.to_json(F.struct(*shown)))
-    return posts.withColumns({"system": F.lit(system), "prompt": prompt})
 
+def drafting_instructions(guidance: str) -> str:
+    return _instructions(guidance, DRAFT_FIELDS, channel=S.CHANNELS, sentences=MAX_SENTENCES, asks=MAX_ASKS, banned=[*BANNED_PHRASES, EM_DASH])
 
-def drafting_prompts(queue: DataFrame, profile: str, facts: str, examples: Column | str, system: str | None = None) -> DataFrame:
-    """Add ``system`` and ``prompt`` for the leads of a draft queue.
 
-    The title is shown only where there is one; a missing reasoning is left empty.
-    """
-    shown = examples if isinstance(examples, Column) else F.lit(examples)
-    title = F.when(F.length(F.col("title")) > 0, F.concat(F.col("title"), F.lit("\n\n"))).otherwise(F.lit(""))
-    prompt = F.concat(
-        F.lit(f"## About the user\n{profile}\n\n## Facts that may be cited\n{facts}\n\n## Earlier drafts\n"),
-        blank_if_null(shown),
-        F.lit("\n\n## Lead\nSource: "), blank_if_null(F.col("platform")),
-        F.lit("\nAuthor: "), blank_if_null(F.col("author")),
-        F.lit("\nLink: "), blank_if_null(F.col("url")),
-        F.lit("\nPost:\n"), title, blank_if_null(F.col("body")),
-        F.lit("\nScore: "), F.col("score").cast("string"),
-        F.lit(" ("), blank_if_null(F.col("reasoning")), F.lit(")\n"),
-    )
-    return queue.withColumns({"system": F.lit(DRAFTING_INSTRUCTIONS if system is None else system), "prompt": prompt})
+def _shown(df: DataFrame, names: Iterable[str]) -> list[Column]:
+    """The named columns that the rows have, moments as ISO text."""
+    moments = {f.name for f in df.schema if f.dataType.typeName().startswith("timestamp")}
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c)
+    return [iso(c) if c in moments else F.col(c) for c in names if c in df.columns]
+
+
+_POST_FIELDS = ("platform", "external_id", "author", "title", "body", "url", "posted_at", "engagement", "matched_keywords")
+_LEAD_FIELDS = ("platform", "author", "url", "title", "body", "score", "reasoning")
+
+
+def scoring_prompts(posts: DataFrame, profile: str, guidance: str) -> DataFrame:
+    """Add ``system``, the instructions, and ``prompt``: one JSON object of the customer profile and the post."""
+    prompt = F.to_json(F.struct(F.lit(profile).alias("profile"), F.struct(*_shown(posts, _POST_FIELDS)).alias("post")))
+    return posts.withColumns({"system": F.lit(scoring_instructions(guidance)), "prompt": prompt})
 
 
-DRAFTING_INSTRUCTIONS = (
-    "Write a first message to the author of a post. It has at most four sentences, opens with something "
-    "specific from the post, asks for one thing only, holds no emoji and no stock phrases, and sounds like the user.\n"
-    "Answer with one JSON object and nothing else: channel (reddit_dm, reddit_comment, twitter_dm or twitter_reply), "
-    "subject (may be empty), body, rationale, estimated_quality (0 to 100)."
-)
+def drafting_prompts(queue: DataFrame, profile: str, facts: str, examples: Column | str, guidance: str) -> DataFrame:
+    """Add ``system`` and ``prompt`` for the leads of a draft queue; what a lead lacks is left out of its JSON object."""
+    given = {"profile": F.lit(profile), "facts": F.lit(facts), "examples": examples if isinstance(examples, Column) else F.lit(examples)}
+    prompt = F.to_json(F.struct(*[c.alias(n) for n, c in given.items()], F.struct(*_shown(queue, _LEAD_FIELDS)).alias("lead")))
+    return queue.withColumns({"system": F.lit(drafting_instructions(guidance)), "prompt": prompt})

@@ -25,17 +25,20 @@ def apply_transitions(entity: DataFrame, transitions: DataFrame, key: str = "id"
     return joined.withColumn("status", F.coalesce("_status", "status")).drop("_status")
 
 
-def apply_reviews(drafts: DataFrame, decisions: DataFrame) -> DataFrame:
+def apply_reviews(drafts: DataFrame, decisions: DataFrame, reviewable: Sequence[str] = ("pending_review",)) -> DataFrame:
     """Drafts after review: ``approved`` approves, ``skip`` rejects with its reason.
 
-    ``decisions`` has ``id``, ``decision``, ``reason``, ``at``; the latest valid decision counts.
+    ``decisions`` has ``id``, ``decision``, ``reason``, ``at``; the latest valid decision counts. A decision holds for
+    a draft in a ``reviewable`` status only: one that has been sent is not brought back by a late word.
     """
     valid = decisions.filter(F.col("decision").isin("approved", "skip"))
     decided = F.struct("at", "decision", "reason")
     latest = valid.groupBy("id").agg(F.max(decided).alias("_d"))
     skipped = F.col("_d.decision") == "skip"
+    open_draft = F.col("status").isin(*reviewable)
     return (
         drafts.join(latest, "id", "left")
+        .withColumn("_d", F.when(open_draft, F.col("_d")))
         .withColumns(
             {
                 "status": F.when(skipped, F.lit("rejected")).when(F.col("_d").isNotNull(), F.lit("approved")).otherwise(F.col("status")),

@@ -60,11 +60,13 @@ def rubric_scorer(profile: Profile, as_of: Moment) -> Scorer:
     return lambda posts: rubric_score(posts, profile, as_of)
 
 
-def completion_scorer(completer: Completer, profile: str, store: str | None) -> Scorer:
+def completion_scorer(
+    completer: Completer, profile: str, guidance: str, as_of: Moment, store: str | None = None, batch: int = 16, tasks: int | None = None
+) -> Scorer:
     """Scores by completions; rows with an error are left out and so stay queued."""
 
     def score(posts: DataFrame) -> DataFrame:
-        results = score_with(scoring_prompts(posts, profile), completer, POST_KEY, store)
+        results = score_with(scoring_prompts(posts, profile, guidance), completer, POST_KEY, as_of=as_of, store=store, batch=batch, tasks=tasks)
         good = results.filter(F.col("error").isNull()).drop("error")
         return posts.drop("score", "reasoning", "signal_tags", "disqualifiers").join(good, list(POST_KEY))
 
@@ -109,15 +111,21 @@ class Drafted:
 
 def draft_cycle(
     leads: DataFrame, posts: DataFrame, drafts: DataFrame, completer: Completer, profile: str, facts: str,
-    examples: str, as_of: Moment, store: str | None = None, n: int | None = None, backlog: int = BACKLOG_LIMIT,
+    examples: str, guidance: str, as_of: Moment, store: str | None = None, n: int | None = None, backlog: int = BACKLOG_LIMIT,
+    batch: int = 16, tasks: int | None = None,
 ) -> Drafted:
     """Draft for the best new leads unless too many drafts await review.
 
     Gives the drafts with the style rules they break, the ``drafted`` transitions of their leads, and
-    the leads whose draft failed.
+    the leads whose draft failed. The calls are made when this is called, once for each lead; the three frames read
+    the kept replies. A lead that holds a draft is not drafted for again, even where its transition has not been
+    stored yet, unless all its drafts were rejected.
     """
-    queue = gate_queue(draft_queue(leads, posts, n), backlog_gate(drafts, backlog)).withColumn("lead_id", F.col("id"))
-    written = draft_with(drafting_prompts(queue, profile, facts, examples), completer, ("lead_id",), store)
+    held = drafts.filter(F.col("status") != "rejected").select(F.col("lead_id").alias("id"))
+    open_leads = leads.join(held, "id", "left_anti")
+    queue = gate_queue(draft_queue(open_leads, posts, n), backlog_gate(drafts, backlog)).withColumn("lead_id", F.col("id"))
+    prompts = drafting_prompts(queue, profile, facts, examples, guidance)
+    written = draft_with(prompts, completer, ("lead_id",), as_of=as_of, store=store, batch=batch, tasks=tasks)
     good = written.filter(F.col("error").isNull())
     made = lint_drafts(new_drafts(good, as_of))
     moved = good.select(

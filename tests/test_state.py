@@ -155,11 +155,13 @@ def test_latest_transition_counts(spark):
 
 
 def test_reviews(spark):
-    drafts = spark.createDataFrame([(i, "pending_review", None, None) for i in range(4)], "id int, status string, rejection_reason string, reviewed_at timestamp")
-    said = [(0, "approved", None, START), (1, "skip", "tone", START), (2, "hm", None, START), (1, "later", None, START + timedelta(1))]
+    statuses = ["pending_review"] * 4 + ["sent", "drafting"]
+    drafts = spark.createDataFrame([(i, s, None, None) for i, s in enumerate(statuses)], "id int, status string, rejection_reason string, reviewed_at timestamp")
+    said = [(0, "approved", None, START), (1, "skip", "tone", START), (2, "hm", None, START), (1, "later", None, START + timedelta(1)), (4, "approved", None, START), (5, "skip", "x", START)]
     out = state.apply_reviews(drafts, spark.createDataFrame(said, "id int, decision string, reason string, at timestamp"))
     assert {r.id: (r.status, r.rejection_reason, r.reviewed_at) for r in out.collect()} == {
         0: ("approved", None, START), 1: ("rejected", "tone", START), 2: ("pending_review", None, None), 3: ("pending_review", None, None),
+        4: ("sent", None, None), 5: ("drafting", None, None),
     }
 
 
