@@ -125,24 +125,23 @@ def failure_stream(spark, sf):
     return state.state_of(streams.newest_fold(spark, f"{out}/folds"))
 
 
-def _landed(spark, df, parts, order):
-    """A stream of the rows in so many batches, a folder's worth of files each, landed one after the other."""
-    folder = f"{shared_folder(spark)}/landed"
+def _by_batches(spark, parts, order, writer, *frames):
+    """Land the rows of each part one after the other, and let the stream take them as a batch of its own each time."""
+    folders = [f"{shared_folder(spark)}/landed" for _ in frames]
     for i in range(parts):
-        df.filter(order == i).repartition(_FILES).write.mode("append").parquet(folder)
-    # Each batch takes as many files as one part was written in, the oldest first.
-    return tables.stream_records(spark, folder, df.schema, max_files=_FILES, format="parquet")
-
-
-_FILES = 2
+        sources = []
+        for frame, folder in zip(frames, folders):
+            frame.filter(order == i).write.mode("append").parquet(folder)
+            sources.append(tables.stream_records(spark, folder, frame.schema, format="parquet"))
+        streams.run_available(writer(*sources))
 
 
 @query("failure_stream_late", "attempts", "select * from (" + _FOLD + ")")
 def failure_stream_late(spark, sf):
     """Four batches, the latest attempts first, with a snapshot after every second."""
     out = shared_folder(spark)
-    src = _landed(spark, A.attempts(spark, sf), 4, 3 - F.floor(F.dayofyear("attempted_at") / 8) % 4)
-    streams.run_available(streams.failure_stream(src, f"{out}/folds", f"{out}/state", every=2))
+    newest_first = 3 - F.floor(F.dayofyear("attempted_at") / 8) % 4
+    _by_batches(spark, 4, newest_first, lambda src: streams.failure_stream(src, f"{out}/folds", f"{out}/state", every=2), A.attempts(spark, sf))
     return state.state_of(streams.newest_fold(spark, f"{out}/folds"))
 
 
@@ -151,7 +150,63 @@ select date_trunc('day', "at") starts_at, stage, count(*) n from e group by 1, 2
 def funnel_stream_batches(spark, sf):
     """The funnel over several batches of each table, with a snapshot after every second."""
     out, keys = shared_folder(spark), ["starts_at", "stage"]
-    parts = [_landed(spark, df, 3, F.pmod(F.col("id"), F.lit(3))) for df in (A.posts(spark, sf), A.leads(spark, sf), A.drafts(spark, sf))]
-    counts = streams.funnel_stream(*parts, late="365 days")
-    streams.run_available(streams.upsert_by_batch(counts, f"{out}/rows", f"{out}/state", keys, every=2))
+    writer = lambda *src: streams.upsert_by_batch(streams.funnel_stream(*src, late="365 days"), f"{out}/rows", f"{out}/state", keys, every=2)
+    _by_batches(spark, 3, F.pmod(F.col("id"), F.lit(3)), writer, A.posts(spark, sf), A.leads(spark, sf), A.drafts(spark, sf))
     return streams.latest_rows(spark, f"{out}/rows", keys).select(ntz("starts_at"), "stage", "n")
+
+
+@query("ingest_stream_batches", "", _first_sql())
+def ingest_stream_batches(spark, sf):
+    """Three batches, the earliest rows first."""
+    out = shared_folder(spark)
+    arrivals = A.arrivals(spark, sf)
+    part = F.when(F.year("l_shipdate") < 1996, 0).when(F.year("l_shipdate") < 1999, 1).otherwise(2)
+    _by_batches(spark, 3, part, lambda src: streams.ingest_stream(src, f"{out}/rows", f"{out}/state", _KEYS, _ORDER), arrivals)
+    return spark.read.parquet(f"{out}/rows").select(*_KEPT)
+
+
+@query("lookback_stream_moving", "posts", """
+with b as (select external_id, posted_at, id % 3 batch from posts), m as (select batch, max(posted_at) clock from b group by 1),
+c as (select a.batch, max(z.clock) clock from m a join m z on z.batch <= a.batch group by 1)
+select external_id, posted_at, cast(batch as int) batch from b join c using (batch) where posted_at >= clock - interval '24' hour""")
+def lookback_stream_moving(spark, sf):
+    """Three batches, each with a clock of its own."""
+    out = shared_folder(spark)
+    posts = A.posts(spark, sf).select("id", "external_id", "posted_at")
+    _by_batches(spark, 3, F.pmod(F.col("id"), F.lit(3)), lambda src: streams.moving_lookback(src, "posted_at", out, f"{out}/state"), posts)
+    return streams.fresh_rows(spark, out).select("external_id", "posted_at", "batch")
+
+
+@query("dedup_stream_batches", "", "select distinct l_orderkey, l_linenumber from lineitem")
+def dedup_stream_batches(spark, sf):
+    """Four batches; the repeats of a key come by different ones."""
+    out = shared_folder(spark)
+
+    def writer(src):
+        rows = streams.dedup_stream(src, "l_shipdate", "3650 days", _KEYS).select(*_KEYS)
+        return rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
+
+    _by_batches(spark, 4, F.pmod(F.col("l_partkey"), F.lit(4)), writer, A.arrivals(spark, sf))
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("score_stream_batches", "posts", f"select external_id, score, signal_tags from ({_SCORED})")
+def score_stream_batches(spark, sf):
+    out = shared_folder(spark)
+    scorer = lambda p: scoring.rubric_score(p, PROFILE, AS_OF)
+    _by_batches(spark, 3, F.pmod(F.col("id"), F.lit(3)), lambda src: streams.score_stream(src, scorer, f"{out}/rows", f"{out}/state"), A.posts(spark, sf))
+    return spark.read.parquet(f"{out}/rows").select("external_id", "score", joined("signal_tags"))
+
+
+@query("liveness_stream_batches", "heartbeats", f"""
+select * from ({LIVE_SQL}) where epoch_us(last_beat_at) + 89999999 <= (select epoch_us(max(beat_at)) // 1000 * 1000 - 90000000 from heartbeats)""")
+def liveness_stream_batches(spark, sf):
+    """Three batches, one stretch of time after the other; a session may begin in one and end in the next."""
+    out = shared_folder(spark)
+
+    def writer(src):
+        return streams.liveness_stream(src).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
+
+    day = F.dayofmonth("beat_at")
+    _by_batches(spark, 3, F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2), writer, A.heartbeats(spark, sf))
+    return spark.read.parquet(f"{out}/rows").select("instance_id", ntz("started_at"), ntz("last_beat_at"), "beats")

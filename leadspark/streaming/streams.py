@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -17,17 +16,21 @@ from leadspark.functions.phrases import text_has_any
 from leadspark.functions.text import present
 from leadspark.functions.times import Moment
 from leadspark.operators.filters import post_text, within_lookback
-from leadspark.operators.keyed import POST_KEY, append_new
+from leadspark.operators.keyed import POST_KEY, first_per_key
 from leadspark.operators.state import fold_attempts, merge_folds
+from leadspark.session import keep
+from leadspark.sources.folders import drop_folder, numbered, read_if_there
 from leadspark.streaming.compacted import EVERY, latest_of, read_compacted, write_batch
 
 
+#: Parts that the keys of an ingested table are dealt into; a table keeps the number it was begun with.
+KEY_PARTS = 64
+
+
 def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at a path, or an empty one before the first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    found = read_if_there(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
@@ -44,14 +47,43 @@ def with_event_time(src: DataFrame, column: str, late: str) -> DataFrame:
     return src.withWatermark(column, late)
 
 
+def key_part(keys: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def keys_in_parts(held: DataFrame, touched: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """Stored keys of the named parts; no other part is listed or read."""
+    return held.filter(F.col("key_part").isin(list(touched))).select("key_part", *keys)
+
+
+def append_to_parts(
+    arrived: DataFrame, table: str, keys: Sequence[str] = POST_KEY, order_by: Sequence[Column | str] = ("scraped_at",), parts: int = KEY_PARTS
+) -> None:
+    """Append the first arrival of each key that the table doesn't hold.
+
+    The table is stored by part of its key (column ``key_part``). The arrivals are read once and kept; stored keys are
+    read from the parts they fall into only. Rows already there when a failed append is repeated count as stored.
+    """
+    spark = arrived.sparkSession
+    dealt = keep(first_per_key(arrived, keys, order_by).withColumn("key_part", key_part(keys, parts)))
+    # At most one number for each part.
+    touched = [r.key_part for r in dealt.select("key_part").distinct().collect()]
+    # Stored columns are compared by name: a table of other columns, or of another number of parts, is an error.
+    held = read_if_there(spark, table)
+    if held is not None:
+        if sorted(held.columns) != sorted(dealt.columns):
+            raise ValueError(f"{table} has the columns {sorted(held.columns)}, the arrivals {sorted(dealt.columns)}")
+        dealt = dealt.join(keys_in_parts(held, touched, keys), ["key_part", *keys], "left_anti")
+    dealt.write.mode("append").partitionBy("key_part").parquet(table)
+
+
 def ingest_stream(
-    src: DataFrame, table: str, checkpoint: str, keys: Sequence[str] = POST_KEY, order_by: Sequence[Column | str] = ("scraped_at",)
+    src: DataFrame, table: str, checkpoint: str, keys: Sequence[str] = POST_KEY, order_by: Sequence[Column | str] = ("scraped_at",), parts: int = KEY_PARTS
 ) -> DataStreamWriter:
     """Append the first arrival of each key, ever, to the table."""
 
     def load(batch: DataFrame, _: int) -> None:
-        existing = stored(batch.sparkSession, table, batch.schema)
-        append_new(existing, batch, keys, order_by).write.mode("append").parquet(table)
+        append_to_parts(batch, table, keys, order_by, parts)
 
     return src.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
 
@@ -67,6 +99,36 @@ def lookback_stream(src: DataFrame, event_time: str, as_of: Moment | None = None
     return with_event_time(kept, event_time, f"{int(hours * 3600)} seconds")
 
 
+def moving_lookback(src: DataFrame, event_time: str, out: str, checkpoint: str, hours: float = 24) -> DataStreamWriter:
+    """Write the rows no older than the lookback when they arrive; read them with ``fresh_rows``.
+
+    The stream's clock is the greatest event time of this and all earlier batches, so the cutoff moves on with the
+    stream and never back. A batch writes its clock and its rows under its own number, and a repeated batch the same
+    again. Rows without a time are dropped.
+    """
+    width = F.expr(f"interval {int(hours * 3600)} seconds")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = keep(batch.filter(F.col(event_time).isNotNull()))
+        earlier = [n for n in numbered(spark, f"{out}/clocks", "batch") if n < batch_id]
+        times = rows.select(F.col(event_time).alias("clock"))
+        if earlier:
+            times = times.unionByName(spark.read.parquet(f"{out}/clocks/batch={earlier[-1]}"))
+        times.agg(F.max("clock").alias("clock")).write.mode("overwrite").parquet(f"{out}/clocks/batch={batch_id}")
+        for old in earlier[:-1]:
+            drop_folder(spark, f"{out}/clocks/batch={old}")
+        clock = spark.read.parquet(f"{out}/clocks/batch={batch_id}").scalar()
+        rows.filter(F.col(event_time) >= clock - width).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    return src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def fresh_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The rows kept by ``moving_lookback``, with the batch they came by."""
+    return spark.read.parquet(f"{out}/rows")
+
+
 def score_stream(src: DataFrame, scorer: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> DataStreamWriter:
     """Score each batch as it arrives; the result of a batch is replaced, not added, when it is repeated."""
 

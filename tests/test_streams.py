@@ -34,6 +34,46 @@ def test_ingest_keeps_the_first_ever_over_batches(spark, folder):
     assert out.count() == 700 and out.agg(F.max("scraped_at")).first()[0] == 699
 
 
+def test_ingest_probes_only_the_parts_it_touches(spark, folder):
+    """The stored keys are read with a partition filter, and only their columns."""
+    rows = spark.range(500).selectExpr("'r' platform", "cast(id as string) external_id", "id scraped_at", "'long text' body")
+    streams.append_to_parts(rows, f"{folder}/t", parts=16)
+    part = streams.key_part(["platform", "external_id"], 16)
+    one = rows.union(rows.withColumn("external_id", F.concat("external_id", F.lit("-new")))).filter(part == 3)
+    streams.append_to_parts(one, f"{folder}/t", parts=16)
+    assert spark.read.parquet(f"{folder}/t").count() == 500 + one.filter("external_id like '%new'").count()
+    held = streams.keys_in_parts(spark.read.parquet(f"{folder}/t"), [3], ["platform", "external_id"])
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "(key_part#" in plan.split("PartitionFilters: ")[1].split("]")[0] and "ReadSchema: struct<platform:string,external_id:string>" in plan
+    files = {r.f for r in held.select(F.input_file_name().alias("f")).collect()}
+    assert {f.split("key_part=")[1].split("/")[0] for f in files} == {"3"}
+
+
+def test_ingest_raises_on_a_table_of_other_columns(spark, folder):
+    rows = spark.range(5).selectExpr("'r' platform", "cast(id as string) external_id", "id scraped_at")
+    rows.write.parquet(f"{folder}/t")
+    with pytest.raises(ValueError, match="has the columns"):
+        streams.append_to_parts(rows, f"{folder}/t")
+    streams.append_to_parts(rows, f"{folder}/u")
+    with pytest.raises(ValueError, match="has the columns"):
+        streams.append_to_parts(rows.withColumn("more", F.lit(1)), f"{folder}/u")
+
+
+def test_lookback_moves_with_the_stream(spark, folder):
+    """The cutoff follows the greatest time so far; a repeated batch gives the same rows."""
+    hour = lambda h: START + timedelta(hours=h)
+    batches = [[0, 10, -20], [40, 15, 16, None], [20, 41], [39.99, 16, 17]]
+    kept = [[0, 10], [40, 16], [20, 41], [39.99, 17]]
+    for i, hours in enumerate(batches):
+        rows = [(i, None if h is None else hour(h)) for h in hours]
+        spark.createDataFrame(rows, "n int, at timestamp").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        for _ in range(2):
+            src = stream_records(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, format="parquet")
+            streams.run_available(streams.moving_lookback(src, "at", f"{folder}/out", f"{folder}/state", 24))
+    got = {(r.batch, r.at) for r in streams.fresh_rows(spark, f"{folder}/out").collect()}
+    assert got == {(i, hour(h)) for i, hours in enumerate(kept) for h in hours}
+
+
 def test_ingest_repeats_a_batch_safely(spark, folder):
     rows = spark.range(100).selectExpr("'r' platform", "cast(id as string) external_id", "id scraped_at", "0 _part")
     schema = land(rows, f"{folder}/in", 1, ["scraped_at"])
