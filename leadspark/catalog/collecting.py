@@ -303,6 +303,22 @@ def match_phrases(spark, sf):
     return out.select("platform", "external_id", joined("matched_keywords"), "first_match")
 
 
+def _repeated_keys(spark, sf):
+    """Posts of which many share a key, and some have none."""
+    n = F.col("id") % 50
+    return A.posts(spark, sf).withColumns({"post": F.col("id"), "external_id": F.when(n > 4, n.cast("string"))})
+
+
+def _phrase_rows(spark, phrases):
+    return spark.createDataFrame([(p, i) for i, p in enumerate(phrases)], "phrase string, rank int")
+
+
+@query("match_phrases_by_table", "posts", f"select id, {_held_sql(_PHRASES)} from posts")
+def match_phrases_by_table(spark, sf):
+    out = matching.match_phrases(_repeated_keys(spark, sf), _phrase_rows(spark, _PHRASES))
+    return out.select("id", joined("matched_keywords"), "first_match")
+
+
 @query("match_phrase_table", "", """
 with words as (select distinct regexp_extract(p_name, '^[a-zA-Z]+') w from part),
 terms as (select lower(w) as term from words where w <> '' union select 'the and' union select 'of the' union select 'attion to the'),

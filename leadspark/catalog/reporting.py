@@ -253,6 +253,15 @@ def mention_counts(spark, sf):
     return matching.mention_counts(A.posts(spark, sf), _NAMES)
 
 
+@query("mention_counts_by_table", "posts", _mentions_sql())
+def mention_counts_by_table(spark, sf):
+    """By a table of names, on posts of which many share a key and some have none."""
+    n = F.col("id") % 50
+    posts = A.posts(spark, sf).withColumn("external_id", F.when(n > 4, n.cast("string")))
+    names = spark.createDataFrame([(name, i) for i, name in enumerate(_NAMES)], "phrase string, rank int")
+    return matching.mention_counts(posts, names)
+
+
 @query("watchlist", "sources", """
 select id, platform, status, last_scraped_at, json_extract_string(config, '$.subreddit') subreddit,
   'of the,the is' keywords, cast(null as varchar) as "query"

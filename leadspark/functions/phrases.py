@@ -65,20 +65,18 @@ def held_phrases(fenced: Column, phrases: Sequence[str]) -> Column:
     return present(*[F.when(has_phrase(fenced, p), F.lit(p)) for p in phrases])
 
 
-def separators(lowered: Column) -> Column:
-    """How many characters of a phrase are no letters."""
-    return F.length(F.regexp_replace(lowered, r"\p{L}+", ""))
+def free_starts(lowered: Column, length: Column) -> Column:
+    """What follows each place of a text that no letter comes right before, up to ``length`` characters; in one pass."""
+    pattern = F.concat(F.lit(r"(?s)(?<!\p{L})(?=(.{1,"), length.cast("string"), F.lit("}))"))
+    return F.array_distinct(F.regexp_extract_all(lowered, pattern, F.lit(1)))
 
 
-def free_grams(lowered: Column, counts: Column) -> Column:
-    """Distinct parts of a text that no letter touches and that hold one of the given numbers of separators.
+def first_word(lowered: Column) -> Column:
+    """The letters that a text begins with; if it begins with another character, this one and the letters after it."""
+    return F.regexp_extract(lowered, r"^(\p{L}+|[^\p{L}]\p{L}*)", 1)
 
-    Each part starts where a letter run does, or could, and takes as many further (possibly empty) runs as it
-    has separators. A look-ahead finds overlapping parts in one pass over the text per number.
-    """
-
-    def grams(count: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?<!\p{L})(?=(\p{L}*+(?:[^\p{L}]\p{L}*+){"), count.cast("string"), F.lit("}))"))
-        return F.array_distinct(F.regexp_extract_all(lowered, pattern, F.lit(1)))
 
-    return F.flatten(F.transform(counts, grams))
+def whole_part(following: Column, length: Column) -> Column:
+    """The first characters of a text if there are so many and no letter comes right after; else null."""
+    whole = (F.char_length(following) >= length) & ~F.substring(following, length + 1, F.lit(1)).rlike(r"^\p{L}")
+    return F.when(whole, F.substring(following, F.lit(1), length))

@@ -59,6 +59,25 @@ def test_random_texts(spark, texts, phrases):
     assert found(matching.match_phrases(posts, table)) == want
 
 
+def test_rows_of_one_key_have_their_own_phrases(spark):
+    rows = [("r", "1", "foo"), ("r", "1", "baz"), ("r", None, "foo baz"), (None, None, "baz"), ("r", "1", "foo"), ("r", "1", None)]
+    posts = spark.createDataFrame(rows, "platform string, external_id string, body string").withColumns({"title": F.lit(None).cast("string"), "posted_at": F.lit("2024-01-01").cast("timestamp")})
+    table = spark.createDataFrame([("foo", 0), ("baz", 1), ("", 2)], "phrase string, rank int")
+    got = sorted((r.body or "", r.matched_keywords) for r in matching.match_phrases(posts, table).collect())
+    assert got == [("", []), ("baz", ["baz"]), ("baz", ["baz"]), ("foo", ["foo"]), ("foo", ["foo"]), ("foo baz", ["foo", "baz"])]
+    assert {r.name: r.mentions for r in matching.mention_counts(posts, table).collect()} == {"foo": 3, "baz": 3}
+
+
+def test_many_phrases_of_one_first_word(spark):
+    """Phrases that share their first word, and lengths; an empty table matches nothing."""
+    texts = [f"the {a}{b} of the {b}" for a in "abc" for b in "xyz"] + ["the", "the the", "The Ax!", "there ax", "the\n\nax"]
+    phrases = [f"the {a}{b}" for a in "abc" for b in "xyz"] + ["the", "the the", "of the x", "the\n", "\n"]
+    posts = frame(spark, texts)
+    table = spark.createDataFrame(list(zip(phrases, range(len(phrases)))), "phrase string, rank int")
+    assert found(matching.match_phrases(posts, table)) == expected(texts, phrases)
+    assert set(map(tuple, found(matching.match_phrases(posts, table.limit(0))).values())) == {()}
+
+
 def test_first_match_and_counts(spark):
     posts = frame(spark, TEXTS).withColumn("posted_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     row = matching.match_phrases(posts, ["tool", "looking for tool"]).filter("external_id = '0'").first()
