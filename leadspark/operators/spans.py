@@ -1,7 +1,7 @@
 """Gaps, sessions and rolling budgets over time.
 
-Beats and requests are first combined per short time bucket, so what a single key sorts grows with
-the length of the history, not with its number of rows.
+Beats and requests are first combined per short time bucket and then taken by time slices, so that what a task sorts
+of a single key is bounded by the width of a slice.
 """
 
 from __future__ import annotations
@@ -28,26 +28,62 @@ def _beat_buckets(heartbeats: DataFrame, gap_s: float) -> DataFrame:
     )
 
 
-def outages(heartbeats: DataFrame, gap_s: float = 300) -> DataFrame:
-    """Pauses longer than the gap between two beats of an instance."""
-    order = W.partitionBy("instance_id").orderBy("_b")
-    spans = _beat_buckets(heartbeats, gap_s).withColumn("last_beat_at", F.lag("_last").over(order))
-    gap = seconds_between(F.col("_first"), F.col("last_beat_at"))
-    return spans.filter(gap > gap_s).select(
-        "instance_id", "last_beat_at", F.col("_first").alias("recovered_at"), gap.alias("gap_s")
-    )
+#: Slices of one level that make one slice of the next.
+_FAN = 128
+#: Fixed values, in microseconds: where the calendar of timestamps begins (year 1), and more than its length.
+_CALENDAR_START, _CALENDAR = -62_135_596_800_000_000, 320_000_000_000_000_000
+
+
+def _widths(slice_s: float) -> list[int]:
+    """Ever wider slices, in microseconds, up to one that holds all timestamps."""
+    out = [int(slice_s * 1_000_000)]
+    while out[-1] < _CALENDAR:
+        out.append(min(out[-1] * _FAN, _CALENDAR))
+    return out
+
 
+def _slice_at(ts: Column, width: int) -> Column:
+    return F.floor((micros(ts) - F.lit(_CALENDAR_START)) / F.lit(width))
 
-def live_sessions(heartbeats: DataFrame, stale_s: float = 90) -> DataFrame:
-    """Stretches of beats of an instance that are each less than the stale time apart."""
-    order = W.partitionBy("instance_id").orderBy("_b")
-    spans = _beat_buckets(heartbeats, stale_s)
-    gap = seconds_between(F.col("_first"), F.lag("_last").over(order))
-    spans = spans.withColumn("_new", F.coalesce((gap >= stale_s).cast("int"), F.lit(1)))
-    spans = spans.withColumn("_session", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    return spans.groupBy("instance_id", "_session").agg(
-        F.min("_first").alias("started_at"), F.max("_last").alias("last_beat_at"), F.sum("_n").alias("beats")
-    ).drop("_session")
+
+def outages(heartbeats: DataFrame, gap_s: float = 300, slice_s: float = 3_600) -> DataFrame:
+    """Pauses longer than the gap between two beats of an instance.
+
+    Beats are compared within time slices. A slice then stands for its first and last beat, and slices are compared
+    within wider ones, until one holds all: no task orders more of an instance than a slice of slices.
+    """
+    rows, found = _beat_buckets(heartbeats, gap_s).select("instance_id", "_first", "_last"), None
+    for width in _widths(slice_s):
+        rows = rows.withColumn("_slice", _slice_at(F.col("_first"), width))
+        rows = rows.withColumn("last_beat_at", F.lag("_last").over(W.partitionBy("instance_id", "_slice").orderBy("_first")))
+        gap = seconds_between(F.col("_first"), F.col("last_beat_at"))
+        inside = rows.filter(gap > gap_s).select("instance_id", "last_beat_at", F.col("_first").alias("recovered_at"), gap.alias("gap_s"))
+        found = inside if found is None else found.unionByName(inside)
+        rows = rows.groupBy("instance_id", "_slice").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    return found
+
+
+def live_sessions(heartbeats: DataFrame, stale_s: float = 90, slice_s: float = 3_600) -> DataFrame:
+    """Stretches of beats of an instance that are each less than the stale time apart.
+
+    Stretches are joined within time slices. All but the first and the last of a slice are complete; these two go on
+    and are joined within a wider slice, until one holds all.
+    """
+    widths = _widths(slice_s)
+    rows, closed = _beat_buckets(heartbeats, stale_s), None
+    for width in widths:
+        rows = rows.withColumn("_slice", _slice_at(F.col("_first"), width))
+        inside = W.partitionBy("instance_id", "_slice")
+        gap = seconds_between(F.col("_first"), F.lag("_last").over(inside.orderBy("_first")))
+        rows = rows.withColumn("_new", F.coalesce((gap >= stale_s).cast("int"), F.lit(1)))
+        so_far = inside.orderBy("_first").rowsBetween(W.unboundedPreceding, W.currentRow)
+        rows = rows.withColumns({"_session": F.sum("_new").over(so_far), "_sessions": F.sum("_new").over(inside)})
+        joined = rows.groupBy("instance_id", "_slice", "_session", "_sessions").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+        complete = (F.col("_session") > 1) & (F.col("_session") < F.col("_sessions")) if width != widths[-1] else F.lit(True)
+        done = joined.filter(complete).select("instance_id", "_first", "_last", "_n")
+        closed = done if closed is None else closed.unionByName(done)
+        rows = joined.filter(~complete).select("instance_id", "_first", "_last", "_n")
+    return closed.select("instance_id", F.col("_first").alias("started_at"), F.col("_last").alias("last_beat_at"), F.col("_n").alias("beats"))
 
 
 def rate_budget(requests: DataFrame, limits: dict[str, tuple[int, int]] | None = None, slice_s: int = 86_400) -> DataFrame:

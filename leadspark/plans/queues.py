@@ -23,16 +23,40 @@ def _top(df: DataFrame, order: Sequence[Column | str], n: int | None) -> DataFra
     return df if n is None else df.orderBy(*order).limit(n)
 
 
+def _within(posts: DataFrame, chosen: DataFrame, time: str) -> DataFrame:
+    """The posts from the time of the chosen ones, so that the scan of whole posts skips the others."""
+    times = chosen.select(time)
+    return posts.filter((F.col(time) >= times.agg(F.min(time)).scalar()) & (F.col(time) <= times.agg(F.max(time)).scalar()))
+
+
 def _top_with_posts(
-    leads: DataFrame, posts: DataFrame, order: Sequence[Column | str], n: int | None, columns: Sequence[str]
+    leads: DataFrame, posts: DataFrame, order: Sequence[Column | str], n: int | None, columns: Sequence[str], time: str = "scraped_at"
 ) -> DataFrame:
-    """The first n leads that have a post, with their posts; one plan for every n."""
-    return _top(leads_with_posts(leads, posts, columns), order, n)
+    """The first n leads that have a post, with their posts; one plan for every n.
+
+    The leads are chosen by the ids and times of the posts alone. Texts are then read for the chosen leads, within
+    the span of time that these posts come from. A list is broadcast where its length allows.
+    """
+    if n is None:
+        return leads_with_posts(leads, posts, columns)
+    known = posts.select(F.col("id").alias("raw_post_id"), F.col(time).alias("_time"))
+    chosen = _top(leads.join(known, "raw_post_id"), order, n)
+    near = _within(posts.select("id", time, *columns).withColumnRenamed(time, "_time"), chosen, "_time")
+    return _top(leads_with_posts(chosen.drop("_time").distinct(), near, columns), order, n)
 
 
 def score_batch(posts: DataFrame, score_log: DataFrame, n: int | None = 25) -> DataFrame:
-    """Posts to score next, the longest waiting first. One plan for every n: each task keeps its first n."""
-    return _top(unprocessed(posts, score_log), ["scraped_at", *POST_KEY], n)
+    """Posts to score next, the longest waiting first.
+
+    They are chosen by key and time alone; whole posts are read up to the time of the last one chosen. One plan for
+    every n: each task keeps its first n.
+    """
+    if n is None:
+        return unprocessed(posts, score_log)
+    order = ["scraped_at", *POST_KEY]
+    chosen = _top(unprocessed(posts.select(*order), score_log), order, n)
+    near = _within(posts, chosen, "scraped_at").join(chosen.distinct(), order, "left_semi")
+    return _top(near.select(*posts.columns), order, n)
 
 
 def draft_queue(leads: DataFrame, posts: DataFrame, n: int | None = 10, min_score: int = S.QUALIFIED_SCORE) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from oracle import SF_DIR, compare
 
@@ -56,3 +58,42 @@ def test_time_bound_reaches_the_scan(spark, folder):
     assert plan.count("FileScan") == 3
     assert "GreaterThan(scraped_at," in plan and "GreaterThan(scored_at," in plan
     assert "ReadSchema: struct<scraped_at:timestamp>" in plan
+
+
+@pytest.mark.parametrize("n", [3, 50])
+def test_short_lists_are_chosen_without_texts(spark, folder, n):
+    """One plan for every length: whole posts are read within a span of time and cross no shuffle."""
+    from leadspark.plans import queues
+    from leadspark.schemas import LEADS, RAW_POSTS, SCORE_LOG
+
+    frames = []
+    for i, schema in enumerate((RAW_POSTS, LEADS, SCORE_LOG)):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{i}")
+        frames.append(spark.read.schema(schema).parquet(f"{folder}/{i}"))
+    posts, leads, log = frames
+    now = "2024-01-31T00:00:00"
+    for df in (queues.score_batch(posts, log, n), queues.draft_queue(leads, posts, n), queues.digest_leads(leads, posts, now, n=n), queues.recent_leads(leads, posts, now, n=n)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        wide = [line for line in plan.splitlines() if "FileScan" in line and "title#" in line]
+        assert wide and all("scraped_at#" in line.split("DataFilters: ")[1] and ">=" in line for line in wide)
+        # A broadcast list holds no texts, and no row is shuffled below the choice of texts.
+        texts = set(re.findall(r"(?:title|body)#\d+", " ".join(wide)))
+        exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+        assert not any(t in line for line in exchanges for t in texts)
+        assert len(df.columns) == len(set(df.columns))
+
+
+def test_short_lists_hold_the_first_rows(spark):
+    from datetime import datetime, timedelta
+
+    from leadspark.plans import queues
+
+    at = lambda i: datetime(2024, 1, 1) + timedelta(minutes=i)
+    posts = spark.createDataFrame([(f"p{i}", "reddit", str(i), at(i % 7), f"t{i}", "b", "u") for i in range(40)], "id string, platform string, external_id string, scraped_at timestamp, title string, body string, url string")
+    log = spark.createDataFrame([("reddit", str(i), "scored", at(9)) for i in range(0, 40, 3)], "platform string, external_id string, event string, at timestamp")
+    want = sorted(((i % 7, str(i)) for i in range(40) if i % 3), key=lambda x: (x[0], x[1]))
+    for n in (1, 5, 100):
+        assert [(r.external_id, r.title) for r in queues.score_batch(posts, log, n).collect()] == [(i, f"t{i}") for _, i in want[:n]]
+    leads = spark.createDataFrame([(f"l{i}", f"p{i * 2}", "reddit", str(i), 70 + i, "new", at(i)) for i in range(25)], "id string, raw_post_id string, platform string, external_id string, score int, status string, scored_at timestamp")
+    for n in (2, 10, 100):
+        assert [(r.id, r.title) for r in queues.draft_queue(leads, posts, n).collect()] == [(f"l{i}", f"t{i * 2}") for i in range(19, 4, -1)][:n]

@@ -180,6 +180,39 @@ def test_stale_beat_starts_a_session(spark):
     assert sorted(r.beats for r in got) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("slice_s", [600, 3_600, 86_400])
+def test_slices_are_stitched(spark, slice_s):
+    """Sessions and outages that cross slices, empty slices and the year 1970 come out whole, whatever the width."""
+    rng = random.Random(slice_s % 7)
+    rows, n = [], 0
+    for instance, start in (("a", START), ("b", START + timedelta(seconds=17)), ("c", datetime(1969, 12, 31, 20))):
+        at = start
+        for _ in range(700):
+            at += timedelta(seconds=rng.choice([1, 30, 60, 89, 90, 91, 299, 300, 301, 4_000, 90_000, 9_000_000][: rng.choice([4, 9, 12])]))
+            rows.append((n, instance, at))
+            n += 1
+    df = spark.createDataFrame(rows, "id bigint, instance_id string, beat_at timestamp")
+    pauses, sessions = set(), []
+    for before, now in zip([None, *rows], rows):
+        gap = None if before is None or before[1] != now[1] else (now[2] - before[2]).total_seconds()
+        if gap is None or gap >= 90:
+            sessions.append([now[1], now[2], now[2], 0])
+        sessions[-1][2:] = [now[2], sessions[-1][3] + 1]
+        if gap is not None and gap > 300:
+            pauses.add((now[1], before[2], now[2], gap))
+    assert {tuple(r) for r in spans.outages(df, slice_s=slice_s).collect()} == pauses
+    assert sorted(tuple(r) for r in spans.live_sessions(df, slice_s=slice_s).collect()) == sorted(map(tuple, sessions))
+
+
+def test_no_window_over_a_whole_instance(spark):
+    import re
+
+    for df in (spans.outages(beats(spark, [0])), spans.live_sessions(beats(spark, [0]))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        keys = re.findall(r"\[(instance_id#[^\]]*)\]", plan.replace(", ", ","))
+        assert "Window" in plan and not any(k.split(",")[0] == k for k in keys)
+
+
 def test_budget_slides_over_slices(spark):
     rng = random.Random(7)
     seconds = sorted(rng.randrange(0, 4000) for _ in range(900))
