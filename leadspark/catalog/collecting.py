@@ -15,8 +15,8 @@ from leadspark.sources import adapters as A, payloads, tables
 _PAGE = 50
 
 
-def _listing_payloads(spark, sf):
-    """Pages of fifty neighbouring documents as JSON listings."""
+def _listing_payloads(spark, sf, bad_date=None):
+    """Pages of fifty neighbouring documents as JSON listings; some posts have no date, if asked."""
     p = A.posts(spark, sf)
     n = F.col("id")
     post = F.struct(
@@ -26,7 +26,7 @@ def _listing_payloads(spark, sf):
         "title",
         F.when(n % 19 != 0, F.col("body")).alias("selftext"),
         F.concat(F.lit("/p/"), n.cast("string")).alias("permalink"),
-        F.unix_timestamp(F.col("posted_at").cast("timestamp")).cast("double").alias("created_utc"),
+        F.when(F.lit(True) if bad_date is None else ~bad_date, F.unix_timestamp(F.col("posted_at").cast("timestamp")).cast("double")).alias("created_utc"),
         F.col("engagement")["score"].alias("score"),
         (n % 13).alias("num_comments"),
         (n % 11 == 0).alias("over_18"),
@@ -52,14 +52,14 @@ def normalize_listing(spark, sf):
     )
 
 
-def _search_payloads(spark, sf):
+def _search_payloads(spark, sf, bad_date=None):
     """Pages of fifty neighbouring documents as JSON search results; accounts repeat within a page."""
     p = A.posts(spark, sf)
     n = F.col("id")
     author = F.concat(F.lit("a"), (n % 7).cast("string"))
     tweet = F.struct(
         n.cast("string").alias("id"), author.alias("author_id"), F.col("body").alias("text"),
-        F.date_format("posted_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"), "lang",
+        F.when(F.lit(False) if bad_date is None else bad_date, F.concat(F.lit("day "), n.cast("string"))).otherwise(F.date_format("posted_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("created_at"), "lang",
         F.struct(F.when(n % 3 != 0, n % 31).alias("like_count"), (n % 5).alias("reply_count"), (n % 2).alias("retweet_count")).alias("public_metrics"),
         F.when(n % 6 == 0, F.array(F.struct(F.lit("retweeted").alias("type"), F.lit("1").alias("id")))).alias("referenced_tweets"),
     )
@@ -97,10 +97,43 @@ def normalize_search(spark, sf):
     )
 
 
-@query("drop_reposts", "posts", "select external_id from (" + _SEARCH_SQL + ") where cast(external_id as bigint) % 6 <> 0")
+_ALL_SEARCH_SQL = _SEARCH_SQL.split("\nfrom j where")[0] + "\nfrom j"
+
+
+@query("search_records", "posts", "select * from (" + _ALL_SEARCH_SQL + ")")
+def search_records(spark, sf):
+    out = payloads.search_records(_search_payloads(spark, sf))
+    e = F.col("engagement")
+    return out.select(
+        "page", "platform", "external_id", "author", "author_meta.*", "title", "body", "url", ntz("posted_at"),
+        e["likes"].alias("likes"), e["replies"].alias("replies"), e["retweets"].alias("retweets"), joined("matched_keywords"),
+    )
+
+
+@query("drop_reposts", "posts", "select external_id from (" + _ALL_SEARCH_SQL + ") where cast(external_id as bigint) % 6 <> 0")
 def drop_reposts(spark, sf):
-    out = payloads.normalize_search(_search_payloads(spark, sf), AS_OF, lookback_hours=120)
-    return filters.drop_reposts(out).select("external_id")
+    return filters.drop_reposts(payloads.search_records(_search_payloads(spark, sf))).select("external_id")
+
+
+@query("bad_payloads", "posts", """
+with p as (select id, id // 50 page from posts), pages as (select distinct page from p)
+select 'listing' kind, page, 'unreadable_page' reason, cast(null as varchar) external_id, concat('{"data": ', page) detail from pages where page % 4 = 1
+union all select 'listing', page, 'no_posts', null, concat('{"error": ', page, '}') from pages where page % 4 = 2
+union all select 'listing', page, 'bad_date', cast(id as varchar), null from p where page % 4 in (0, 3) and id % 23 = 0
+union all select 'search', page, 'unreadable_page', null, 'null' from pages where page % 3 = 1
+union all select 'search', page, 'unknown_author', cast(id as varchar), concat('a', id % 7) from p where page % 3 <> 1 and id % 7 = 6
+union all select 'search', page, 'bad_date', cast(id as varchar), concat('day ', id) from p where page % 3 <> 1 and id % 29 = 0""")
+def bad_payloads(spark, sf):
+    """Pages of which some are cut short, errors or null, with posts of unreadable dates or unknown authors."""
+    page, text = F.col("page"), F.col("payload")
+    listing = _listing_payloads(spark, sf, F.col("id") % 23 == 0)
+    cut = F.when(page % 4 == 1, F.concat(F.lit('{"data": '), page.cast("string"))).when(page % 4 == 2, F.concat(F.lit('{"error": '), page.cast("string"), F.lit("}")))
+    listing = listing.withColumn("payload", F.coalesce(cut, text))
+    search = _search_payloads(spark, sf, F.col("id") % 29 == 0).withColumn("payload", F.when(page % 3 == 1, F.lit("null")).otherwise(text))
+    columns = ["kind", "page", "reason", "external_id", "detail"]
+    parts = [payloads.bad_listing(listing).withColumn("kind", F.lit("listing")), payloads.bad_search(search).withColumn("kind", F.lit("search"))]
+    return parts[0].select(*columns).unionByName(parts[1].select(*columns))
+
 
 
 def _accounts(spark, sf):
@@ -433,3 +466,47 @@ def collect_cycle(spark, sf):
     existing = A.posts(spark, sf).filter("platform = 'reddit'")
     new = cycles.collect_cycle(existing, [listing, search], AS_OF).new_posts
     return new.select("platform", "external_id", "author", "title", "body", ntz("posted_at"))
+
+
+@query("collect_cycle_phrases", "posts", """
+with f as (select id, posted_at, title, author, case when id % 2 = 0 then 'to the' else 'a last one' end phrase, id // 50 page from posts
+  where id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {now} - interval '120' hour)
+select concat('t3_', id) external_id, phrase matched_keywords, concat('src', page % 3) source_id, true same_raw, {now} scraped_at from f""")
+def collect_cycle_phrases(spark, sf):
+    """Each page is found by three phrases; the first in the order of reading counts, whatever the alphabet says."""
+    pages = _listing_payloads(spark, sf)
+    phrases = F.array(*[F.struct(F.lit(p).alias("keyword"), F.lit(r).alias("phrase_rank")) for r, p in enumerate(("to the", "a last one", "b"))])
+    children = F.from_json("payload", "data struct<children: array<struct<data: string>>>")["data"]["children"]
+    # The first phrase finds the even posts only.
+    even = F.filter(children, lambda c: F.get_json_object(c["data"], "$.id").cast("long") % 2 == 0)
+    found = pages.select("page", "payload", even.alias("even"), F.explode(phrases).alias("p")).select("page", "payload", "even", "p.*")
+    some = F.concat(F.lit('{"data":{"children":['), F.array_join(F.transform("even", lambda c: F.concat(F.lit('{"data":'), c["data"], F.lit("}"))), ","), F.lit("]}}"))
+    raw = found.select(
+        F.concat(F.lit("src"), (F.col("page") % 3).cast("string")).alias("source_id"), "keyword", "phrase_rank",
+        F.when(F.col("phrase_rank") == 0, some).otherwise(F.col("payload")).alias("payload"),
+    )
+    new = cycles.collect_cycle(A.posts(spark, sf).limit(0), [payloads.normalize_listing(raw, AS_OF, lookback_hours=120)], AS_OF).new_posts
+    same = F.concat(F.lit("t3_"), F.get_json_object("raw", "$.id")) == F.col("external_id")
+    return new.select("external_id", joined("matched_keywords"), "source_id", same.alias("same_raw"), ntz("scraped_at"))
+
+
+@query("collect_cycle_events", "posts attempts", """
+with n as (select count(*) n from posts where id % 11 <> 0 and id % 14 <> 0 and id % 17 <> 0 and posted_at >= {now} - interval '120' hour)
+select 'info' as "level", 'SCRAPE_DONE' code, concat(n, ' new posts') message, concat('{"attempted":', n, ',"inserted":', n, '}') context, 'complete' run_status from n
+union all select 'error', 'SCRAPE_FAILED', concat('source ', source_id), concat('{"source_id":', source_id, '}'), null from attempts where outcome = 'failed'""")
+def collect_cycle_events(spark, sf):
+    listing = payloads.normalize_listing(_listing_payloads(spark, sf), AS_OF, lookback_hours=120).drop("page")
+    done = cycles.collect_cycle(A.posts(spark, sf).limit(0), [listing], AS_OF, A.attempts(spark, sf))
+    run = done.run.select(F.col("stats").alias("context"), F.col("status").alias("run_status"))
+    return done.events.select("level", "code", "message", "context").join(run, "context", "left")
+
+
+@query("write_table", "posts leads", """
+select id, platform, external_id, author, score, status, scored_at from (select cast(id as varchar) id, platform, external_id, author, score, status, scored_at from leads)
+where scored_at >= {now} - interval '60' hour""")
+def write_table(spark, sf):
+    """Leads stored by day and read from a moment on."""
+    base = shared_folder(spark)
+    tables.write_table(A.leads(spark, sf), base, "leads")
+    out = tables.read_table(spark, base, "leads", "2024-01-28T12:00:00")
+    return out.select("id", "platform", "external_id", "author", "score", "status", ntz("scored_at"))

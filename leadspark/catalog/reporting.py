@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from leadspark import schemas as S
 from leadspark.catalog.registry import AS_OF, holds, joined, query
 from leadspark.functions import text as X
 from leadspark.functions.times import time_ago
@@ -164,22 +165,55 @@ def readiness_while_beating(spark, sf):
     return _readiness(spark, sf, "2024-01-30T23:57:12.500000")
 
 
-@query("health_report", "heartbeats logs rate_limits sources", """
-select 'schema' as "check", false ok, '4/8 tables' detail
-union all select 'heartbeat', coalesce(s < 120, false), concat(cast(cast(floor(coalesce(s, 99999) + 0.5) as bigint) as varchar), 's ago')
+def _health_tables(spark, sf):
+    """The eight tables; some lack columns, and drafts lack a required one."""
+    orders = A.table(spark, sf, "orders")
+    return {
+        "heartbeats": A.heartbeats(spark, sf), "logs": A.logs(spark, sf).withColumn("source", F.lit("bot")),
+        "rate_limits": A.rate_limits(spark, sf).withColumns({"consecutive_429s": F.lit(1), "updated_at": F.col("resets_at")}),
+        "sources": A.sources(spark, sf).withColumns({"consecutive_failures": F.lit(0), "created_at": F.col("last_scraped_at")}),
+        "raw_posts": A.posts(spark, sf), "leads": A.leads(spark, sf), "outreach_drafts": A.drafts(spark, sf),
+        "sessions": orders.select(
+            F.col("o_orderkey").cast("string").alias("id"), F.lit("scrape_cycle").alias("kind"), F.col("o_orderdate").alias("started_at"),
+            F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderstatus")).alias("status"),
+        ),
+    }
+
+
+def _lacking(table: str, *lacking: str) -> str:
+    assert set(lacking) <= set(S.TABLES[table].names)
+    return f"select 'table {table}' as \"check\", '{'warned' if lacking else 'passed'}' state, '{'without ' + ', '.join(lacking) if lacking else 'present'}' detail"
+
+
+_HEALTH_SQL = " union all ".join([
+    _lacking("sources", "notes"), _lacking("raw_posts", "source_id", "author_meta", "matched_keywords", "raw"),
+    _lacking("leads", "reasoning", "signal_tags", "disqualifiers"), _lacking("outreach_drafts", "channel", "subject", "rationale", "estimated_quality"),
+    _lacking("heartbeats", "current_task", "metadata"), _lacking("logs", "message"), _lacking("rate_limits", "reason"), _lacking("sessions", "ended_at", "stats"),
+    """
+select 'heartbeat', case when s is null then 'warned' when s < 120 then 'passed' else 'failed' end, coalesce(concat(cast(cast(floor(s + 0.5) as bigint) as varchar), 's ago'), 'no heartbeat yet')
   from (select cast(epoch_us({now}) - epoch_us(max(beat_at)) as double) / 1000000 s from heartbeats)
-union all select concat('sources ', status), status = 'healthy', cast(count(*) as varchar) from sources group by status
-union all select 'rate limits', true, 'none active' where not exists (select 1 from rate_limits where resets_at > {now})
-union all select concat('rate-limited ', platform), false, concat('until ', strftime(resets_at, '%Y-%m-%d %H:%M:%S'))
-  from rate_limits where resets_at > {now}
-union all select 'errors in last hour', count(*) = 0, concat(cast(count(*) as varchar), ' errors')
-  from logs where level in ('error', 'fatal') and occurred_at > {now} - interval '1' hour""")
+union all select concat('sources ', status), case when status = 'healthy' then 'passed' else 'warned' end, cast(count(*) as varchar) from sources group by status
+union all select 'sources degraded for long', case when count(*) = 0 then 'passed' else 'failed' end, cast(count(*) as varchar)
+  from sources where status = 'degraded' and (last_scraped_at is null or last_scraped_at < {now} - interval '12' hour)
+union all select 'rate limits', 'passed', 'none active' where not exists (select 1 from rate_limits where resets_at > {now})
+union all select concat('rate-limited ', platform), 'warned', concat('until ', strftime(resets_at, '%Y-%m-%d %H:%M:%S')) from rate_limits where resets_at > {now}
+union all select 'errors in last hour', case when count(*) = 0 then 'passed' else 'warned' end, concat(cast(count(*) as varchar), ' errors')
+  from logs where level in ('error', 'fatal') and occurred_at > {now} - interval '1' hour""",
+    *(
+        f"select 'rows of {name}', case when count(*) = 0 then 'passed' else 'failed' end, concat(cast(count(*) as varchar), ' break a constraint') from {broken}"
+        for name, broken in {
+            "sources": "sources where last_scraped_at is null", "raw_posts": "posts where false", "leads": "leads where score not between 0 and 100", "outreach_drafts": "drafts",
+            "heartbeats": "heartbeats where status is null", "logs": "logs where level is null", "rate_limits": "rate_limits where false", "sessions": "orders where o_orderkey % 50 = 0",
+        }.items()
+    ),
+])
+
+
+@query("health_report", "posts leads drafts heartbeats logs rate_limits sources", f"""
+with c as ({_HEALTH_SQL}), t as (select count(*) filter (state = 'passed') p, count(*) filter (state = 'warned') w, count(*) filter (state = 'failed') f from c)
+select * from c union all select 'summary', case when f > 0 then 'failed' when w > 0 then 'warned' else 'passed' end, concat(p, ' passed, ', w, ' warned, ', f, ' failed') from t""")
 def health_report(spark, sf):
-    tables = {
-        "heartbeats": A.heartbeats(spark, sf), "logs": A.logs(spark, sf),
-        "rate_limits": A.rate_limits(spark, sf), "sources": A.sources(spark, sf),
-    }
-    return reports.health_report(tables, AS_OF)
+    return reports.health_report(_health_tables(spark, sf), AS_OF, degraded_hours=12)
 
 
 @query("daily_stats", "posts leads drafts", """
@@ -299,7 +333,7 @@ select string_agg(concat(status, ': ', body), chr(10) order by status, id) examp
   select *, row_number() over (partition by status order by reviewed_at desc, id) rn
   from drafts where status in ('approved', 'rejected')) q where rn <= 5""")
 def example_text(spark, sf):
-    return drafting.example_text(drafting.style_examples(A.drafts(spark, sf)))
+    return drafting.example_text(A.drafts(spark, sf))
 
 
 @query("score_bands", "posts leads", """

@@ -10,13 +10,13 @@ from leadspark import schemas as S
 from leadspark.functions.text import present
 
 _REQUIRED = {
-    "sources": ("platform", "config", "is_active", "status", "consecutive_failures"),
+    "sources": ("platform", "config", "is_active", "status", "consecutive_failures", "created_at"),
     "raw_posts": ("platform", "external_id", "scraped_at"),
     "leads": ("raw_post_id", "platform", "external_id", "score", "status", "scored_at"),
     "outreach_drafts": ("lead_id", "channel", "body", "status", "drafted_at"),
     "heartbeats": ("instance_id", "beat_at", "status"),
     "logs": ("level", "source", "occurred_at"),
-    "rate_limits": ("platform", "resets_at"),
+    "rate_limits": ("platform", "resets_at", "consecutive_429s", "updated_at"),
     "sessions": ("kind", "started_at", "status"),
 }
 
@@ -40,9 +40,9 @@ _EXTRA: dict[str, dict[str, Callable[[Column], Column]]] = {"leads": {"score": s
 
 
 def check_rows(df: DataFrame, table: str) -> DataFrame:
-    """Add ``violations``: the constraints each row breaks. Columns that the frame lacks are not checked."""
+    """Add ``violations``: the constraints each row breaks. A required column that the frame lacks is missing in every row."""
     held = set(df.columns)
-    faults = [F.when(F.col(c).isNull(), F.lit(f"{c}_missing")) for c in _REQUIRED[table] if c in held]
+    faults = [F.when(F.col(c).isNull() if c in held else F.lit(True), F.lit(f"{c}_missing")) for c in _REQUIRED[table]]
     faults += [
         F.when(~F.col(c).isin(*values), F.lit(f"{c}_unknown"))
         for c, values in _ALLOWED.get(table, {}).items()

@@ -69,8 +69,9 @@ def style_examples(drafts: DataFrame, n: int = 5) -> DataFrame:
     return cap_per_group(reviewed, ["status"], n, [F.col("reviewed_at").desc_nulls_last(), F.col("id")])
 
 
-def example_text(examples: DataFrame) -> DataFrame:
-    """The example drafts as one text, for prompts; there are at most a few per status."""
+def example_text(drafts: DataFrame, n: int = 5) -> DataFrame:
+    """The last n approved and the last n rejected of the drafts as one text, for prompts."""
+    examples = style_examples(drafts, n)
     line = F.concat(F.col("status"), F.lit(": "), F.col("body"))
     ordered = F.array_sort(F.collect_list(F.struct("status", "id", line.alias("line"))))
     return examples.agg(F.array_join(F.transform(ordered, lambda e: e["line"]), "\n").alias("examples"))

@@ -5,10 +5,10 @@ Each cycle returns frames; the caller appends them to the tables. Nothing is upd
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadspark.functions.text import post_key
 from leadspark.functions.times import Moment, moment
@@ -18,32 +18,60 @@ from leadspark.operators.drafting import BACKLOG_LIMIT, backlog_gate, gate_queue
 from leadspark.operators.filters import promote, with_defaults
 from leadspark.operators.joins import drop_do_not_approach
 from leadspark.operators.keyed import POST_KEY, append_new, union_posts
-from leadspark.operators.loading import cycle_stats, new_drafts
+from leadspark.operators.loading import cycle_stats, log_events, new_drafts, session_row
 from leadspark.operators.scoring import Profile, drafting_prompts, rubric_score, scoring_prompts
 from leadspark.plans.queues import draft_queue, score_batch
 from leadspark.session import keep
 
 
+# The source and codes of the cycles' events, and the kind of a collecting run.
+EVENT_SOURCE = "bot"
+SCRAPE_DONE, SCRAPE_FAILED, SKIPPED, SCORE_DONE, DRAFT_FAILED = "SCRAPE_DONE", "SCRAPE_FAILED", "SKIP_RATE_LIMITED", "SCORE_DONE", "DRAFT_FAIL"
+SCRAPE_RUN = "scrape_cycle"
+
+
 @dataclass(frozen=True)
 class Collected:
+    """Rows for the post table, counts, the run's row, and events for the log."""
+
     new_posts: DataFrame
     stats: DataFrame
+    run: DataFrame
+    events: DataFrame
+
+
+def _event(df: DataFrame, level: str, code: str, message: Column, as_of: Moment, context: Sequence[str] = ()) -> DataFrame:
+    return log_events(df, level, EVENT_SOURCE, code, message, context, moment(as_of, T.TimestampType()))
 
 
-def collect_cycle(existing: DataFrame, frames: list[DataFrame], as_of: Moment) -> Collected:
+def collect_cycle(existing: DataFrame, frames: list[DataFrame], as_of: Moment, attempts: DataFrame | None = None, ended: Moment | None = None) -> Collected:
     """Normalised posts of all platforms to the new rows of the post table.
 
     The payloads are read once, when this is called; the posts are kept in the shared folder, where the
-    load finds their keys without reading the texts.
+    load finds their keys without reading the texts. Of a post found by several phrases, the row of the least
+    ``phrase_rank`` stays, a column that the landed payloads may carry, as they may the ``source_id`` that is stored.
+    ``attempts`` (``source_id``, ``outcome``) are the run's reads of its sources: failed and rate-limited ones are events.
     """
-    offered = keep(with_defaults(union_posts(*frames))).withColumns(
+    offered = with_defaults(union_posts(*frames))
+    if "phrase_rank" not in offered.columns:
+        offered = offered.withColumn("phrase_rank", F.lit(None).cast("int"))
+    offered = keep(offered).withColumns(
         {
             "id": post_key(F.col("platform"), F.col("external_id")),
             "scraped_at": moment(as_of, T.TimestampType()),
         }
     )
-    new = append_new(existing, offered, POST_KEY, ["scraped_at", F.col("posted_at").asc_nulls_last(), F.array_join("matched_keywords", ",")])
-    return Collected(new, cycle_stats(offered, new))
+    # As if the phrases had been read one after the other: the first of them that finds a post stores it.
+    order = ["scraped_at", F.col("phrase_rank").asc_nulls_last(), F.col("posted_at").asc_nulls_last(), F.array_join("matched_keywords", ",")]
+    new = append_new(existing, offered, POST_KEY, order).drop("phrase_rank")
+    stats = cycle_stats(offered, new)
+    run = session_row(SCRAPE_RUN, as_of, as_of if ended is None else ended, stats)
+    events = _event(stats, "info", SCRAPE_DONE, F.concat(F.col("inserted").cast("string"), F.lit(" new posts")), as_of, ["attempted", "inserted"])
+    if attempts is not None:
+        for outcome, level, code in (("failed", "error", SCRAPE_FAILED), ("rate_limited", "warn", SKIPPED)):
+            some = attempts.filter(F.col("outcome") == outcome)
+            events = events.unionByName(_event(some, level, code, F.concat(F.lit("source "), F.col("source_id").cast("string")), as_of, ["source_id"]))
+    return Collected(new, stats, run, events)
 
 
 @dataclass(frozen=True)
@@ -51,6 +79,7 @@ class Scored:
     leads: DataFrame
     score_log: DataFrame
     quarantined: DataFrame
+    events: DataFrame
 
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -96,10 +125,12 @@ def score_cycle(
     good, bad = split_checked(check_rows(results, "leads").withColumn("violations", faults))
     fresh = append_new(leads, promote(good), POST_KEY, ["scored_at", F.desc("score")])
     fresh = fresh.withColumn("id", post_key(F.col("platform"), F.col("external_id")))
-    events = good.select(*POST_KEY, F.lit("scored").alias("event"), F.col("scored_at").alias("at"))
+    log = good.select(*POST_KEY, F.lit("scored").alias("event"), F.col("scored_at").alias("at"))
+    done = results.agg(F.count("*").alias("scored"))
+    events = _event(done, "info", SCORE_DONE, F.concat(F.col("scored").cast("string"), F.lit(" posts scored")), as_of, ["scored"])
     if settled is not None:
-        events = events.unionByName(settled.select(*POST_KEY, F.lit("scored").alias("event"), at.alias("at")))
-    return Scored(fresh, events, bad)
+        log = log.unionByName(settled.select(*POST_KEY, F.lit("scored").alias("event"), at.alias("at")))
+    return Scored(fresh, log, bad, events)
 
 
 @dataclass(frozen=True)
@@ -107,6 +138,7 @@ class Drafted:
     drafts: DataFrame
     transitions: DataFrame
     failures: DataFrame
+    events: DataFrame
 
 
 def draft_cycle(
@@ -132,4 +164,5 @@ def draft_cycle(
         F.col("lead_id").alias("id"), F.lit("drafted").alias("status"), moment(as_of, T.TimestampType()).alias("at"),
         F.lit(0).cast("bigint").alias("seq"),
     )
-    return Drafted(made, moved, written.filter(F.col("error").isNotNull()).select("lead_id", "error"))
+    failures = written.filter(F.col("error").isNotNull()).select("lead_id", "error")
+    return Drafted(made, moved, failures, _event(failures, "error", DRAFT_FAILED, F.col("error"), as_of, ["lead_id"]))

@@ -10,12 +10,14 @@ from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from leadspark import schemas as S
 from leadspark.functions.text import blank_if_null, clip
 from leadspark.functions.times import Moment, later_than, moment, moment_for, seconds_between
+from leadspark.operators.checks import check_rows
 from leadspark.plans.queues import active_rate_limits
+from leadspark.session import keep
 
 # Seconds after which a beat is stale, in the readiness probe and in the self-check.
 READY_STALE_S = 90
@@ -102,37 +104,64 @@ def readiness(
     )
 
 
-def _check(df: DataFrame, name: Column, ok: Column, detail: Column) -> DataFrame:
-    return df.select(name.alias("check"), ok.alias("ok"), detail.cast("string").alias("detail"))
+PASSED, WARNED, FAILED = "passed", "warned", "failed"
 
 
-def health_report(tables: Mapping[str, DataFrame], as_of: Moment, stale_s: float = DOCTOR_STALE_S) -> DataFrame:
-    """Rows of ``check``, ``ok``, ``detail`` over whichever of the eight tables are given; a missing one fails the schema check.
+def _check(df: DataFrame, name: Column, state: Column, detail: Column) -> DataFrame:
+    return df.select(name.alias("check"), state.alias("state"), detail.cast("string").alias("detail"))
 
-    Tables present, beat fresh, sources per status, limits in force, errors of the last hour.
+
+def _either(passed: Column, other: str) -> Column:
+    return F.when(F.coalesce(passed, F.lit(False)), F.lit(PASSED)).otherwise(F.lit(other))
+
+
+def health_report(tables: Mapping[str, DataFrame], as_of: Moment, stale_s: float = DOCTOR_STALE_S, degraded_hours: float = 24) -> DataFrame:
+    """Rows of ``check``, ``state`` (passed, warned or failed) and ``detail``, and a ``summary`` row, over the eight tables.
+
+    Each table there, with its columns; beat fresh; sources per status, and those degraded for longer than the hours
+    (by ``degraded_since``, where the sources have it, else by their last read); limits in force; errors of the last
+    hour; rows that break a constraint. What is missing warns or fails its own checks only. The checks are made when
+    this is called, and kept: a row for each table, status and limit.
     """
-    present = [name for name in S.TABLES if name in tables]
-    total = len(S.TABLES)
-    spark = next(iter(tables.values())).sparkSession
-    tables = {name: tables[name] if name in tables else spark.createDataFrame([], schema) for name, schema in S.TABLES.items()}
-    anchor = tables["heartbeats"].agg(F.max("beat_at").alias("last_beat_at"))
-    age = seconds_between(moment(as_of, T.TimestampType()), F.col("last_beat_at"))
-    seconds = F.floor(F.coalesce(age, F.lit(99_999.0)) + 0.5)
-    errors = recent_level_count(tables["logs"], ["error", "fatal"], as_of, timedelta(hours=1))
-    limits = active_rate_limits(tables["rate_limits"], as_of)
+    spark = SparkSession.active()
+    given = {name: tables[name] if name in tables else spark.createDataFrame([], schema) for name, schema in S.TABLES.items()}
+    lacking = {name: [c for c in schema.names if c not in tables[name].columns] for name, schema in S.TABLES.items() if name in tables}
+    schema_rows = [
+        (f"table {name}", *((FAILED, "missing") if name not in tables else (WARNED, "without " + ", ".join(lacking[name])) if lacking[name] else (PASSED, "present")))
+        for name in S.TABLES
+    ]
+    now = moment(as_of, T.TimestampType())
+    anchor = given["heartbeats"].agg(F.max("beat_at").alias("last_beat_at"))
+    age = seconds_between(now, F.col("last_beat_at"))
+    beat = F.when(age.isNull(), F.lit(WARNED)).otherwise(_either(age < stale_s, FAILED))
+    beat_text = F.coalesce(F.concat(F.floor(age + 0.5).cast("string"), F.lit("s ago")), F.lit("no heartbeat yet"))
+    errors = recent_level_count(given["logs"], ["error", "fatal"], as_of, timedelta(hours=1))
+    limits = active_rate_limits(given["rate_limits"], as_of)
     n_limits = limits.agg(F.count("*").alias("n"))
-    n_sources = tables["sources"].agg(F.count("*").alias("n"))
+    sources = given["sources"]
+    n_sources = sources.agg(F.count("*").alias("n"))
+    since = F.col("degraded_since") if "degraded_since" in sources.columns else F.col("last_scraped_at")
+    long_degraded = sources.filter((F.col("status") == "degraded") & (F.coalesce(seconds_between(now, since), F.lit(float("inf"))) > degraded_hours * 3600))
+    stuck = long_degraded.agg(F.count("*").alias("n"))
     rows = [
-        _check(anchor, F.lit("schema"), F.lit(len(present) == total), F.lit(f"{len(present)}/{total} tables")),
-        _check(anchor, F.lit("heartbeat"), F.coalesce(age < stale_s, F.lit(False)), F.concat(seconds.cast("string"), F.lit("s ago"))),
-        _check(n_sources.filter("n = 0"), F.lit("sources"), F.lit(True), F.lit("(none configured yet)")),
-        _check(status_counts(tables["sources"]), F.concat(F.lit("sources "), "status"), F.col("status") == "healthy", F.col("n")),
-        _check(n_limits.filter("n = 0"), F.lit("rate limits"), F.lit(True), F.lit("none active")),
-        _check(limits, F.concat(F.lit("rate-limited "), "platform"), F.lit(False),
+        spark.createDataFrame(schema_rows, "check string, state string, detail string"),
+        _check(anchor, F.lit("heartbeat"), beat, beat_text),
+        _check(n_sources.filter("n = 0"), F.lit("sources"), F.lit(WARNED), F.lit("none configured yet")),
+        _check(status_counts(sources), F.concat(F.lit("sources "), "status"), _either(F.col("status") == "healthy", WARNED), F.col("n")),
+        _check(stuck, F.lit("sources degraded for long"), _either(F.col("n") == 0, FAILED), F.col("n")),
+        _check(n_limits.filter("n = 0"), F.lit("rate limits"), F.lit(PASSED), F.lit("none active")),
+        _check(limits, F.concat(F.lit("rate-limited "), "platform"), F.lit(WARNED),
                F.concat(F.lit("until "), F.date_format("resets_at", "yyyy-MM-dd HH:mm:ss"))),
-        _check(errors, F.lit("errors in last hour"), F.col("n") == 0, F.concat(F.col("n").cast("string"), F.lit(" errors"))),
+        _check(errors, F.lit("errors in last hour"), _either(F.col("n") == 0, WARNED), F.concat(F.col("n").cast("string"), F.lit(" errors"))),
     ]
-    return reduce(DataFrame.unionByName, rows)
+    for name in S.TABLES:
+        if name in tables:
+            broken = check_rows(given[name], name).agg(_count_if(F.size("violations") > 0).alias("n"))
+            rows.append(_check(broken, F.lit(f"rows of {name}"), _either(F.col("n") == 0, FAILED), F.concat(F.col("n").cast("string"), F.lit(" break a constraint"))))
+    checks = keep(reduce(DataFrame.unionByName, rows))
+    counts = F.concat_ws(", ", *[F.concat(_count_if(F.col("state") == s).cast("string"), F.lit(f" {s}")) for s in (PASSED, WARNED, FAILED)])
+    worst = F.when(_count_if(F.col("state") == FAILED) > 0, F.lit(FAILED)).when(_count_if(F.col("state") == WARNED) > 0, F.lit(WARNED)).otherwise(F.lit(PASSED))
+    return checks.unionByName(checks.agg(F.lit("summary").alias("check"), worst.alias("state"), counts.alias("detail")))
 
 
 def daily_stats(posts: DataFrame, leads: DataFrame, drafts: DataFrame, day: date | None = None) -> DataFrame:
@@ -171,11 +200,9 @@ def digest_summary(leads: DataFrame, drafts: DataFrame, as_of: Moment, hours: fl
     return _one_row([new.agg(F.count("*").alias("new_leads")), pending.agg(F.count("*").alias("pending_drafts"))])
 
 
-def digest_text(top: DataFrame, heading: str = "*Lead digest*") -> DataFrame:
-    """One row with the digest message of a short ranked list; no row for an empty list.
-
-    ``top`` is the output of ``digest_leads`` with its n, a handful of rows.
-    """
+def digest_text(leads: DataFrame, heading: str = "*Lead digest*", n: int = 5) -> DataFrame:
+    """One row with the digest message of the first n leads of a list; no row for an empty list."""
+    top = leads.orderBy(F.desc("score"), "platform", "external_id").limit(n)
     block = F.concat(
         F.lit("🔥 "), F.col("score").cast("string"), F.lit(" — "), blank_if_null(F.col("author")), F.lit("\n"),
         clip(F.col("title"), 80), F.lit("\n"), blank_if_null(F.col("url")),

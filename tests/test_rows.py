@@ -153,8 +153,8 @@ def test_scoring_replies(spark):
 
 
 def test_row_checks(spark):
-    rows = [(1, "p", "r", "e", 60, "new"), (2, None, "r", "e", 101, "odd"), (3, "p", "r", "e", None, "lost")]
-    out = checks.check_rows(spark.createDataFrame(rows, "id int, raw_post_id string, platform string, external_id string, score int, status string"), "leads")
+    rows = [(1, "p", "r", "e", 60, "new", NOW), (2, None, "r", "e", 101, "odd", NOW), (3, "p", "r", "e", None, "lost", NOW)]
+    out = checks.check_rows(spark.createDataFrame(rows, "id int, raw_post_id string, platform string, external_id string, score int, status string, scored_at timestamp"), "leads")
     assert {r.id: r.violations for r in out.collect()} == {1: [], 2: ["raw_post_id_missing", "status_unknown", "score_range"], 3: ["score_missing"]}
     good, bad = checks.split_checked(out)
     assert ids(good) == [1] and ids(bad) == [2, 3]
@@ -243,13 +243,61 @@ def test_empty_tables_give_reports(spark):
         f"{s}_7d": 0 for s in ("scraped", "scored", "qualified", "drafted", "approved", "sent", "responded", "converted")
     }
     tables_ = {n: empty(s) for n, s in S.TABLES.items()}
-    report = {r.check: (r.ok, r.detail) for r in reports.health_report(tables_, NOW).collect()}
-    assert report["schema"] == (True, "8/8 tables")
-    assert report["heartbeat"] == (False, "99999s ago")
-    assert report["sources"] == (True, "(none configured yet)") and report["rate limits"] == (True, "none active")
+    report = {r.check: (r.state, r.detail) for r in reports.health_report(tables_, NOW).collect()}
+    assert all(report[f"table {n}"] == ("passed", "present") and report[f"rows of {n}"] == ("passed", "0 break a constraint") for n in S.TABLES)
+    assert report["heartbeat"] == ("warned", "no heartbeat yet")
+    assert report["sources"] == ("warned", "none configured yet") and report["rate limits"] == ("passed", "none active")
+    assert report["summary"] == ("warned", "19 passed, 2 warned, 0 failed")
     assert reports.digest_text(empty("score int, author string, title string, url string, platform string, external_id string")).count() == 0
 
 
+def test_health_of_missing_and_broken_tables(spark):
+    none = {r.check: (r.state, r.detail) for r in reports.health_report({}, NOW).collect()}
+    assert all(none[f"table {n}"] == ("failed", "missing") for n in S.TABLES) and none["summary"][0] == "failed"
+    hour = timedelta(hours=1)
+    given = {
+        "heartbeats": spark.createDataFrame([("w", NOW - 2 * hour, None)], "instance_id string, beat_at timestamp, status string"),
+        "sources": spark.createDataFrame([(1, "degraded", NOW - 25 * hour), (2, "degraded", NOW - 24 * hour), (3, "healthy", None)], "id int, status string, degraded_since timestamp"),
+        "logs": spark.createDataFrame([("fatal", "x", NOW - hour / 2)], "level string, source string, occurred_at timestamp"),
+    }
+    report = {r.check: (r.state, r.detail) for r in reports.health_report(given, NOW).collect()}
+    assert report["heartbeat"] == ("failed", "7200s ago") and report["errors in last hour"] == ("warned", "1 errors")
+    assert report["sources degraded for long"] == ("failed", "1") and report["sources degraded"] == ("warned", "2")
+    assert report["rows of heartbeats"] == ("failed", "1 break a constraint") and report["rows of sources"] == ("failed", "3 break a constraint")
+    assert report["rows of logs"][0] == "passed" and report["table logs"] == ("warned", "without id, code, message, context") and "rows of leads" not in report
+
+
+def test_absent_columns_break_constraints(spark):
+    from leadspark.operators.checks import check_rows
+
+    assert check_rows(spark.range(1).selectExpr("id"), "leads").first().violations == [f"{c}_missing" for c in ("raw_post_id", "platform", "external_id", "score", "status", "scored_at")]
+
+
+def test_bad_pages_and_posts_come_out(spark):
+    import json
+
+    posts = [{"id": "a", "created_utc": 1.0}, {"id": "b"}, {"title": "no id"}, {"id": "c", "created_utc": None}]
+    good = json.dumps({"data": {"children": [{"data": p} for p in posts]}})
+    texts = [good, "broken", "null", "[]", None, '{"error": 403}', '{"data": {"children": []}}']
+    raw = spark.createDataFrame([("k", "s1", t) for t in texts], "keyword string, source_id string, payload string")
+    got = sorted((r.reason, r.external_id or "", r.detail or "") for r in payloads.bad_listing(raw).collect())
+    assert got == sorted(
+        [("bad_date", "b", ""), ("bad_date", "c", ""), ("post_without_id", "", '{"title":"no id"}'), ("no_posts", "", '{"error": 403}')]
+        + [("unreadable_page", "", t) for t in ("broken", "null", "[]", "")]
+    )
+    kept = payloads.normalize_listing(raw, datetime(1970, 1, 1))
+    assert [(r.external_id, r.source_id, json.loads(r.raw)["id"]) for r in kept.collect()] == [("t3_a", "s1", "a")]
+    tweets = [{"id": "1", "author_id": "u"}, {"id": "2", "author_id": "v", "created_at": "2024-01-01T00:00:00Z"}, {"id": "3", "author_id": "u", "created_at": "2024-01-01T00:00:00Z"}, {"author_id": "u"}]
+    pages = [json.dumps({"data": tweets, "includes": {"users": [{"id": "u", "username": "n"}]}}), json.dumps({"data": tweets[1:2]}), "{", '{"meta": {}}']
+    raw = spark.createDataFrame([("q", t) for t in pages], "query string, payload string")
+    got = sorted((r.reason, r.external_id or "", r.detail) for r in payloads.bad_search(raw).collect())
+    assert got == [
+        ("bad_date", "1", ""), ("no_posts", "", '{"meta": {}}'), ("post_without_id", "", '{"author_id":"u"}'),
+        ("unknown_author", "2", "v"), ("unknown_author", "2", "v"), ("unreadable_page", "", "{"),
+    ]
+    assert [r.external_id for r in payloads.search_records(raw).filter("posted_at is not null").collect()] == ["3"]
+
+
 def test_ready_while_beating(spark):
     beat = spark.createDataFrame([(NOW - timedelta(seconds=90),)], "beat_at timestamp")
     logs = spark.createDataFrame([], S.LOGS)
@@ -316,6 +364,22 @@ def test_tables_keep_their_schema(spark, folder):
         assert tables.read_table(spark, folder, name).schema == schema
 
 
+def test_tables_are_stored_by_day(spark, folder):
+    rows = spark.createDataFrame([(str(i), NOW - timedelta(hours=13 * i), i) for i in range(20)], "id string, scored_at timestamp, extra int").withColumn("score", F.lit(61.0))
+    for part in (rows.filter("extra < 10"), rows.filter("extra >= 10")):
+        tables.write_table(part, folder, "leads")
+    everything = tables.read_table(spark, folder, "leads")
+    assert everything.schema == S.LEADS and everything.count() == 20
+    since = NOW - timedelta(hours=30)
+    recent = tables.read_table(spark, folder, "leads", since)
+    assert recent.schema == S.LEADS and ids(recent) == ["0", "1", "2"]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.f.split("day=")[1][:10] for r in recent.select(F.input_file_name().alias("f")).collect()} == {str((NOW - timedelta(hours=13 * i)).date()) for i in range(3)}
+    tables.write_table(spark.createDataFrame([("reddit",)], "platform string"), folder, "rate_limits")
+    assert tables.read_table(spark, folder, "rate_limits").first().platform == "reddit"
+
+
 def test_seed(spark):
     seed = spark.range(2)
     assert loading.seed_if_empty(spark.range(0), seed).count() == 2
