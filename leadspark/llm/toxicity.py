@@ -144,7 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 1500
     """Learn from the labelled rows where ``held_out`` is false. A ratio of 10.83 has a chance of one in a thousand."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     learned = docs.where(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    training = learned.join(known, "doc_id")
+    # One form of join at every size: texts are shuffled once, labels are narrow.
+    training = learned.join(known.hint("merge"), "doc_id")
     sizes = {r.toxic > 0: r.n for r in training.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
