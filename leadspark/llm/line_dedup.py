@@ -6,15 +6,16 @@ table of fixed size. Lines as similar as asked share a token among the first ``n
 have sizes in proportion (length), and have enough tokens left after the shared one (position). Pairs that pass are
 verified on all their tokens.
 
-Lines with the same tokens are one class. Behind a prefix token, all classes are first compared with the earliest; those
-that match it are settled, and only the others meet further classes, more at each turn until all have been compared.
+Lines of equal word sequence are one class, told apart by 128 hash bits. Prefix tokens are shuffled as pairs of token and
+class alone; only classes that share one with another class go on, with their place, size and tokens. Behind a prefix
+token, all classes are first compared with the earliest; those that match it are settled, and only the others meet
+further classes, more at each turn until all have been compared.
 
 A line is removed if a near copy of it stands earlier: in a document of smaller ``doc_id``, or further up in the same
 one. Lines are judged on the input, not on what is left.
 
-Defined cases: lines are cut at newlines. Blank lines stay and remove nothing. With ``short_lines``, a line of one to four
-words has its whole word sequence as its one token, so it goes if an exact copy of the sequence stands earlier; without,
-such lines stay and remove nothing.
+Defined cases: lines are cut at newlines. Blank lines stay and remove nothing. A line of one to four words has its whole
+word sequence as its one token, so it goes if an exact copy of the sequence stands earlier.
 A null text has no lines and stays null. A null ``doc_id`` comes last. Texts of one ``doc_id`` are ordered by a hash of
 their text; equal rows don't remove each other's lines. Other columns are kept; those named as a result are replaced.
 """
@@ -31,17 +32,28 @@ CLASSES = 16_384
 _GAP = r"[\x20\x09-\x0D]+"
 _RESULT = ("n_lines", "n_removed", "kept_text")
 _HASH = (1 << 56) - 1
+_CLASS = ["k1", "k2"]
 
 
-def _with_tokens(lines: DataFrame, words: int, short_lines: bool) -> DataFrame:
-    """``tokens`` in place of ``line``: hashes of the runs of so many words, in order, not yet distinct."""
-    columns = [c for c in lines.columns if c != "line"]
-    hashed = lines.withColumn("_hash", F.transform(F.array_remove(F.split("line", _GAP), ""), lambda w: F.xxhash64(w)))
-    runs = add_runs(hashed, "_hash", "_run", words, lambda a, b: F.xxhash64(a, b))
-    tokens = F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0)))
-    if short_lines:
-        tokens = F.when(F.size("_hash").between(1, words - 1), F.array(F.xxhash64("_hash", F.size("_hash")))).otherwise(tokens)
-    # Without this bar, a later filter would be moved below the steps and repeat them all, twice at each.
+def _lines(keyed: DataFrame) -> DataFrame:
+    """The lines that hold a word, with the hashes of their words."""
+    lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = F.transform(F.filter(F.split("line", _GAP), lambda w: w != ""), lambda w: F.xxhash64(w))
+    # Without this bar, a later filter would be moved below the steps and repeat them all.
+    hashed = compute_once(lines.select("doc", "line_no", words.alias("_hash")), {"_hash": F.col("_hash")})
+    return hashed.where(F.size("_hash") > 0)
+
+
+def _class_of(hashes: str) -> list[Column]:
+    return [F.xxhash64(hashes, F.size(hashes)).alias("k1"), F.xxhash64(F.lit(7), hashes).alias("k2")]
+
+
+def _with_tokens(lines: DataFrame, words: int) -> DataFrame:
+    """Add ``tokens``: the runs of each line, or its whole word sequence if it has fewer words than a run."""
+    columns = lines.columns
+    runs = add_runs(lines, "_hash", "_run", words, lambda a, b: F.xxhash64(a, b))
+    whole = F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0)))
+    tokens = F.when(F.size("_hash") < words, F.array(F.xxhash64("_hash", F.size("_hash")))).otherwise(whole)
     return compute_once(runs.select(*columns, tokens.alias("tokens")), {"tokens": F.col("tokens")})
 
 
@@ -62,44 +74,52 @@ def _levels(tokens: DataFrame) -> Column:
     return F.split(F.lit(",".join(str(level.get(i, 0)) for i in range(CLASSES))), ",").cast("array<tinyint>")
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5, short_lines: bool = False) -> DataFrame:
-    """The documents with ``n_lines``, ``n_removed`` and ``kept_text``."""
-    columns = [c for c in docs.columns if c not in _RESULT]
-    keyed = docs.select("text", F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h")).alias("doc"))
-    lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    plain = _with_tokens(lines, words, short_lines)
-    levels = _levels(plain)
-
+def _prefixed(lines: DataFrame, words: int, percent: int, levels: Column) -> DataFrame:
+    """``k1, k2, at, n, prefix`` of each line."""
+    plain = _with_tokens(lines, words).select(*_class_of("_hash"), F.struct("doc", "line_no").alias("at"), "tokens")
     # A long line's tokens are worked out once, whatever the filter asks first.
-    ranked = compute_once(plain.where(F.size("tokens") > 0).select(F.struct("doc", "line_no").alias("at"), "tokens"), {"codes": _ranked(F.col("tokens"), levels)})
+    ranked = compute_once(plain, {"codes": _ranked(F.col("tokens"), levels)})
     n = F.size("codes")
-    sides = ranked.select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(7), "codes").alias("k2"), F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int")).alias("prefix"))
-    sides = keep(sides)
-    classes = keep(sides.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("copies")))
-    places = classes.select(F.posexplode("prefix").alias("place", "token"), "k1", "k2", "at", "n")
+    return ranked.select("k1", "k2", "at", n.alias("n"), F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int")).alias("prefix"))
+
+
+def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """The documents with ``n_lines``, ``n_removed`` and ``kept_text``."""
+    columns = [c for c in docs.columns if c not in _RESULT]
+    doc = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h"))
+    lines = _lines(docs.select("text", doc.alias("doc")))
+    levels = _levels(_with_tokens(lines, words))
+    sides = keep(lines.select(*_class_of("_hash"), F.struct("doc", "line_no").alias("at")))
+    classes = keep(sides.groupBy(*_CLASS).agg(F.min("at").alias("at"), F.count("*").alias("copies")))
+
+    # Dealt by token once; both the tokens of several classes and their places are found there.
+    places = _prefixed(lines, words, percent, levels).select(F.explode("prefix").alias("token"), "k1").repartition("token")
     shared = places.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("token")
-    live = keep(places.join(shared, "token", "left_semi"))
-
-    # The tokens of the classes that meet others, taken again from their earliest line.
-    met = live.select("k1", "k2", "at").distinct().select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line_no").alias("line_no"))
-    texts = keyed.join(met.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
-    sets = (
-        _with_tokens(texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(met, ["doc", "line_no"]), words, short_lines)
-        .select("k1", "k2", F.array_distinct("tokens").alias("set"))
-    )
-    earlier = _earlier(live, keep(sets), percent)
+    shared = keep(places.join(shared.hint("merge"), "token", "left_semi").distinct())
+
+    # The classes that meet others, with their tokens, worked out again from their earliest line.
+    met = keep(classes.join(shared.select("k1").distinct(), "k1", "left_semi").select("k1", "k2", "at"))
+    first = met.select(F.col("at.doc").alias("doc"), F.col("at.line_no").alias("line_no")).distinct()
+    texts = docs.select("text", doc.alias("doc")).join(first.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    again = _lines(texts).join(first, ["doc", "line_no"], "left_semi")
+    sets = keep(_with_tokens(again, words).select(*_class_of("_hash"), F.array_distinct("tokens").alias("set")))
+    ranked = compute_once(sets.join(met, _CLASS), {"codes": _ranked(F.col("set"), levels)})
+    n = F.size("codes")
+    prefix = F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int"))
+    live = ranked.select(F.posexplode(prefix).alias("place", "token"), "k1", "k2", "at", n.alias("n")).join(shared, ["token", "k1"], "left_semi")
+    earlier = _earlier(keep(live.select("token", "place", "k1", "k2", "at", "n")), sets, percent)
 
     # A later line of a class is a copy of its first; the first goes only if another class stands earlier.
-    first = classes.where("copies > 1").select("k1", "k2", "at").join(earlier.withColumn("gone", F.lit(True)), ["k1", "k2"], "full").select("k1", "k2", F.col("at").alias("first_at"), "gone")
-    removed = sides.join(first, ["k1", "k2"]).where(F.coalesce("gone", F.lit(False)) | (F.col("at") > F.col("first_at")))
-    gone = removed.groupBy(F.col("at.doc").alias("gone_doc")).agg(F.collect_set("at.line_no").alias("gone"))
-    full = docs.select(*columns, F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h")).alias("_doc"))
-    joined = full.join(gone, F.col("_doc").eqNullSafe(F.col("gone_doc")), "left")
+    verdict = classes.where("copies > 1").select(*_CLASS, "at").join(earlier.withColumn("_all", F.lit(True)), _CLASS, "full").select(*_CLASS, F.col("at").alias("first_at"), "_all")
+    removed = sides.join(verdict, _CLASS).where(F.coalesce("_all", F.lit(False)) | (F.col("at") > F.col("first_at")))
+    gone = removed.groupBy(F.col("at.doc").alias("_gone_doc")).agg(F.collect_set("at.line_no").alias("_gone"))
+    full = docs.select(*columns, doc.alias("_doc"))
+    joined = full.join(gone, F.col("_doc").eqNullSafe(F.col("_gone_doc")), "left")
     all_lines = F.split("text", "\n")
-    kept = F.filter(all_lines, lambda line, i: ~F.array_contains("gone", i))
+    kept = F.filter(all_lines, lambda line, i: ~F.array_contains("_gone", i))
     return joined.select(
-        *columns, F.greatest(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+        *columns, F.greatest(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
     )
 
 

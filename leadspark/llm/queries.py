@@ -86,14 +86,6 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op6_line_dedup_short", sql.LINE_DEDUP_SHORT)
-def op6_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from leadspark.llm.line_dedup import dedup_lines
-
-    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_lines=True)
-    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-
 @query("op8_warc", sql.WARC)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadspark.llm.warc import archive_pages

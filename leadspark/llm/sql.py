@@ -55,7 +55,7 @@ LINE_DEDUP = rf"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 line AS (SELECT doc_id, q, l[q] AS line FROM d, unnest(range(1, len(l) + 1)) AS u(q)),
 words AS (SELECT doc_id, q, regexp_extract_all(line, {_WORD}) AS w FROM line),
-runs AS (SELECT DISTINCT doc_id, q, array_to_string(w[p : p + 4], ' ') AS t FROM words, unnest(range(1, len(w) - 3)) AS u(p)),
+runs AS (SELECT DISTINCT doc_id, q, array_to_string(w[p : p + 4], ' ') AS t FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(p) WHERE len(w) > 0),
 sized AS (SELECT doc_id, q, count(*) AS n, md5(string_agg(t, chr(10) ORDER BY t)) AS k FROM runs GROUP BY doc_id, q),
 class AS (SELECT k, any_value(n) AS n, min(struct_pack(doc_id := doc_id, q := q)) AS spot FROM sized GROUP BY k),
 cs AS (SELECT k, n, spot, t FROM class JOIN runs ON runs.doc_id = spot.doc_id AND runs.q = spot.q),
@@ -75,9 +75,6 @@ SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_r
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-#: The same with lines of one to four words, each of them one run.
-LINE_DEDUP_SHORT = LINE_DEDUP.replace("unnest(range(1, len(w) - 3)) AS u(p))", "unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(p) WHERE len(w) > 0)")
-
 #: A SHA-1 of 160 bits is 8 groups of 5 hex digits, each 4 base32 digits.
 WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
