@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join.
 
 A line's tokens are its distinct runs of five words, ordered by rarity: by the power of two of the number of runs in
-their hash class, then by hash. The classes are 16,384 whatever the input, so their counts, taken over all runs, are a
+their hash class, then by hash. The classes are 65,536 whatever the input, so their counts, taken over all runs, are a
 table of fixed size. Lines as similar as asked share a token among the first ``n - least overlap + 1`` of each (prefix),
 have sizes in proportion (length), and have enough tokens left after the shared one (position). Pairs that pass are
 verified on all their tokens.
@@ -11,6 +11,9 @@ class alone; only classes that share one with another class go on, with their pl
 token, all classes are first compared with the earliest; those that match it are settled, and only the others meet
 further classes, more at each turn until all have been compared.
 
+Words and tokens are hashed in Arrow tasks, all joins are Spark's: built-in array functions took several times the
+seconds that the work may take (see the README).
+
 A line is removed if a near copy of it stands earlier: in a document of smaller ``doc_id``, or further up in the same
 one. Lines are judged on the input, not on what is left.
 
@@ -22,98 +25,170 @@ their text; equal rows don't remove each other's lines. Other columns are kept;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadspark.functions.once import compute_once
-from leadspark.llm.arrays import add_runs
+from leadspark.llm.words import grams, mix, pieces, whole, words_of
 from leadspark.session import keep
 
-CLASSES = 16_384
-_GAP = r"[\x20\x09-\x0D]+"
+CLASSES = 1 << 16
 _RESULT = ("n_lines", "n_removed", "kept_text")
-_HASH = (1 << 56) - 1
 _CLASS = ["k1", "k2"]
-
-
-def _lines(keyed: DataFrame) -> DataFrame:
-    """The lines that hold a word, with the hashes of their words."""
-    lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = F.transform(F.filter(F.split("line", _GAP), lambda w: w != ""), lambda w: F.xxhash64(w))
-    # Without this bar, a later filter would be moved below the steps and repeat them all.
-    hashed = compute_once(lines.select("doc", "line_no", words.alias("_hash")), {"_hash": F.col("_hash")})
-    return hashed.where(F.size("_hash") > 0)
-
-
-def _class_of(hashes: str) -> list[Column]:
-    return [F.xxhash64(hashes, F.size(hashes)).alias("k1"), F.xxhash64(F.lit(7), hashes).alias("k2")]
-
-
-def _with_tokens(lines: DataFrame, words: int) -> DataFrame:
-    """Add ``tokens``: the runs of each line, or its whole word sequence if it has fewer words than a run."""
-    columns = lines.columns
-    runs = add_runs(lines, "_hash", "_run", words, lambda a, b: F.xxhash64(a, b))
-    whole = F.slice("_run", 1, F.greatest(F.size("_hash") - (words - 1), F.lit(0)))
-    tokens = F.when(F.size("_hash") < words, F.array(F.xxhash64("_hash", F.size("_hash")))).otherwise(whole)
-    return compute_once(runs.select(*columns, tokens.alias("tokens")), {"tokens": F.col("tokens")})
-
-
-def _ranked(tokens: Column, levels: Column) -> Column:
-    """Distinct tokens by rarity: the level of the class in the upper bits, the hash below."""
-    code = lambda t: F.shiftleft(F.element_at(levels, (F.pmod(t, F.lit(CLASSES)) + 1).cast("int")).cast("long"), 56).bitwiseOR(t.bitwiseAND(F.lit(_HASH)))
-    return F.sort_array(F.array_distinct(F.transform(tokens, code)))
-
-
-def _least_overlap(n: Column, percent: int) -> Column:
-    return F.floor((F.lit(percent) * n + 99) / 100)
-
-
-def _levels(tokens: DataFrame) -> Column:
-    """The level of each class, its count's power of two: an array of fixed size, a constant of the plan."""
-    found = tokens.select(F.explode_outer("tokens").alias("t")).where("t is not null").select(F.pmod("t", F.lit(CLASSES)).alias("id")).groupBy("id").count()
-    level = dict(found.select("id", F.floor(F.log2(F.col("count") + 1)).cast("int")).collect())
-    return F.split(F.lit(",".join(str(level.get(i, 0)) for i in range(CLASSES))), ",").cast("array<tinyint>")
-
-
-def _prefixed(lines: DataFrame, words: int, percent: int, levels: Column) -> DataFrame:
-    """``k1, k2, at, n, prefix`` of each line."""
-    plain = _with_tokens(lines, words).select(*_class_of("_hash"), F.struct("doc", "line_no").alias("at"), "tokens")
-    # A long line's tokens are worked out once, whatever the filter asks first.
-    ranked = compute_once(plain, {"codes": _ranked(F.col("tokens"), levels)})
-    n = F.size("codes")
-    return ranked.select("k1", "k2", "at", n.alias("n"), F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int")).alias("prefix"))
+_AT = ("late", "doc_id", "h", "line_no")
+_U = np.uint64
+
+
+@dataclass
+class Lines:
+    """The lines of some texts that hold a word: text, number in it, class, and where its words begin and end."""
+
+    text: np.ndarray
+    number: np.ndarray
+    k1: np.ndarray
+    k2: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    words: np.ndarray
+
+    def tokens(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(line, token)`` of each line's distinct tokens."""
+        line = np.repeat(np.arange(len(self.begin)), self.end - self.begin)
+        at = np.flatnonzero(whole(line, n))
+        short = np.flatnonzero(self.end - self.begin < n)
+        lines = np.concatenate((line[at], short))
+        token = np.concatenate((grams(self.words, n)[at] if len(at) else np.zeros(0, _U), mix(self.k1[short] + _U(n))))
+        by = np.lexsort((token, lines))
+        lines, token = lines[by], token[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (lines[1:] != lines[:-1]) | (token[1:] != token[:-1])
+        return lines[new], token[new]
+
+    def ranked(self, n: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(line, token, where each line's tokens begin)``, the rarest tokens of each line first."""
+        line, token = self.tokens(n)
+        by = np.lexsort((token, levels[token % _U(CLASSES)], line))
+        return line[by], token[by], np.searchsorted(line, np.arange(len(self.begin) + 1))
+
+
+def lines_of(texts) -> Lines:
+    w = words_of(texts)
+    breaks = np.flatnonzero(w.data == 0x0A)
+    number = np.searchsorted(breaks, w.at) - np.searchsorted(breaks, w.offsets[w.row])
+    new = np.ones(len(w.row), bool)
+    new[1:] = (w.row[1:] != w.row[:-1]) | (number[1:] != number[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin, len(w.row))[1:]
+    place = mix((np.arange(len(w.row)) - np.repeat(begin, end - begin) + 1).astype(_U))
+    if len(begin):
+        size = mix((end - begin).astype(_U))
+        k1 = np.add.reduceat(mix(w.hash ^ place), begin) + size
+        k2 = np.bitwise_xor.reduceat(mix(w.hash + place * _U(3)), begin) ^ size
+    else:
+        k1 = k2 = np.zeros(0, _U)
+    return Lines(w.row[begin], number[begin], mix(k1), mix(k2), begin, end, w.hash)
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64), pa.int64())
+
+
+def _each_piece(rows: DataFrame, work: Callable[[pa.Table, Lines], pa.Table | None], schema: str) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(pa.Table.from_batches([batch])):
+                made = work(piece, lines_of(piece.column("text")))
+                if made is not None:
+                    yield from made.to_batches()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _levels(rows: DataFrame, words: int) -> np.ndarray:
+    """The level of each class, its count's power of two: a table of fixed size."""
+
+    def run(batches):
+        total = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for piece in pieces(pa.Table.from_batches([batch])):
+                total += np.bincount(lines_of(piece.column("text")).tokens(words)[1] % _U(CLASSES), minlength=CLASSES)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], names=["id", "n"])
+
+    levels = np.zeros(CLASSES, np.uint8)
+    for r in rows.mapInArrow(run, "id int, n long").groupBy("id").agg(F.floor(F.log2(F.sum("n") + 1)).cast("int").alias("level")).collect():
+        levels[r.id] = r.level
+    return levels
+
+
+def _columns(piece: pa.Table, lines: Lines, chosen: np.ndarray) -> list:
+    """Class and place of the chosen lines."""
+    of_text = pa.array(lines.text[chosen])
+    doc = [piece.column(c).combine_chunks().take(of_text) for c in _AT[:3]]
+    return [_signed(lines.k1[chosen]), _signed(lines.k2[chosen]), *doc, pa.array(lines.number[chosen], pa.int32())]
+
+
+def _prefix_size(n, percent: int):
+    return n - (percent * n + 99) // 100 + 1
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
     """The documents with ``n_lines``, ``n_removed`` and ``kept_text``."""
     columns = [c for c in docs.columns if c not in _RESULT]
-    doc = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h"))
-    lines = _lines(docs.select("text", doc.alias("doc")))
-    levels = _levels(_with_tokens(lines, words))
-    sides = keep(lines.select(*_class_of("_hash"), F.struct("doc", "line_no").alias("at")))
+    key = [F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.xxhash64("text").alias("h")]
+    rows = docs.select("text", *key)
+    place = f"k1 long, k2 long, late boolean, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, line_no int"
+    names = ["k1", "k2", *_AT]
+    at = F.struct(*_AT).alias("at")
+    levels = _levels(rows, words)
+
+    def mark(piece, lines):
+        return pa.table(_columns(piece, lines, np.arange(len(lines.begin))), names=names)
+
+    def prefixes(_, lines):
+        line, token, begins = lines.ranked(words, levels)
+        n = np.diff(begins)
+        first = np.arange(len(line)) - begins[line] < _prefix_size(n, percent)[line]
+        return pa.table([_signed(token[first]), _signed(lines.k1[line[first]])], names=["token", "k1"])
+
+    sides = keep(_each_piece(rows, mark, place)).select("k1", "k2", at)
     classes = keep(sides.groupBy(*_CLASS).agg(F.min("at").alias("at"), F.count("*").alias("copies")))
 
-    # Dealt by token once; both the tokens of several classes and their places are found there.
-    places = _prefixed(lines, words, percent, levels).select(F.explode("prefix").alias("token"), "k1").repartition("token")
-    shared = places.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("token")
-    shared = keep(places.join(shared.hint("merge"), "token", "left_semi").distinct())
+    # Dealt by token once: which tokens several classes hold, and where they are, is found in the same place.
+    places = _each_piece(rows, prefixes, "token long, k1 long").where("token is not null").repartition("token")
+    several = places.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("token")
+    shared = keep(places.join(several.hint("merge"), "token", "left_semi").distinct())
 
     # The classes that meet others, with their tokens, worked out again from their earliest line.
-    met = keep(classes.join(shared.select("k1").distinct(), "k1", "left_semi").select("k1", "k2", "at"))
-    first = met.select(F.col("at.doc").alias("doc"), F.col("at.line_no").alias("line_no")).distinct()
-    texts = docs.select("text", doc.alias("doc")).join(first.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
-    again = _lines(texts).join(first, ["doc", "line_no"], "left_semi")
-    sets = keep(_with_tokens(again, words).select(*_class_of("_hash"), F.array_distinct("tokens").alias("set")))
-    ranked = compute_once(sets.join(met, _CLASS), {"codes": _ranked(F.col("set"), levels)})
-    n = F.size("codes")
-    prefix = F.slice("codes", 1, (n - _least_overlap(n, percent) + 1).cast("int"))
-    live = ranked.select(F.posexplode(prefix).alias("place", "token"), "k1", "k2", "at", n.alias("n")).join(shared, ["token", "k1"], "left_semi")
-    earlier = _earlier(keep(live.select("token", "place", "k1", "k2", "at", "n")), sets, percent)
+    met = classes.join(shared.select("k1").distinct(), "k1", "left_semi")
+    wanted = keep(met.groupBy(*[F.col(f"at.{c}").alias(f"_{c}") for c in _AT[:3]]).agg(F.collect_set("at.line_no").alias("_lines")))
+    # A document's key is never null but for its id.
+    same = (F.col("h") == F.col("_h")) & (F.col("late") == F.col("_late")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+
+    def sets_of(piece, lines):
+        line, token, begins = lines.ranked(words, levels)
+        asked = piece.column("_lines").to_pylist()
+        chosen = np.array([i for i, (t, k) in enumerate(zip(lines.text.tolist(), lines.number.tolist(), strict=True)) if k in asked[t]], np.int64)
+        sizes = np.diff(begins)[chosen]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        held = np.arange(ends[-1]) + np.repeat(begins[chosen] - ends[:-1], sizes)
+        return pa.table([*_columns(piece, lines, chosen), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(token[held]))], names=[*names, "codes"])
+
+    found = _each_piece(rows.join(wanted, same).select(*rows.columns, "_lines"), sets_of, f"{place}, codes array<long>")
+    # Rows that repeat a document give its lines again.
+    sets = keep(found.groupBy(*_CLASS).agg(F.min(F.struct(*_AT)).alias("at"), F.first("codes").alias("set")))
+    sized = sets.select("k1", "k2", "at", F.size("set").alias("n"), F.slice("set", 1, _prefix_column(percent)).alias("prefix"))
+    live = sized.select("k1", "k2", "at", "n", F.posexplode("prefix").alias("place", "token")).join(shared, ["token", "k1"], "left_semi")
+    earlier = _earlier(keep(live.select("token", "place", "k1", "k2", "at", "n")), sets.select("k1", "k2", "set"), percent)
 
     # A later line of a class is a copy of its first; the first goes only if another class stands earlier.
     verdict = classes.where("copies > 1").select(*_CLASS, "at").join(earlier.withColumn("_all", F.lit(True)), _CLASS, "full").select(*_CLASS, F.col("at").alias("first_at"), "_all")
     removed = sides.join(verdict, _CLASS).where(F.coalesce("_all", F.lit(False)) | (F.col("at") > F.col("first_at")))
-    gone = removed.groupBy(F.col("at.doc").alias("_gone_doc")).agg(F.collect_set("at.line_no").alias("_gone"))
-    full = docs.select(*columns, doc.alias("_doc"))
+    gone = removed.groupBy(F.struct(*[F.col(f"at.{c}") for c in _AT[:3]]).alias("_gone_doc")).agg(F.collect_set("at.line_no").alias("_gone"))
+    full = docs.select(*columns, F.struct(*key).alias("_doc"))
     joined = full.join(gone, F.col("_doc").eqNullSafe(F.col("_gone_doc")), "left")
     all_lines = F.split("text", "\n")
     kept = F.filter(all_lines, lambda line, i: ~F.array_contains("_gone", i))
@@ -123,6 +198,11 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
     )
 
 
+def _prefix_column(percent: int) -> Column:
+    n = F.size("set")
+    return (n - F.floor((F.lit(percent) * n + 99) / 100) + 1).cast("int")
+
+
 def _earlier(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(k1, k2)`` of the classes that have a near copy which stands earlier."""
     settled, turn = None, 0
