@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadspark.llm.words import grams, mix, pieces, whole, words_of
 from leadspark.session import keep
@@ -55,23 +55,27 @@ class Lines:
     words: np.ndarray
 
     def tokens(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(line, token)`` of each line's distinct tokens."""
+        """``(line, token)`` of each run of n words, and of each line of fewer; a line may hold a token several times."""
         line = np.repeat(np.arange(len(self.begin)), self.end - self.begin)
         at = np.flatnonzero(whole(line, n))
         short = np.flatnonzero(self.end - self.begin < n)
-        lines = np.concatenate((line[at], short))
-        token = np.concatenate((grams(self.words, n)[at] if len(at) else np.zeros(0, _U), mix(self.k1[short] + _U(n))))
-        by = np.lexsort((token, lines))
-        lines, token = lines[by], token[by]
-        new = np.ones(len(by), bool)
-        new[1:] = (lines[1:] != lines[:-1]) | (token[1:] != token[:-1])
-        return lines[new], token[new]
+        token = grams(self.words, n)[at] if len(at) else np.zeros(0, _U)
+        return np.concatenate((line[at], short)), np.concatenate((token, mix(self.k1[short] + _U(n))))
 
     def ranked(self, n: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(line, token, where each line's tokens begin)``, the rarest tokens of each line first."""
+        """``(line, token, where each line's tokens begin)``: distinct tokens, the rarest of each line first."""
         line, token = self.tokens(n)
-        by = np.lexsort((token, levels[token % _U(CLASSES)], line))
-        return line[by], token[by], np.searchsorted(line, np.arange(len(self.begin) + 1))
+        # One sort by line, level and the hash's upper bits; equal tokens come side by side.
+        bits = max(len(self.begin), 1).bit_length()
+        level = levels[token % _U(CLASSES)].astype(_U)
+        key = (line.astype(_U) << _U(64 - bits)) | (level << _U(58 - bits)) | (token >> _U(6 + bits))
+        by = np.argsort(key)
+        if ((key[by][1:] == key[by][:-1]) & (token[by][1:] != token[by][:-1])).any():
+            by = np.lexsort((token, key))
+        line, token, key = line[by], token[by], key[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (key[1:] != key[:-1]) | (token[1:] != token[:-1])
+        return line[new], token[new], np.searchsorted(line[new], np.arange(len(self.begin) + 1))
 
 
 def lines_of(texts) -> Lines:
@@ -107,21 +111,28 @@ def _each_piece(rows: DataFrame, work: Callable[[pa.Table, Lines], pa.Table | No
     return rows.mapInArrow(run, schema)
 
 
-def _levels(rows: DataFrame, words: int) -> np.ndarray:
-    """The level of each class, its count's power of two: a table of fixed size."""
-
+def _marked(rows: DataFrame, names: list[str], schema: str, words: int) -> tuple[DataFrame, np.ndarray]:
+    """``(class and place of each line, the level of each class of tokens)``: the power of two of its runs, a table of fixed size."""
     def run(batches):
-        total = np.zeros(CLASSES, np.int64)
+        total, kinds = np.zeros(CLASSES, np.int64), None
         for batch in batches:
             for piece in pieces(pa.Table.from_batches([batch])):
-                total += np.bincount(lines_of(piece.column("text")).tokens(words)[1] % _U(CLASSES), minlength=CLASSES)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], names=["id", "n"])
-
+                lines = lines_of(piece.column("text"))
+                total += np.bincount(lines.tokens(words)[1] % _U(CLASSES), minlength=CLASSES)
+                made = pa.table([*_columns(piece, lines, np.arange(len(lines.begin))), pa.nulls(len(lines.begin), pa.int64())], names=[*names, "runs"])
+                kinds = made.schema
+                yield from made.to_batches()
+        if kinds is not None:
+            held = np.flatnonzero(total)
+            none = [pa.nulls(len(held), f.type) for f in list(kinds)[:-2]]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], schema=kinds)
+
+    both = keep(rows.mapInArrow(run, f"{schema}, runs long"))
     levels = np.zeros(CLASSES, np.uint8)
-    for r in rows.mapInArrow(run, "id int, n long").groupBy("id").agg(F.floor(F.log2(F.sum("n") + 1)).cast("int").alias("level")).collect():
-        levels[r.id] = r.level
-    return levels
+    counts = both.where("runs is not null").groupBy("line_no").agg(F.floor(F.log2(F.sum("runs") + 1)).cast("int").alias("level"))
+    for r in counts.collect():
+        levels[r.line_no] = r.level
+    return both.where("runs is null").select(*_CLASS, F.struct(*_AT).alias("at")), levels
 
 
 def _columns(piece: pa.Table, lines: Lines, chosen: np.ndarray) -> list:
@@ -142,11 +153,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
     rows = docs.select("text", *key)
     place = f"k1 long, k2 long, late boolean, doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, line_no int"
     names = ["k1", "k2", *_AT]
-    at = F.struct(*_AT).alias("at")
-    levels = _levels(rows, words)
-
-    def mark(piece, lines):
-        return pa.table(_columns(piece, lines, np.arange(len(lines.begin))), names=names)
+    sides, levels = _marked(rows, names, place, words)
 
     def prefixes(_, lines):
         line, token, begins = lines.ranked(words, levels)
@@ -154,13 +161,13 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
         first = np.arange(len(line)) - begins[line] < _prefix_size(n, percent)[line]
         return pa.table([_signed(token[first]), _signed(lines.k1[line[first]])], names=["token", "k1"])
 
-    sides = keep(_each_piece(rows, mark, place)).select("k1", "k2", at)
     classes = keep(sides.groupBy(*_CLASS).agg(F.min("at").alias("at"), F.count("*").alias("copies")))
 
-    # Dealt by token once: which tokens several classes hold, and where they are, is found in the same place.
-    places = _each_piece(rows, prefixes, "token long, k1 long").where("token is not null").repartition("token")
-    several = places.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("token")
-    shared = keep(places.join(several.hint("merge"), "token", "left_semi").distinct())
+    # Dealt by token once; a window finds which tokens several classes hold where they are.
+    places = _each_piece(rows, prefixes, "token long, k1 long")
+    of_token = Window.partitionBy("token")
+    spread = places.select("token", "k1", F.min("k1").over(of_token).alias("low"), F.max("k1").over(of_token).alias("high"))
+    shared = keep(spread.where("low != high").select("token", "k1"))
 
     # The classes that meet others, with their tokens, worked out again from their earliest line.
     met = classes.join(shared.select("k1").distinct(), "k1", "left_semi")
@@ -177,12 +184,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
         held = np.arange(ends[-1]) + np.repeat(begins[chosen] - ends[:-1], sizes)
         return pa.table([*_columns(piece, lines, chosen), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(token[held]))], names=[*names, "codes"])
 
-    found = _each_piece(rows.join(wanted, same).select(*rows.columns, "_lines"), sets_of, f"{place}, codes array<long>")
-    # Rows that repeat a document give its lines again.
-    sets = keep(found.groupBy(*_CLASS).agg(F.min(F.struct(*_AT)).alias("at"), F.first("codes").alias("set")))
+    # Documents without such a line are left out by their keys first, which are narrow.
+    near = rows.join(wanted.drop("_lines"), same, "left_semi").join(wanted, same).select(*rows.columns, "_lines")
+    found = keep(_each_piece(near, sets_of, f"{place}, codes array<long>"))
+    sets = found.select("k1", "k2", F.struct(*_AT).alias("at"), F.col("codes").alias("set"))
     sized = sets.select("k1", "k2", "at", F.size("set").alias("n"), F.slice("set", 1, _prefix_column(percent)).alias("prefix"))
     live = sized.select("k1", "k2", "at", "n", F.posexplode("prefix").alias("place", "token")).join(shared, ["token", "k1"], "left_semi")
-    earlier = _earlier(keep(live.select("token", "place", "k1", "k2", "at", "n")), sets.select("k1", "k2", "set"), percent)
+    # Rows that repeat a document give its lines again.
+    earlier = _earlier(keep(live.select("token", "place", "k1", "k2", "at", "n").distinct()), sets.select("k1", "k2", "set"), percent)
 
     # A later line of a class is a copy of its first; the first goes only if another class stands earlier.
     verdict = classes.where("copies > 1").select(*_CLASS, "at").join(earlier.withColumn("_all", F.lit(True)), _CLASS, "full").select(*_CLASS, F.col("at").alias("first_at"), "_all")
