@@ -6,9 +6,9 @@ set indexes its rare prefix tokens singly, and of its frequent ones each combina
 mostly frequent tokens indexes those singly, and the others meet it under single tokens too. Equal sets are one node.
 Candidates are verified on their whole sets.
 
-Of a candidate group, all members are first compared with the least one; members that are linked by now need no
-comparison with each other, so a group of near copies costs about as many comparisons as it has members. Small groups
-then compare what is still apart; large ones go on with more pivots at each round until every two members are either
+Each node is first compared with one pivot of all its candidate groups, for some rounds; members that are linked by now
+need no comparison with each other, so a group of near copies costs about as many comparisons as it has members. Groups
+that are still apart compare all members with the least one, and small groups then whatever is still apart; large ones go on with more pivots at each round until every two members are either
 compared or linked. No link between components is lost; links within a component may stay unverified.
 
 Defined cases: null and empty texts have no tokens and are linked with nothing. A text of fewer words than n is one
@@ -33,6 +33,8 @@ _RARE = 4
 _MOST_COMBINED = 16
 #: Groups up to this size compare all that is not linked yet.
 _SMALL_GROUP = 32
+#: Rounds, at most, in which a node meets one pivot only.
+_SINGLE_ROUNDS = 4
 #: Members that are verified against one pivot in one task.
 _BLOCK = 512
 
@@ -134,7 +136,10 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
         size = size[row[by]] if len(row) else size
         begins = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, np.int64)
         place = np.arange(len(token)) - np.repeat(begins, np.diff(np.append(begins, len(token))))
-        prefix = (place < size - (percent * size + 99) // 100 + 2) & (size > 1)
+        least = (percent * size + 99) // 100
+        # Two sets that one token may link are both so small; they index every token singly.
+        small = (least <= 1) & (percent <= 50)
+        prefix = (place < size - least + 2) & ((size > 1) | small)
         out = []
 
         def emit(kind, key, where):
@@ -144,7 +149,7 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
         emit(_ALONE, token[rare], rare)
         frequent = prefix & (level > _RARE)
         total = np.add.reduceat(frequent.astype(np.int64), begins) if len(begins) else begins
-        many = np.repeat(total > _MOST_COMBINED, np.diff(np.append(begins, len(token))))
+        many = np.repeat(total > _MOST_COMBINED, np.diff(np.append(begins, len(token)))) | small
         for kind, of in ((_FEW, frequent & ~many), (_MANY, frequent & many)):
             of = np.flatnonzero(of)
             emit(kind, token[of] ^ _SINGLE, of)
@@ -179,33 +184,69 @@ def _near(percent: int):
     return 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
 
 
+def _grown(labels: DataFrame | None, new: DataFrame) -> DataFrame:
+    """``(node, label)`` after new links; only what they join is worked out anew."""
+    ends = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
+    if labels is None:
+        return components(new)
+    held = keep(ends.join(labels, "node", "left_anti").withColumn("label", F.col("node")).union(labels.select("node", "label")))
+    of = lambda end: held.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+    joined = components(new.join(of("a"), "a").join(of("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
+    renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("grown"))
+    return keep(held.join(renamed, "label", "left").select("node", F.coalesce("grown", "label").alias("label")))
+
+
+def _with_labels(live: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return live.withColumn("label", F.col("node"))
+    return live.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _pairs(labelled: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Members of a group with its pivots, as far as sizes and the kinds of their tokens allow a link that is not known yet."""
+    met = labelled.join(pivots, "key").where((F.col("node") != F.col("p")) & (F.col("label") != F.col("pivot_label")) & (F.col("full") | F.col("pivot_full")))
+    return met.where(_near(percent))
+
+
+def _as_pivots(rows: DataFrame) -> DataFrame:
+    return rows.select("key", F.col("node").alias("p"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), F.col("full").alias("pivot_full"))
+
+
 def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    spark = live.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    found = labels = None
+    found = live.sparkSession.createDataFrame([], "a long, b long")
+    labels = None
+    # First each node meets one pivot a round, of all groups that it is in: a large group of near copies is linked
+    # by about as many comparisons as it has members, however many tokens they share.
+    for turn in range(_SINGLE_ROUNDS):
+        labelled = keep(_with_labels(live, labels))
+        by = F.col("node") if not turn else F.xxhash64("node", F.lit(turn))
+        row = F.struct("node", "n", "label", "full")
+        group = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(row, F.struct(by.alias("by"), "node")).alias("r")).where("low != high")
+        offered = _pairs(labelled, _as_pivots(group.select("key", "r.*")), percent)
+        chosen = offered.groupBy("node").agg(F.min_by("p", F.struct(F.xxhash64("p", F.lit(turn)) if turn else F.col("p"), "p")).alias("p"))
+        new = keep(_verified(keep(chosen.select("p", "node")), sets, percent))
+        if new.isEmpty():
+            break
+        found, labels = found.union(new), _grown(labels, new)
     turn = 0
     while True:
-        labelled = live.withColumn("label", F.col("node")) if labels is None else live.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = _with_labels(live, labels)
         group = labelled.groupBy("key").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("least"))
         open_groups = group.where("low != high")
         labelled = keep(labelled.join(open_groups.select("key", "members", "least"), "key"))
-        if not labelled.limit(1).count():
-            return links
+        if labelled.isEmpty():
+            return found
         # One pivot in each group, then more at each turn; small groups take every member.
         share = F.greatest(F.lit(1), F.floor(F.col("members") / (1 << (2 * turn))))
         pivot = F.col("node") == F.col("least")
         if turn:
             pivot = pivot | (F.col("members") <= _SMALL_GROUP) | (F.pmod(F.xxhash64("node", F.lit(turn)), share) == 0)
         labelled = labelled.withColumn("pivot", pivot)
-        pivots = labelled.where("pivot").select("key", F.col("node").alias("p"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), F.col("full").alias("pivot_full"))
-        pairs = (
-            labelled.join(pivots, "key").where((F.col("node") != F.col("p")) & (F.col("label") != F.col("pivot_label")) & (F.col("full") | F.col("pivot_full")) & _near(percent))
-            .where(~F.col("pivot") | (F.col("node") > F.col("p"))).select("p", "node").distinct()
-        )
+        pairs = _pairs(labelled, _as_pivots(labelled.where("pivot")), percent)
+        pairs = pairs.where(~F.col("pivot") | (F.col("node") > F.col("p"))).select("p", "node").distinct()
         new = keep(_verified(keep(pairs), sets, percent))
-        found = new if found is None else found.union(new)
-        links = found
-        labels = components(found)
+        if not new.isEmpty():
+            found, labels = found.union(new), _grown(labels, new)
         live = labelled.where("not pivot").select("key", "node", "n", "full")
         turn += 1
 

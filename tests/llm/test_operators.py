@@ -237,10 +237,14 @@ def test_short_lines(spark):
     assert stage == {1: texts[0][1], 2: "\nthe end of it", 3: texts[2][1], 4: "b c d e"}
 
 
-@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
-def test_jaccard(docs, rows, none, n, percent):
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80), (4, 30), (4, 50), (4, 100)])
+def test_jaccard(spark, docs, rows, none, n, percent):
     from leadspark.llm.jaccard_join import similar_components
 
+    short = [(100 + i, t) for i, t in enumerate(["a b c d e", "a b c d", "b c d e", "a b c d e f g", "p q r s t", "q r s t", "p q r s", "one two"])]
+    rows = [r[:2] for r in rows] + short
+    docs = docs.select("doc_id", "text", "size", "chunk").union(spark.createDataFrame([(*r, "x", "y") for r in short], "doc_id long, text string, size string, chunk string"))
+
     sets = {}
     for r in rows:
         w = words((r[1] or "").translate(LOWER))
