@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Settings every job of this package relies on; sizes are left to the cluster."""
@@ -36,12 +40,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/leadspark-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run here go when their query ends, as their rows are written by then."""
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write the rows to a new shared folder now and read them back.
 
     For rows that several results are built from: they are computed once, and a lost executor
-    costs a read of files that every executor can reach.
+    costs a read of files that every executor can reach. The job's shuffle files go with it.
     """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
