@@ -30,10 +30,10 @@ SMALLEST_CHUNK, LARGEST_CHUNK = 1 << 20, 32 << 20
 class Chunks:
     """Documents dealt into ``n`` chunks; ``rows`` has the columns of ``docs``, ``doc_id`` and ``text`` among them, and ``chunk``."""
 
-    def __init__(self, docs: DataFrame, deal_by: tuple[Column, ...] | None = None):
+    def __init__(self, docs: DataFrame, deal_by: tuple[Column, ...] | None = None, smallest: int = SMALLEST_CHUNK):
         spark = docs.sparkSession
         total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-        size = min(LARGEST_CHUNK, max(SMALLEST_CHUNK, math.isqrt(total * 1024)))
+        size = min(LARGEST_CHUNK, max(smallest, math.isqrt(total * 1024)))
         self.n = max(1, math.ceil(total / size))
         self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(self.n / 64))
         self.deal_by = deal_by or (F.col("doc_id"), F.octet_length("text"), F.substring("text", 1, 64))
@@ -48,25 +48,29 @@ class Chunks:
             return self.rows.groupBy("chunk").applyInArrow(lambda table: work(table, None), schema)
         return self.rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
 
+    def answers(self, asked: DataFrame, answer: Callable[[pa.Table], pa.Table]) -> DataFrame:
+        return asked.repartition(self.parts, "bucket").groupBy("bucket").applyInArrow(answer, ANSWER)
+
     def answered(self, asked: DataFrame, answer: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """The answers, dealt by chunk."""
-        return asked.repartition(self.parts, "bucket").groupBy("bucket").applyInArrow(answer, ANSWER).repartition(self.parts, "chunk")
+        return self.answers(asked, answer).repartition(self.parts, "chunk")
 
 
 def order(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``(places, bounds)``: the keys' places by bucket, kept in order within, and where each bucket begins."""
-    bucket = (keys >> np.uint64(40)) % np.uint64(n)
+    # Two bytes are sorted by digits.
+    bucket = ((keys >> np.uint64(40)) % np.uint64(n)).astype(np.uint16 if n <= 1 << 16 else np.int64)
     places = np.argsort(bucket, kind="stable")
-    return places, np.searchsorted(bucket[places], np.arange(n + 1, dtype=np.uint64))
+    return places, np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=n))))
 
 
-def ask_table(chunk: int, n: int, keys: np.ndarray, key_type, more: np.ndarray | None = None, flags: np.ndarray | None = None, all_buckets: bool = False) -> pa.Table:
-    """One row for each bucket that has keys (or for all); ``more`` and ``flags`` go along with the keys."""
+def ask_table(chunk: int, n: int, keys: np.ndarray, key_type, more: np.ndarray | None = None, flags: np.ndarray | None = None) -> pa.Table:
+    """One row for each bucket that has keys; ``more`` and ``flags`` go along with the keys."""
     places, bounds = order(keys, n)
     packed = keys[places].astype(key_type)
     more = None if more is None else more[places]
     flags = None if flags is None else flags[places]
-    chosen = np.arange(n) if all_buckets else np.flatnonzero(np.diff(bounds))
+    chosen = np.flatnonzero(np.diff(bounds))
     cut = lambda x: [None if x is None else x[bounds[b] : bounds[b + 1]].tobytes() for b in chosen]
     return pa.table([pa.array(chosen, pa.int64()), pa.array(np.full(len(chosen), chunk), pa.int64()), *(pa.array(cut(x), pa.binary()) for x in (packed, more, flags))], schema=_ask_arrow)
 
@@ -92,20 +96,25 @@ def grouped(*keys: np.ndarray) -> tuple[np.ndarray, int]:
     return number, int(number[by[-1]]) + 1
 
 
-def answer_table(asked: pa.Table, turn: int, starts: np.ndarray, values: np.ndarray, total: float = 0.0, kinds: float = 0.0) -> pa.Table:
-    """The answer to each row of questions: ``values`` cut at ``starts``."""
+def answer_table(asked: pa.Table, turn: int, starts: np.ndarray, values: np.ndarray, total: float = 0.0, kinds: float = 0.0, planes: bool = False) -> pa.Table:
+    """The answer to each row of questions: ``values`` cut at ``starts``. ``planes`` packs them byte by byte, the last bytes of
+    all values first, so that many small values compress well; ``answer_of`` is told so too.
+    """
     n = len(starts) - 1
-    cut = [values[starts[i] : starts[i + 1]].tobytes() for i in range(n)]
+    cut = [values[starts[i] : starts[i + 1]] for i in range(n)]
+    cut = [(x.view(np.uint8).reshape(len(x), -1).T if planes else x).tobytes() for x in cut]
     full = lambda v, t: pa.array(np.full(n, v), t)
     return pa.table([asked.column("chunk").combine_chunks(), full(turn, pa.int32()), asked.column("bucket").combine_chunks(), pa.array(cut, pa.binary()), full(total, pa.float64()), full(kinds, pa.float64())], schema=_answer_arrow)
 
 
-def answer_of(answers: pa.Table, turn: int, keys: np.ndarray, n: int, dtype) -> tuple[np.ndarray, float, float]:
+def answer_of(answers: pa.Table, turn: int, keys: np.ndarray, n: int, dtype, planes: bool = False) -> tuple[np.ndarray, float, float]:
     """``(the answer to each key, sums of total and kinds over the buckets)`` of one turn."""
     mine = answers.filter(pa.compute.equal(answers.column("turn"), turn))
     out = np.zeros(len(keys), dtype)
     places, bounds = order(keys, n)
     for bucket, packed in zip(mine.column("bucket").to_pylist(), mine.column("answer").to_pylist(), strict=True):
+        if planes:
+            packed = np.frombuffer(packed, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T.tobytes()
         out[places[bounds[bucket] : bounds[bucket + 1]]] = np.frombuffer(packed, dtype)
     return out, float(np.sum(mine.column("total").to_numpy())), float(np.sum(mine.column("kinds").to_numpy()))
 

@@ -10,7 +10,11 @@ next-word distribution is smoothed by that of its suffix, down to the add-one ro
 to one over the known words and one unknown word. A text is scored from the longest state that its last words reach.
 
 Counts cover all training texts. Words are counted by 64-bit hashes; runs of words by the hash range of
-their bucket and 32 bits more, so a few runs in 100,000 may share a count.
+their bucket and 32 bits more. Buckets grow with the input, so at 0.1 GB as at 100 TB fewer than one run in 1,000 may share
+a count.
+
+A chunk of documents is written once as its distinct words and the places that hold them. Each round is a job of its own,
+whose answers are written by chunk; a chunk works out its places again from them, as they are far smaller than the places.
 
 Defined cases: a null text is empty and has one token, its end. A null ``doc_id`` counts as training. Without training
 tokens each token's base probability is 1. Repeated rows are repeated training texts. Other columns are not carried.
@@ -18,21 +22,84 @@ tokens each token's base probability is 1. Repeated rows are repeated training t
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark.llm.rounds import ASK, Chunks, answer_of, answer_table, ask_table, document_words, grouped, unpacked
 from leadspark.llm.words import grams
+from leadspark.session import keep
 
 _END = np.uint64(0x5EEDED0FD0C00001)
 #: Turns from here on answer whether the contexts of so many words stay.
 _STAYS = 1000
 _GAIN = b"gain"
+#: Chunks of at least so many bytes: a key is asked about once by a chunk.
+CHUNK = 4 << 20
+#: The places of a chunk hold numbers of words, the most frequent first; the numbers' upper halves are mostly 0.
+_PLACES = "chunk long, docs array<long>, held_out array<boolean>, lengths binary, words binary, low binary, high binary"
+_PLACES_ARROW = pa.schema([("chunk", pa.int64()), ("docs", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), *((c, pa.binary()) for c in ("lengths", "words", "low", "high"))])
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, n_deep long, train_tokens long, base_score double, score double"
 _RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_deep", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
+def _as_places(table: pa.Table, _) -> pa.Table:
+    hashes, _, counts = document_words(table, fold=True)
+    ends = np.cumsum(counts + 1) - 1
+    token = np.full(len(hashes) + len(counts), _END, np.uint64)
+    is_word = np.ones(len(token), bool)
+    is_word[ends] = False
+    token[is_word] = hashes
+    words, number, seen = np.unique(token, return_inverse=True, return_counts=True)
+    by = np.argsort(-seen, kind="stable")
+    rank = np.empty(len(by), np.uint32)
+    rank[by] = np.arange(len(by))
+    number = rank[number]
+    packed = [x.tobytes() for x in ((counts + 1).astype(np.int64), words[by], number.astype(np.uint16), (number >> np.uint32(16)).astype(np.uint16))]
+    return pa.table([[table.column("chunk")[0].as_py()], [table.column("doc_id").to_pylist()], [table.column("held_out").to_pylist()], *([x] for x in packed)], schema=_PLACES_ARROW)
+
+
+@dataclass
+class Places:
+    """The tokens of a chunk: their words' numbers, their documents' rows, and whether they count."""
+
+    chunk: int
+    docs: pa.Array
+    held_out: pa.Array
+    words: np.ndarray
+    number: np.ndarray
+    row: np.ndarray
+    counted: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Places:
+        one = table.combine_chunks()
+        read = lambda c, dtype: np.frombuffer(one.column(c)[0].as_py(), dtype)
+        lengths = read("lengths", np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        held_out = one.column("held_out")[0].values
+        number = read("low", np.uint16).astype(np.int64) | (read("high", np.uint16).astype(np.int64) << 16)
+        return cls(one.column("chunk")[0].as_py(), one.column("docs")[0].values, held_out, read("words", np.uint64), number, row, ~held_out.to_numpy(zero_copy_only=False).astype(bool)[row])
+
+
+@dataclass
+class Level:
+    """Contexts of one length: the places after them, how often they occur, how often with the place's word too, and which
+    of the chunk's runs of that length they are.
+    """
+
+    at: np.ndarray
+    held: np.ndarray
+    found: np.ndarray
+    runs: np.ndarray
+    context: np.ndarray
+
+    def present(self) -> np.ndarray:
+        return np.flatnonzero(np.bincount(self.context, minlength=len(self.runs)))
+
+
 def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, divergence: float = 2.0, backoff: float = 0.8, longest: int = 6) -> DataFrame:
     """Learn from the rows where ``held_out`` is false and score all rows.
 
@@ -42,33 +109,9 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
     training), ``n_deep`` (tokens scored by a state below the root), ``train_tokens``, ``base_score`` (add-one
     unigrams) and ``score``, both log10 of the text's probability.
     """
-    chunks = Chunks(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out")))
+    chunks = Chunks(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), smallest=CHUNK)
     n = chunks.n
-
-    def tokens(table):
-        """Each token's hash, its row, and whether it counts."""
-        hashes, _, counts = document_words(table, fold=True)
-        ends = np.cumsum(counts + 1) - 1
-        is_end = np.zeros(len(hashes) + len(counts), bool)
-        is_end[ends] = True
-        token = np.full(len(is_end), _END, np.uint64)
-        token[~is_end] = hashes
-        row = np.repeat(np.arange(len(counts)), counts + 1)
-        counted = ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-        return token, row, counted[row]
-
-    def distinct(keys, weights):
-        kinds, number = np.unique(keys, return_inverse=True)
-        return kinds, number, np.bincount(number, weights, len(kinds))
-
-    def asked(table, keys, weights, key_type=np.uint32, dtype=np.uint32, everywhere=False):
-        kinds, _, sums = distinct(keys, weights)
-        return ask_table(table.column("chunk")[0].as_py(), n, kinds, key_type, more=sums.astype(dtype), all_buckets=everywhere)
-
-    def answered(answers, turn, keys, dtype):
-        kinds, number = np.unique(keys, return_inverse=True)
-        found, total, many = answer_of(answers, turn, kinds, n, dtype)
-        return found[number], total, many
+    places = keep(chunks.apply(_as_places, _PLACES)).repartition(chunks.parts, "chunk").groupBy("chunk")
 
     def summed(turn, key_type=np.uint32):
         def answer(question):
@@ -77,43 +120,57 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
             number, found = grouped(keys)
             total = np.zeros(found, np.int64)
             np.add.at(total, number, counts.astype(np.int64))
-            return answer_table(question, turn, starts, total[number], float(total.sum()), float((total > 0).sum()))
+            return answer_table(question, turn, starts, total[number], float(total.sum()), float((total > 0).sum()), planes=True)
 
         return answer
 
-    def ask_words(table, _):
-        token, _, counted = tokens(table)
-        return asked(table, token, counted, np.uint64, everywhere=True)
+    def ask_words(table):
+        p = Places.of(table)
+        return ask_table(p.chunk, n, p.words, np.uint64, more=np.bincount(p.number, p.counted, len(p.words)).astype(np.uint32))
+
+    counted_words = keep(chunks.answers(places.applyInArrow(ask_words, ASK), summed(1, np.uint64)))
+    of_buckets = counted_words.groupBy("bucket").agg(F.max("total").alias("total"), F.max("kinds").alias("kinds"))
+    sums = of_buckets.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
+    total, kinds = sums.total or 0.0, sums.kinds or 0.0
 
     def weight(count):
         return count.astype(float) ** backoff
 
+    def retained_at(p, answers, level, size):
+        stays = np.zeros(len(p.number), bool)
+        if len(level.at):
+            present = level.present()
+            of_run = np.zeros(len(level.runs), bool)
+            of_run[present] = answer_of(answers, _STAYS + size, level.runs[present], n, np.uint8)[0] > 0
+            stays[level.at] = of_run[level.context]
+        return stays
+
     def states(table, answers, known):
-        """``(tokens, rows, whether they count, their counts, total, kinds, levels)``. A level is a context length up to
-        ``known``, with the places after its contexts, the contexts' counts, and those with the next word. Also gives
-        the places and counts that the next level may ask about.
+        """``(places, their words' counts, levels up to known, next)``: the places that the next level may ask about, its
+        runs with the next word, and the number of each place's run.
         """
-        token, row, counted = tokens(table)
-        c1, total, kinds = answered(answers, 1, token, np.int64)
-        held, stays, levels = c1, [np.ones(len(token), bool)] * 2, []
+        p = Places.of(table)
+        token = p.words[p.number]
+        c1 = answer_of(answers, 1, p.words, n, np.int64, planes=True)[0][p.number]
+        held, runs, number = c1, p.words, p.number
+        stays, levels = [np.ones(len(token), bool)] * 2, []
         asked_before = stays[0]
         for size in range(1, known + 2):
+            if size > longest:
+                return p, c1, levels, None
             at = np.arange(size, len(token))
-            at = at[(row[at] == row[at - size]) & (held[at - 1] >= min_context) & asked_before[at] & (stays[-1][at] | stays[-2][at])]
+            at = at[(p.row[at] == p.row[at - size]) & (held[at - 1] >= min_context) & asked_before[at] & (stays[-1][at] | stays[-2][at])]
+            longer, place = np.unique(grams(token, size + 1)[at - size], return_inverse=True) if len(at) else (np.zeros(0, np.uint64), at)
             if size > known:
-                return token, row, counted, c1, total, kinds, levels, at
-            found = answered(answers, size + 1, grams(token, size + 1)[at - size], np.int64)[0] if len(at) else np.zeros(0, np.int64)
-            levels.append((at, held[at - 1], found))
+                return p, c1, levels, (at, longer, place)
+            found = answer_of(answers, size + 1, longer, n, np.int64, planes=True)[0][place]
+            levels.append(Level(at, held[at - 1], found, runs, number[at - 1]))
             held, asked_before = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
             held[at], asked_before[at] = found, True
+            runs, number = longer, np.zeros(len(token), np.int64)
+            number[at] = place
             if size > 1:
-                stays.append(retained_at(answers, token, size - 1, levels[size - 2][0]))
-
-    def retained_at(answers, token, size, at):
-        stays = np.zeros(len(token), bool)
-        if len(at):
-            stays[at] = answered(answers, _STAYS + size, grams(token, size)[at - size], np.uint8)[0] > 0
-        return stays
+                stays.append(retained_at(p, answers, levels[size - 2], size - 1))
 
     def ask_longer(size):
         """Counts of the contexts of ``size`` words with the next one, if any are left to ask about; and what each context
@@ -121,19 +178,22 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
         """
 
         def ask(table, answers):
-            token, _, counted, c1, total, kinds, levels, at = states(table, answers, size - 1)
+            p, c1, levels, asked = states(table, answers, size - 1)
             out = []
-            if size <= longest and len(at):
-                out.append(asked(table, grams(token, size + 1)[at - size], counted[at]))
-            if size > 1 and len(levels[-1][0]):
-                left = counted.astype(np.int64)
-                p = np.maximum(c1 + 1 - left, 1) / (total + kinds + 1)
-                for at, held, found in levels:
-                    seen, shorter = weight(held), p[at]
-                    p[at] = (found - left[at] + seen * shorter) / (held - left[at] + seen)
-                gains = asked(table, grams(token, size - 1)[at - size + 1], np.log(p[at] / shorter) * left[at], dtype=np.float32)
+            if asked is not None:
+                at, runs, place = asked
+                out.append(ask_table(p.chunk, n, runs, np.uint32, more=np.bincount(place, p.counted[at], len(runs)).astype(np.uint32)))
+            if levels:
+                left = p.counted.astype(np.int64)
+                chance = np.maximum(c1 + 1 - left, 1) / (total + kinds + 1)
+                for level in levels:
+                    seen, shorter = weight(level.held), chance[level.at]
+                    chance[level.at] = (level.found - left[level.at] + seen * shorter) / (level.held - left[level.at] + seen)
+                gain = np.bincount(level.context, np.log(chance[level.at] / shorter) * left[level.at], len(level.runs))
+                present = level.present()
+                gains = ask_table(p.chunk, n, level.runs[present], np.uint32, more=gain[present].astype(np.float32))
                 out.append(gains.set_column(4, "flags", pa.array([_GAIN] * gains.num_rows, pa.binary())))
-            return pa.concat_tables(out) if out else asked(table, token[:0], counted[:0])
+            return pa.concat_tables(out)
 
         return ask
 
@@ -154,24 +214,25 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
         return answer_table(question, turn, starts, stays[number].astype(np.uint8))
 
     def score(table, answers):
-        token, row, _, c1, total, kinds, levels, _ = states(table, answers, longest)
-        p0 = (c1 + 1) / (total + kinds + 1)
-        p, best, below = p0.copy(), p0.copy(), np.zeros(len(token), bool)
-        for size, (at, held, found) in enumerate(levels, 1):
-            seen = weight(held)
-            p[at] = (found + seen * p[at]) / (held + seen)
-            stays = retained_at(answers, token, size, at)
-            best[stays] = p[stays]
+        p, c1, levels, _ = states(table, answers, longest)
+        base = (c1 + 1) / (total + kinds + 1)
+        chance, best, below = base.copy(), base.copy(), np.zeros(len(base), bool)
+        for size, level in enumerate(levels, 1):
+            seen = weight(level.held)
+            chance[level.at] = (level.found + seen * chance[level.at]) / (level.held + seen)
+            stays = retained_at(p, answers, level, size)
+            best[stays] = chance[stays]
             below |= stays
-        rows = table.num_rows
-        per_row = lambda x=None: np.bincount(row, x, rows)
+        rows = len(p.docs)
+        per_row = lambda x=None: np.bincount(p.row, x, rows)
         whole = lambda x: pa.array(x.astype(np.int64))
         return pa.table(
-            [table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks(), whole(per_row()), whole(per_row(c1 > 0)), whole(per_row(below)), pa.array(np.full(rows, int(total))), pa.array(per_row(np.log10(p0))), pa.array(per_row(np.log10(best)))],
+            [p.docs, p.held_out, whole(per_row()), whole(per_row(c1 > 0)), whole(per_row(below)), pa.array(np.full(rows, int(total))), pa.array(per_row(np.log10(base))), pa.array(per_row(np.log10(best)))],
             schema=_RESULT,
         )
 
-    known = chunks.answered(chunks.apply(ask_words, ASK), summed(1, np.uint64))
+    known = counted_words
     for size in range(1, longest + 2):
-        known = known.unionByName(chunks.answered(chunks.apply(ask_longer(size), ASK, known), answer_longer(size)))
-    return chunks.apply(score, RESULT, known)
+        asked = places.cogroup(known.repartition(chunks.parts, "chunk").groupBy("chunk")).applyInArrow(ask_longer(size), ASK)
+        known = known.unionByName(keep(chunks.answers(asked, answer_longer(size))))
+    return places.cogroup(known.repartition(chunks.parts, "chunk").groupBy("chunk")).applyInArrow(score, RESULT)

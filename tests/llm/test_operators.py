@@ -117,6 +117,25 @@ def test_suffix_tree(spark, docs, rows, none):
     assert score_texts(none, held).collect() == []
 
 
+def test_suffix_tree_chunks(spark, monkeypatch):
+    """Scores don't depend on the chunks that documents are dealt into."""
+    from leadspark.llm import suffix_tree
+
+    rng = random.Random(5)
+    kinds = [f"w{i}" for i in range(40)]
+    passages = [" ".join(rng.choices(kinds, k=12)) for _ in range(20)]
+    rows = [(i, " ".join(rng.choices(passages, k=40)) if i % 9 else None) for i in range(200)]
+    docs = spark.createDataFrame([*rows, (7, rows[7][1]), (None, rows[1][1])], "doc_id long, text string")
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    one, many = [], []
+    for found, size in ((one, suffix_tree.CHUNK), (many, 1 << 14)):
+        monkeypatch.setattr(suffix_tree, "CHUNK", size)
+        found.extend(suffix_tree.score_texts(docs, held).collect())
+    rounded = lambda got: bag((*r[:6], round(r.base_score, 4), round(r.score, 4)) for r in got)
+    assert rounded(one) == rounded(many) and len(one) == 202
+    assert any(r.n_deep for r in one)
+
+
 def test_suffix_tree_grows(spark):
     """The production parameters against a plain tree, on passages repeated a few times that only long contexts tell apart."""
     from leadspark.llm.suffix_tree import score_texts
