@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark.llm.words import pieces, words_of
+from leadspark.session import shared_folder, shuffles_dropped
 
 ASK = "bucket long, chunk long, keys binary, more binary, flags binary"
 ANSWER = "chunk long, turn int, bucket long, answer binary, total double, kinds double"
@@ -48,6 +49,17 @@ class Chunks:
             return self.rows.groupBy("chunk").applyInArrow(lambda table: work(table, None), schema)
         return self.rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
 
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """Write the rows as a table dealt by chunk and read it back: later rounds take it without a shuffle."""
+        spark, path = rows.sparkSession, shared_folder(rows.sparkSession)
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        with shuffles_dropped(spark):
+            rows.repartition(self.parts, "chunk").write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.parts, "chunk").saveAsTable(name)
+        kept = spark.table(name)
+        # The name goes, the files stay.
+        spark.sql(f"DROP TABLE {name}")
+        return kept
+
     def answers(self, asked: DataFrame, answer: Callable[[pa.Table], pa.Table]) -> DataFrame:
         return asked.repartition(self.parts, "bucket").groupBy("bucket").applyInArrow(answer, ANSWER)
 
@@ -86,7 +98,7 @@ def grouped(*keys: np.ndarray) -> tuple[np.ndarray, int]:
     """``(the number of each row's key, how many keys there are)``."""
     if not len(keys[0]):
         return np.zeros(0, np.int64), 0
-    by = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    by = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
     new = np.zeros(len(by), bool)
     for k in keys:
         s = k[by]

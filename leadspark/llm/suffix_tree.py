@@ -35,7 +35,7 @@ from leadspark.session import keep
 _END = np.uint64(0x5EEDED0FD0C00001)
 #: Turns from here on answer whether the contexts of so many words stay.
 _STAYS = 1000
-_GAIN = b"gain"
+_GAIN, _PAIR = b"gain", b"pair"
 #: Chunks of at least so many bytes: a key is asked about once by a chunk.
 CHUNK = 4 << 20
 #: The places of a chunk hold numbers of words, the most frequent first; the numbers' upper halves are mostly 0.
@@ -96,8 +96,9 @@ class Level:
     runs: np.ndarray
     context: np.ndarray
 
-    def present(self) -> np.ndarray:
-        return np.flatnonzero(np.bincount(self.context, minlength=len(self.runs)))
+    def in_doubt(self) -> np.ndarray:
+        """The contexts that may gain. One seen twice, with two words after it, can't: each word is less likely than before."""
+        return np.flatnonzero(np.bincount(self.context, (self.held > 2) | (self.found != 1), len(self.runs)))
 
 
 def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, divergence: float = 2.0, backoff: float = 0.8, longest: int = 6) -> DataFrame:
@@ -111,25 +112,48 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
     """
     chunks = Chunks(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), smallest=CHUNK)
     n = chunks.n
-    places = keep(chunks.apply(_as_places, _PLACES)).repartition(chunks.parts, "chunk").groupBy("chunk")
+    places = chunks.keep(chunks.apply(_as_places, _PLACES)).groupBy("chunk")
 
-    def summed(turn, key_type=np.uint32):
+    def parted(plain, flagged):
         def answer(question):
-            keys, starts = unpacked(question.column("keys"), key_type)
+            is_flagged = pa.compute.is_valid(question.column("flags"))
+            return pa.concat_tables([plain(question.filter(pa.compute.invert(is_flagged))), flagged(question.filter(is_flagged))])
+
+        return answer
+
+    def summed(turn):
+        def answer(question):
+            keys, starts = unpacked(question.column("keys"), np.uint64 if turn == 1 else np.uint32)
             counts, _ = unpacked(question.column("more"), np.uint32)
             number, found = grouped(keys)
-            total = np.zeros(found, np.int64)
-            np.add.at(total, number, counts.astype(np.int64))
+            total = np.bincount(number, counts, found).astype(np.int64)
             return answer_table(question, turn, starts, total[number], float(total.sum()), float((total > 0).sum()), planes=True)
 
         return answer
 
+    def runs_with_next(p, size, at):
+        """The distinct runs of ``size`` words and the one at ``at``, and the number of each place's run."""
+        if not len(at):
+            return np.zeros(0, np.uint64), at
+        return np.unique(grams(p.words[p.number], size + 1)[at - size], return_inverse=True)
+
+    def counts(p, at, runs, place):
+        return ask_table(p.chunk, n, runs, np.uint32, more=np.bincount(place, p.counted[at], len(runs)).astype(np.uint32))
+
+    def second(p):
+        """The places with a word before them: nearly all words occur often enough, so pairs are asked about with the words."""
+        at = np.arange(1, len(p.number))
+        return at[p.row[at] == p.row[at - 1]]
+
     def ask_words(table):
         p = Places.of(table)
-        return ask_table(p.chunk, n, p.words, np.uint64, more=np.bincount(p.number, p.counted, len(p.words)).astype(np.uint32))
+        at = second(p)
+        words = ask_table(p.chunk, n, p.words, np.uint64, more=np.bincount(p.number, p.counted, len(p.words)).astype(np.uint32))
+        pairs = counts(p, at, *runs_with_next(p, 1, at))
+        return pa.concat_tables([words, pairs.set_column(4, "flags", pa.array([_PAIR] * pairs.num_rows, pa.binary()))])
 
-    counted_words = keep(chunks.answers(places.applyInArrow(ask_words, ASK), summed(1, np.uint64)))
-    of_buckets = counted_words.groupBy("bucket").agg(F.max("total").alias("total"), F.max("kinds").alias("kinds"))
+    counted_words = keep(chunks.answers(places.applyInArrow(ask_words, ASK), parted(summed(1), summed(2))))
+    of_buckets = counted_words.where("turn = 1").groupBy("bucket").agg(F.max("total").alias("total"), F.max("kinds").alias("kinds"))
     sums = of_buckets.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
     total, kinds = sums.total or 0.0, sums.kinds or 0.0
 
@@ -139,7 +163,7 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
     def retained_at(p, answers, level, size):
         stays = np.zeros(len(p.number), bool)
         if len(level.at):
-            present = level.present()
+            present = level.in_doubt()
             of_run = np.zeros(len(level.runs), bool)
             of_run[present] = answer_of(answers, _STAYS + size, level.runs[present], n, np.uint8)[0] > 0
             stays[level.at] = of_run[level.context]
@@ -158,12 +182,18 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
         for size in range(1, known + 2):
             if size > longest:
                 return p, c1, levels, None
-            at = np.arange(size, len(token))
-            at = at[(p.row[at] == p.row[at - size]) & (held[at - 1] >= min_context) & asked_before[at] & (stays[-1][at] | stays[-2][at])]
-            longer, place = np.unique(grams(token, size + 1)[at - size], return_inverse=True) if len(at) else (np.zeros(0, np.uint64), at)
+            if size == 1:
+                at = second(p)
+            else:
+                at = np.arange(size, len(token))
+                at = at[(p.row[at] == p.row[at - size]) & (held[at - 1] >= min_context) & asked_before[at] & (stays[-1][at] | stays[-2][at])]
+            longer, place = runs_with_next(p, size, at)
             if size > known:
                 return p, c1, levels, (at, longer, place)
             found = answer_of(answers, size + 1, longer, n, np.int64, planes=True)[0][place]
+            if size == 1:
+                candidate = held[at - 1] >= min_context
+                at, place, found = at[candidate], place[candidate], found[candidate]
             levels.append(Level(at, held[at - 1], found, runs, number[at - 1]))
             held, asked_before = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
             held[at], asked_before[at] = found, True
@@ -181,8 +211,7 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
             p, c1, levels, asked = states(table, answers, size - 1)
             out = []
             if asked is not None:
-                at, runs, place = asked
-                out.append(ask_table(p.chunk, n, runs, np.uint32, more=np.bincount(place, p.counted[at], len(runs)).astype(np.uint32)))
+                out.append(counts(p, *asked))
             if levels:
                 left = p.counted.astype(np.int64)
                 chance = np.maximum(c1 + 1 - left, 1) / (total + kinds + 1)
@@ -190,29 +219,23 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
                     seen, shorter = weight(level.held), chance[level.at]
                     chance[level.at] = (level.found - left[level.at] + seen * shorter) / (level.held - left[level.at] + seen)
                 gain = np.bincount(level.context, np.log(chance[level.at] / shorter) * left[level.at], len(level.runs))
-                present = level.present()
+                present = level.in_doubt()
                 gains = ask_table(p.chunk, n, level.runs[present], np.uint32, more=gain[present].astype(np.float32))
                 out.append(gains.set_column(4, "flags", pa.array([_GAIN] * gains.num_rows, pa.binary())))
             return pa.concat_tables(out)
 
         return ask
 
-    def answer_longer(size):
-        count = summed(size + 1)
-
+    def retained(turn):
         def answer(question):
-            is_gain = pa.compute.is_valid(question.column("flags"))
-            return pa.concat_tables([count(question.filter(pa.compute.invert(is_gain))), retained(question.filter(is_gain), _STAYS + size - 1)])
+            keys, starts = unpacked(question.column("keys"), np.uint32)
+            gain, _ = unpacked(question.column("more"), np.float32)
+            number, found = grouped(keys)
+            stays = np.bincount(number, gain, found) >= divergence
+            return answer_table(question, turn, starts, stays[number].astype(np.uint8))
 
         return answer
 
-    def retained(question, turn):
-        keys, starts = unpacked(question.column("keys"), np.uint32)
-        gain, _ = unpacked(question.column("more"), np.float32)
-        number, found = grouped(keys)
-        stays = np.bincount(number, gain, found) >= divergence
-        return answer_table(question, turn, starts, stays[number].astype(np.uint8))
-
     def score(table, answers):
         p, c1, levels, _ = states(table, answers, longest)
         base = (c1 + 1) / (total + kinds + 1)
@@ -232,7 +255,7 @@ def score_texts(docs: DataFrame, held_out: Column, min_context: int = 2, diverge
         )
 
     known = counted_words
-    for size in range(1, longest + 2):
+    for size in range(2, longest + 2):
         asked = places.cogroup(known.repartition(chunks.parts, "chunk").groupBy("chunk")).applyInArrow(ask_longer(size), ASK)
-        known = known.unionByName(keep(chunks.answers(asked, answer_longer(size))))
+        known = known.union(keep(chunks.answers(asked, parted(summed(size + 1), retained(_STAYS + size - 1)))))
     return places.cogroup(known.repartition(chunks.parts, "chunk").groupBy("chunk")).applyInArrow(score, RESULT)
