@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadspark.functions.phrases import text_has_any
 from leadspark.functions.text import present, truthy
@@ -77,7 +77,7 @@ def example_text(drafts: DataFrame, n: int = 5) -> DataFrame:
     return examples.agg(F.array_join(F.transform(ordered, lambda e: e["line"]), "\n").alias("examples"))
 
 
-def backlog_gate(drafts: DataFrame, limit: int = BACKLOG_LIMIT) -> DataFrame:
+def backlog_gate(drafts: DataFrame, limit: int | Column = BACKLOG_LIMIT) -> DataFrame:
     """One row: drafts awaiting review and whether drafting may go on."""
     pending = drafts.filter(F.col("status") == "pending_review").agg(F.count("*").alias("pending"))
     return pending.withColumn("may_draft", F.col("pending") <= limit)

@@ -143,17 +143,17 @@ class Drafted:
 
 def draft_cycle(
     leads: DataFrame, posts: DataFrame, drafts: DataFrame, completer: Completer, profile: str, facts: str,
-    examples: str, guidance: str, as_of: Moment, store: str | None = None, n: int | None = None, backlog: int = BACKLOG_LIMIT,
-    batch: int = 16, tasks: int | None = None,
+    examples: str, guidance: str, as_of: Moment, store: str | None = None, n: int | None = None, backlog: int | Column = BACKLOG_LIMIT,
+    batch: int = 16, tasks: int | None = None, redraft: bool = False,
 ) -> Drafted:
     """Draft for the best new leads unless too many drafts await review.
 
     Gives the drafts with the style rules they break, the ``drafted`` transitions of their leads, and
     the leads whose draft failed. The calls are made when this is called, once for each lead; the three frames read
     the kept replies. A lead that holds a draft is not drafted for again, even where its transition has not been
-    stored yet, unless all its drafts were rejected.
+    stored yet, unless all its drafts were rejected or ``redraft`` is asked for.
     """
-    held = drafts.filter(F.col("status") != "rejected").select(F.col("lead_id").alias("id"))
+    held = drafts.filter((F.col("status") != "rejected") & F.lit(not redraft)).select(F.col("lead_id").alias("id"))
     open_leads = leads.join(held, "id", "left_anti")
     queue = gate_queue(draft_queue(open_leads, posts, n), backlog_gate(drafts, backlog)).withColumn("lead_id", F.col("id"))
     prompts = drafting_prompts(queue, profile, facts, examples, guidance)

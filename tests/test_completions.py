@@ -207,6 +207,25 @@ def test_draft_cycle_calls_once_for_each_lead_and_adds_nothing_twice(spark, fold
     assert [r.lead_id for r in ask(rejected).drafts.collect()] == ["l6"]
 
 
+def test_draft_cycle_moves_covers_all_leads_however_many_drafts_wait(spark, con, folder):
+    """More drafts await review than the usual gate lets pass, and each lead holds some."""
+    from oracle import SF_DIR
+
+    from leadspark.catalog import QUERIES, SQL
+    from leadspark.sources import adapters as A
+
+    for t in ("documents", "labels"):
+        os.symlink(f"{SF_DIR}/{t}.parquet", f"{folder}/{t}.parquet")
+    ids = spark.read.parquet(f"{SF_DIR}/documents.parquet").selectExpr("doc_id conv_id")
+    talks = ids.crossJoin(spark.range(5).selectExpr("id turn")).selectExpr("conv_id", "cast(turn as int) turn", "'assistant' role", "'hi' text")
+    talks.coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    assert A.drafts(spark, folder).filter("status = 'pending_review'").count() > 50
+    want = con.execute(SQL["draft_cycle_moves"]).fetchall()
+    got = [tuple(r) for r in QUERIES["draft_cycle_moves"](spark, folder).collect()]
+    assert len(want) > 0 and sorted(got) == sorted(want)
+    assert QUERIES["draft_cycle"](spark, folder).count() == 0
+
+
 def test_ids_follow_from_the_moment_not_from_its_text(spark):
     from datetime import datetime, timezone
 
