@@ -295,7 +295,7 @@ select l_returnflag, l_orderkey, l_linenumber, l_partkey from (select *, row_num
   order by l_shipdate desc, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) rn from lineitem) q where rn <= 2000""")
 def cap_per_group_deep(spark, sf):
     order = [F.col("l_shipdate").desc(), "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
-    out = keyed.cap_per_group(A.arrivals(spark, sf), ["l_returnflag"], 2000, order)
+    out = keyed.cap_per_group(A.arrivals(spark, sf), ["l_returnflag"], 2000, order, leading="l_shipdate")
     return out.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
 
 

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from leadspark.session import keep
+
 POST_KEY = ("platform", "external_id")
 
-# Up to this n, Spark keeps only the first n rows per group in each task before the shuffle.
+# Up to this n, Spark keeps only the first n rows per group in each task before the shuffle, in any session.
+_PRUNED = 1000
+
+#: Parts that a group is ranked in before it is ranked as a whole, beyond that n.
+_PARTS = 64
 
 
 def _ranked(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[Column | str], n: int) -> DataFrame:
@@ -29,16 +36,40 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return _ranked(df, keys, [F.col(c).desc() for c in order_by], 1)
 
 
+def _reached(df: DataFrame, group: Sequence[str], n: int, first: Column | str, leading: str) -> DataFrame:
+    """The rows whose value of ``leading`` begins among the first n rows of their group.
+
+    The values are counted when this is called, which sorts no rows; the few that the first n rows reach to are
+    kept in the shared folder, so that Spark picks the join by their size.
+    """
+    by = [*group, leading]
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_part", F.pmod(F.xxhash64(leading), F.lit(_PARTS)))
+    for within in ([*group, "_part"], group):
+        before = F.sum("_n").over(W.partitionBy(*within).orderBy(first).rowsBetween(W.unboundedPreceding, -1))
+        counts = counts.withColumn("_before", before).filter(F.coalesce("_before", F.lit(0)) < n)
+    reached = keep(counts.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)]))
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(by)]
+    return df.join(reached, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def cap_per_group(
-    df: DataFrame, group: Sequence[str], n: int = 50, order_by: Sequence[Column | str] = (), cap: int | None = None
+    df: DataFrame, group: Sequence[str], n: int = 50, order_by: Sequence[Column | str] = (), cap: int | None = None,
+    leading: str | None = None,
 ) -> DataFrame:
     """The first ``min(n, cap)`` rows of each group.
 
-    Each task prunes to n rows per group before the shuffle, so a hot group arrives as n rows per task.
-    How large an n is pruned for is a setting of the session, which ``session.configure`` raises.
+    Each task prunes to n rows per group before the shuffle, so a hot group arrives as n rows per task. Beyond an n
+    that every session prunes for, a group is ranked in parts first, so that no task holds a whole group; where
+    ``leading`` names the column that ``order_by`` begins with, only rows down to the value that the first n rows
+    reach are ranked at all, which is found by counting when this is called.
     """
     n = n if cap is None else min(n, cap)
-    return _ranked(df, group, order_by, n)
+    if n <= _PRUNED:
+        return _ranked(df, group, order_by, n)
+    if leading is not None:
+        df = _reached(df, group, n, order_by[0], leading)
+    parts = df.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(_PARTS)))
+    return _ranked(_ranked(parts, [*group, "_part"], order_by, n).drop("_part"), group, order_by, n)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -46,6 +46,39 @@ def test_rank_is_pruned_before_the_shuffle(spark):
         assert "Partial" in plan[exchange:] and "WindowGroupLimit" in plan[exchange:], name
 
 
+def test_a_deep_rank_needs_no_setting_of_the_session(spark):
+    """Only rows near the first ones are ranked, in parts first, also where Spark prunes no such rank."""
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1000")
+    try:
+        plan = _plan(spark, "cap_per_group_deep")
+        assert "WindowGroupLimit" not in plan and "LeftSemi" in plan
+        lowest = [line for line in plan.splitlines() if "hashpartitioning" in line][-1]
+        assert "_part" in lowest
+    finally:
+        spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("values", [3, 40, 10_000])
+def test_a_deep_rank_holds_the_first_rows(spark, monkeypatch, values):
+    """With few, some and many values of the leading column, with nulls in it and in the group."""
+    from pyspark.sql import Window, functions as F
+
+    from leadspark.operators import keyed
+
+    monkeypatch.setattr(keyed, "_PRUNED", 5)
+    n = F.col("id")
+    df = spark.range(3000).select("id", F.when(n % 7 < 6, n % 3).alias("g"), F.when(n % 11 > 0, F.pmod(F.xxhash64("id"), F.lit(values))).alias("v"))
+    order = [F.col("v").desc(), F.col("id")]
+    rank = F.row_number().over(Window.partitionBy("g").orderBy(*order))
+    for cap in (1, 60, 2000):
+        want = sorted(r.id for r in df.withColumn("r", rank).filter(F.col("r") <= cap).collect())
+        for leading in ("v", None):
+            got = keyed.cap_per_group(df, ["g"], cap, order, leading=leading)
+            assert got.columns == df.columns and sorted(r.id for r in got.collect()) == want
+
+
 def test_time_bound_reaches_the_scan(spark, folder):
     from leadspark.plans.reports import funnel
     from leadspark.schemas import DRAFTS, LEADS, RAW_POSTS
