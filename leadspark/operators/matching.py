@@ -10,39 +10,55 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadspark.functions.phrases import fence, first_word, free_starts, held_phrases, whole_part
 from leadspark.operators.filters import post_text
 from leadspark.operators.keyed import POST_KEY
+from leadspark.session import keep
 
 
-#: Tasks that the places of one first word are dealt to; each phrase is sent to all of them.
+#: Tasks that the places of one first word are dealt to where the phrases are shuffled; each phrase is sent to all of them.
 _SALTS = 16
 
+#: Characters of phrases up to which the phrases go to every task instead, with 40 more for each phrase.
+_SMALL = 4_000_000
+
 
 def _text_hash() -> Column:
     return F.xxhash64(post_text())
 
 
+def _is_small(wanted: DataFrame) -> bool:
+    return wanted.agg(F.coalesce(F.sum(F.char_length("_part") + 40), F.lit(0)) <= _SMALL).first()[0]
+
+
 def phrase_hits(posts: DataFrame, phrases: DataFrame, keys: Sequence[str] = POST_KEY) -> DataFrame:
     """One row per post and held phrase, for a phrase table of any size: ``keys, text_hash, phrase, rank``.
 
     ``phrases`` has ``phrase`` and ``rank``; an empty phrase matches nothing. The phrases are indexed by their first
     word, with the lengths that its phrases have. A post is read once: each place that a phrase could begin at gives
     what follows, as long as the longest phrase. Only places whose word is in the index go on, and give one part for
-    each of its lengths, which an equi-join compares with the phrases. Places of one word are dealt to several tasks.
-    Posts are told apart by their keys and a hash of their text, so those equal in both are one.
+    each of its lengths, which an equi-join compares with the phrases. Posts are told apart by their keys and a hash of
+    their text, so those equal in both are one.
+
+    The phrases are kept in the shared folder and measured when this is called. Few of them go to every task, so that
+    no place of a text is shuffled; of many, the places of one first word are dealt to several tasks.
     """
     wanted = phrases.select("phrase", "rank", F.lower("phrase").alias("_part")).filter(F.length("_part") > 0)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    wanted = keep(wanted)
+    small = _is_small(wanted)
+    n_salts = 1 if small else _SALTS
+    salts = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("_salt")
     size = F.char_length("_part")
     index = wanted.groupBy(first_word(F.col("_part")).alias("_first")).agg(F.collect_set(size).alias("_sizes"))
-    index = index.select("_first", "_sizes", salts)
+    index, table = index.select("_first", "_sizes", salts), wanted.select("*", salts)
+    if small:
+        index, table = F.broadcast(index), F.broadcast(table)
     longest = wanted.agg(F.max(size) + 1).scalar()
     # The hash is worked out below the generator, once for a post and not for each of its places.
     texts = posts.select(*keys, _text_hash().alias("text_hash"), post_text().alias("_text"))
     places = texts.select(*keys, "text_hash", F.explode(free_starts(F.col("_text"), longest)).alias("_at"))
-    places = places.withColumns({"_first": first_word(F.col("_at")), "_salt": F.pmod(F.xxhash64("text_hash", "_at"), F.lit(_SALTS)).cast("int")})
+    places = places.withColumns({"_first": first_word(F.col("_at")), "_salt": F.pmod(F.xxhash64("text_hash", "_at"), F.lit(n_salts)).cast("int")})
     parts = places.join(index, ["_first", "_salt"]).select(
         *keys, "text_hash", "_salt", F.explode(F.transform("_sizes", lambda n: whole_part(F.col("_at"), n))).alias("_part")
     )
-    hits = parts.filter(F.col("_part").isNotNull()).join(wanted.select("*", salts), ["_part", "_salt"])
+    hits = parts.filter(F.col("_part").isNotNull()).join(table, ["_part", "_salt"])
     return hits.select(*keys, "text_hash", "phrase", "rank").distinct()
 
 

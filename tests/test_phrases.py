@@ -78,6 +78,18 @@ def test_many_phrases_of_one_first_word(spark):
     assert set(map(tuple, found(matching.match_phrases(posts, table.limit(0))).values())) == {()}
 
 
+def test_places_of_texts_are_not_shuffled_for_a_small_table(spark, monkeypatch):
+    """Nor does the way the phrases go change what is found."""
+    posts = frame(spark, TEXTS).withColumn("posted_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    table = spark.createDataFrame(list(zip(PHRASES, range(len(PHRASES)))), "phrase string, rank int")
+    plan = matching.phrase_hits(posts, table)._jdf.queryExecution().executedPlan().toString()
+    assert not any("_at#" in line or "_part#" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    monkeypatch.setattr(matching, "_SMALL", 0)
+    assert found(matching.match_phrases(posts, table)) == expected(TEXTS, PHRASES)
+    counts = {r.name: r.mentions for r in matching.mention_counts(posts, table).collect()}
+    assert counts == {p: n for p in PHRASES if (n := sum(p in ps for ps in expected(TEXTS, PHRASES).values()))}
+
+
 def test_first_match_and_counts(spark):
     posts = frame(spark, TEXTS).withColumn("posted_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     row = matching.match_phrases(posts, ["tool", "looking for tool"]).filter("external_id = '0'").first()
