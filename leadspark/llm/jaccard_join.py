@@ -6,6 +6,10 @@ set indexes its rare prefix tokens singly, and of its frequent ones each combina
 mostly frequent tokens indexes those singly, and the others meet it under single tokens too. Equal sets are one node.
 Candidates are verified on their whole sets.
 
+Each set has a sketch of 512 bits, the parities of its tokens by hash. Two sketches differ in no more bits than their sets
+in tokens, so pairs whose sketches differ in more than the similarity allows are left out where they meet, and texts that
+merely share passages are neither listed as pairs nor sent anywhere.
+
 Each node is first compared with one pivot of all its candidate groups, for some rounds; members that are linked by now
 need no comparison with each other, so a group of near copies costs about as many comparisons as it has members. Groups
 that are still apart compare all members with the least one, and small groups then whatever is still apart; large ones go on with more pivots at each round until every two members are either
@@ -39,10 +43,12 @@ _SINGLE_ROUNDS = 4
 _BLOCK = 512
 
 _SINGLE = np.uint64(0x51C7E5A1B2D3F405)
+#: Words of 64 parities each.
+_SKETCH = [f"b{i}" for i in range(8)]
 _SIGNED = "doc_id long, n_shingles long, s1 long, s2 long"
 _SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
-_ROWS = "kind int, key long, node long, n long, tokens binary"
-_ROWS_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+_ROWS = f"kind int, key long, node long, n long, {', '.join(f'{b} long' for b in _SKETCH)}, tokens binary"
+_ROWS_ARROW = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("key", "node", "n", *_SKETCH)), ("tokens", pa.binary())])
 _SET, _ALONE, _FEW, _MANY = 0, 1, 2, 3
 
 
@@ -76,6 +82,14 @@ def _signed(table, n: int) -> pa.Table:
     return pa.table([table.column("doc_id").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))], schema=_SIGNED_ARROW)
 
 
+def sketches(token: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """The parities of each set's tokens by hash, 64 to a word; a set's tokens begin at each of ``begins``."""
+    place = mix(token) >> np.uint64(55)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    word = place >> np.uint64(6)
+    return [np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), begins).view(np.int64) if len(begins) else np.zeros(0, np.int64) for w in range(len(_SKETCH))]
+
+
 def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """Link texts whose sets of word n-grams have a Jaccard similarity of at least ``percent`` / 100.
 
@@ -142,8 +156,10 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
         prefix = (place < size - least + 2) & ((size > 1) | small)
         out = []
 
-        def emit(kind, key, where):
-            out.append(pa.table([pa.array(np.full(len(where), kind), pa.int32()), pa.array(key.view(np.int64)), pa.array(node[where]), pa.array(size[where], pa.int64()), pa.nulls(len(where), pa.binary())], schema=_ROWS_ARROW))
+        def emit(kind, key, where, sketch=None, tokens=None):
+            bits = [pa.nulls(len(where), pa.int64())] * len(_SKETCH) if sketch is None else [pa.array(b) for b in sketch]
+            tokens = pa.nulls(len(where), pa.binary()) if tokens is None else pa.array(tokens, pa.binary())
+            out.append(pa.table([pa.array(np.full(len(where), kind), pa.int32()), pa.array(key.view(np.int64)), pa.array(node[where]), pa.array(size[where], pa.int64()), *bits, tokens], schema=_ROWS_ARROW))
 
         rare = np.flatnonzero(prefix & (level > 0) & (level <= _RARE))
         emit(_ALONE, token[rare], rare)
@@ -165,8 +181,7 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
             used = np.flatnonzero(np.add.reduceat(indexed.astype(np.int64), begins) > 0)
             ends = np.append(begins, len(token))[1:]
             sets = [np.sort(token[begins[k] : ends[k]]).tobytes() for k in used]
-            at = begins[used]
-            out.append(pa.table([pa.array(np.full(len(at), _SET), pa.int32()), pa.array(np.zeros(len(at), np.int64)), pa.array(node[at]), pa.array(size[at], pa.int64()), pa.array(sets, pa.binary())], schema=_ROWS_ARROW))
+            emit(_SET, np.zeros(len(used), np.int64), begins[used], [b[used] for b in sketches(token, begins)], sets)
         return pa.concat_tables(out)
 
     levels = chunks.answered(chunks.apply(count, ASK, members), counted)
@@ -175,13 +190,14 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
     places = rows.where(F.col("kind") != _SET).select("key", "node", "n", (F.col("kind") != _FEW).alias("full"))
     # A key of one node, or met only by sets that don't need it, is of no use.
     useful = places.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("full").alias("any")).where("low != high and any").select("key")
-    live = keep(places.join(useful, "key", "left_semi"))
+    live = keep(places.join(useful, "key", "left_semi").join(rows.where(F.col("kind") == _SET).select("node", *_SKETCH), "node"))
     return _linked(live, sets, percent)
 
 
 def _near(percent: int):
-    """Sizes that allow the similarity."""
-    return 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
+    """Sizes and sketches that allow the similarity."""
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"pivot_{b}"))) for b in _SKETCH), F.lit(0))
+    return (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")) & ((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("pivot_n")))
 
 
 def _grown(labels: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -209,7 +225,7 @@ def _pairs(labelled: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
 
 
 def _as_pivots(rows: DataFrame) -> DataFrame:
-    return rows.select("key", F.col("node").alias("p"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), F.col("full").alias("pivot_full"))
+    return rows.select("key", F.col("node").alias("p"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), F.col("full").alias("pivot_full"), *[F.col(b).alias(f"pivot_{b}") for b in _SKETCH])
 
 
 def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,7 +236,7 @@ def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for turn in range(_SINGLE_ROUNDS):
         labelled = keep(_with_labels(live, labels))
         by = F.col("node") if not turn else F.xxhash64("node", F.lit(turn))
-        row = F.struct("node", "n", "label", "full")
+        row = F.struct("node", "n", "label", "full", *_SKETCH)
         group = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(row, F.struct(by.alias("by"), "node")).alias("r")).where("low != high")
         offered = _pairs(labelled, _as_pivots(group.select("key", "r.*")), percent)
         chosen = offered.groupBy("node").agg(F.min_by("p", F.struct(F.xxhash64("p", F.lit(turn)) if turn else F.col("p"), "p")).alias("p"))
@@ -247,7 +263,7 @@ def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         new = keep(_verified(keep(pairs), sets, percent))
         if not new.isEmpty():
             found, labels = found.union(new), _grown(labels, new)
-        live = labelled.where("not pivot").select("key", "node", "n", "full")
+        live = labelled.where("not pivot").select("key", "node", "n", "full", *_SKETCH)
         turn += 1
 
 

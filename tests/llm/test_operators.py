@@ -287,6 +287,21 @@ def test_jaccard(spark, docs, rows, none, n, percent):
     assert similar_components(none).collect() == []
 
 
+def test_jaccard_shared_passage(spark, monkeypatch):
+    """Unlike texts that share a passage are neither listed as pairs nor linked; near copies among them are."""
+    from leadspark.llm import jaccard_join
+
+    passage = [f"p{i}" for i in range(120)]
+    own = lambda i: [f"x{i}_{k}" for k in range(12)]
+    texts = [(i, " ".join([*passage[:60], *own(i), *passage[60:]])) for i in range(80)]
+    texts += [(100 + i, t + " more") for i, t in texts[:5]]
+    listed, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: (listed.extend(pairs.collect()), verified(pairs, *rest))[1])
+    got = jaccard_join.similar_components(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 100 for i, _ in texts}
+    assert len(set(listed)) < 100
+
+
 def test_warc(spark, tmp_path):
     from leadspark.llm.warc import archive_pages
 
