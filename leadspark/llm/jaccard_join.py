@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadspark.llm.components import components
 from leadspark.llm.rounds import ASK, Chunks, answer_of, answer_table, ask_table, document_words, grouped, unpacked
-from leadspark.llm.words import grams, mix, pieces, whole
+from leadspark.llm.words import grams, mix, parities, pieces, whole
 from leadspark.session import keep
 
 #: Tokens in fewer documents than 2 to this power are rare.
@@ -82,14 +82,6 @@ def _signed(table, n: int) -> pa.Table:
     return pa.table([table.column("doc_id").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))], schema=_SIGNED_ARROW)
 
 
-def sketches(token: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
-    """The parities of each set's tokens by hash, 64 to a word; a set's tokens begin at each of ``begins``."""
-    place = mix(token) >> np.uint64(55)
-    bit = np.uint64(1) << (place & np.uint64(63))
-    word = place >> np.uint64(6)
-    return [np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), begins).view(np.int64) if len(begins) else np.zeros(0, np.int64) for w in range(len(_SKETCH))]
-
-
 def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """Link texts whose sets of word n-grams have a Jaccard similarity of at least ``percent`` / 100.
 
@@ -181,7 +173,7 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, words: int, percent: int)
             used = np.flatnonzero(np.add.reduceat(indexed.astype(np.int64), begins) > 0)
             ends = np.append(begins, len(token))[1:]
             sets = [np.sort(token[begins[k] : ends[k]]).tobytes() for k in used]
-            emit(_SET, np.zeros(len(used), np.int64), begins[used], [b[used] for b in sketches(token, begins)], sets)
+            emit(_SET, np.zeros(len(used), np.int64), begins[used], [b[used] for b in parities(token, begins, len(_SKETCH))], sets)
         return pa.concat_tables(out)
 
     levels = chunks.answered(chunks.apply(count, ASK, members), counted)

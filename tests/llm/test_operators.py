@@ -256,6 +256,27 @@ def test_short_lines(spark):
     assert stage == {1: texts[0][1], 2: "\nthe end of it", 3: texts[2][1], 4: "b c d e"}
 
 
+def test_lines_shared_words(spark, monkeypatch):
+    """Unlike lines that share words aren't joined with their tokens; near copies among them go."""
+    from leadspark.llm import line_dedup
+
+    common = [f"c{i}" for i in range(60)]
+    texts = [(i, " ".join([*common[:30], *(f"x{i}_{k}" for k in range(8)), *common[30:]])) for i in range(60)]
+    texts += [(100 + i, t + " more") for i, t in texts[:5]]
+    some = spark.createDataFrame(texts, "doc_id long, text string")
+    listed, joined = [], type(some).join
+
+    def join(left, other, on=None, how=None):
+        if left.columns == ["k1", "k2", "p1", "p2"]:
+            listed.extend(left.collect())
+        return joined(left, other, on, how)
+
+    monkeypatch.setattr(type(some), "join", join)
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(some).collect()}
+    assert got == {i: int(i >= 100) for i, _ in texts}
+    assert 5 <= len(set(listed)) < 100
+
+
 @pytest.mark.parametrize("n, percent", [(4, 85), (5, 80), (4, 30), (4, 50), (4, 100)])
 def test_jaccard(spark, docs, rows, none, n, percent):
     from leadspark.llm.jaccard_join import similar_components
